@@ -9,7 +9,7 @@ places        line items as a raw place table with gaps, sentinels and comma num
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfold.functions.clean import COMPLETION_CAP
@@ -29,7 +29,7 @@ RATING_ORDER = ["o_orderdate", "l_orderkey", "l_linenumber", "l_shipdate", "rati
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = table(spark, folder, "documents", spread=True).select("doc_id", "text")
     labels = table(spark, folder, "labels")
     return docs.join(labels, "doc_id").select(
         "doc_id", "text", F.col("quality").alias("rating"), F.col("toxic").alias("verified")
@@ -83,23 +83,17 @@ def indexed_cells(spark: SparkSession, folder: str, cap: float | None = COMPLETI
     return add_index(cells(spark, folder), cap)
 
 
-def _with_commas(value: Column) -> Column:
-    """Whole number as text with one thousands comma."""
-    thousands, rest = F.floor(value / 1000).cast("string"), F.lpad((value % 1000).cast("string"), 3, "0")
-    return F.when(value >= 1000, F.concat(thousands, F.lit(","), rest)).otherwise(value.cast("string"))
-
-
 def places(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     price = F.round("l_extendedprice").cast("long")
     discount = F.round(F.col("l_discount") * 100).cast("long").cast("string")
     quantity = F.col("l_quantity").cast("long").cast("string")
-    return table(spark, folder, "lineitem").select(
+    return table(spark, folder, "lineitem", spread=True).select(
         F.col("l_orderkey").alias("place"),
         F.col("l_linenumber").alias("line"),
         F.year("l_shipdate").cast("long").alias("year"),
         F.when(k % 23 != 0, F.concat(F.lpad(F.col("l_suppkey").cast("string"), 9, "0"), F.lit("-0001"))).alias("zip_text"),
-        F.when(k % 29 == 0, "PrivacySuppressed").when(k % 31 != 0, _with_commas(price)).alias("completions"),
+        F.when(k % 29 == 0, "PrivacySuppressed").when(k % 31 != 0, F.format_number(price, 0)).alias("completions"),
         F.when(k % 37 == 0, "").otherwise(discount).alias("tuition"),
         F.when(k % 3 != 0, quantity).alias("loans"),
         F.when(k % 2 != 0, quantity).alias("rare"),
@@ -120,7 +114,7 @@ def external_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
     unemployment = base.select("entity", "year", text("unemployment"))
     bachelor = F.when((F.col("entity") + F.col("year")) % 11 != 0, F.col("bachelor").cast("string"))
     education = base.select("entity", "year", text("high_school"), text("some_college"), bachelor.alias("bachelor"))
-    people = _with_commas(F.floor("population"))
+    people = F.format_number(F.floor("population"), 0)
     population = base.select(
         "entity", "year", F.when((F.col("entity") * 3 + F.col("year")) % 13 != 0, people).alias("population")
     )

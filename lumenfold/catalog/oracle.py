@@ -65,15 +65,11 @@ CAPPED_SHARE = f"CASE WHEN {OPEN_SHARE} > 0.493279::DOUBLE THEN 0.493279::DOUBLE
 INDEXED = f"""{CELLS},
 indexed AS (SELECT *, {_index('share')} AS "index" FROM (SELECT *, {CAPPED_SHARE} AS share FROM cells))"""
 
-COMMA_PRICE = (
-    "CASE WHEN v >= 1000 THEN CAST(v // 1000 AS VARCHAR) || ',' || lpad(CAST(v % 1000 AS VARCHAR), 3, '0') "
-    "ELSE CAST(v AS VARCHAR) END"
-)
 PLACES = f"""
 places AS (
   SELECT place, line, year,
     CASE WHEN k % 23 <> 0 THEN lpad(CAST(l_suppkey AS VARCHAR), 9, '0') || '-0001' END AS zip_text, l_suppkey,
-    CASE WHEN k % 29 = 0 THEN 'PrivacySuppressed' WHEN k % 31 <> 0 THEN {COMMA_PRICE} END AS completions,
+    CASE WHEN k % 29 = 0 THEN 'PrivacySuppressed' WHEN k % 31 <> 0 THEN format('{{:,}}', v) END AS completions,
     CASE WHEN k % 37 = 0 THEN '' ELSE CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) END AS tuition,
     CASE WHEN k % 3 <> 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS loans,
     CASE WHEN k % 2 <> 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS rare

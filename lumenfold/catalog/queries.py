@@ -41,11 +41,11 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def word_count(spark: SparkSession, folder: str) -> DataFrame:
-    return corpus.word_count(table(spark, folder, "documents"))
+    return corpus.word_count(table(spark, folder, "documents", spread=True))
 
 
 def char_moments(spark: SparkSession, folder: str) -> DataFrame:
-    return corpus.letter_moments(table(spark, folder, "documents"))
+    return corpus.letter_moments(table(spark, folder, "documents", spread=True))
 
 
 def set_difference(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,8 +168,8 @@ def drop_sparse_columns_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drop_sparse_rows(spark: SparkSession, folder: str) -> DataFrame:
-    marked = cleaning.sentinel_to_null(i.places(spark, folder), i.PLACE_NUMBERS)
-    return cleaning.drop_sparse_rows(marked, 2, i.PLACE_NUMBERS)
+    dense = cleaning.drop_sparse_rows(i.places(spark, folder), 2, i.PLACE_NUMBERS)
+    return cleaning.sentinel_to_null(dense, i.PLACE_NUMBERS)
 
 
 def drop_incomplete_rows(spark: SparkSession, folder: str) -> DataFrame:

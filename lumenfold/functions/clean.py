@@ -17,16 +17,24 @@ INDEX_WEIGHTS = {"high_school": 0.4, "some_college": 0.6, "bachelor": 0.8}
 BIN_START, BIN_STOP, BIN_ENDS = 0.4, 0.6, 16
 
 
+def is_blank(value: Column, sentinel: str | None = SENTINEL) -> Column:
+    """Condition: null, empty text or the sentinel text."""
+    marks = [""] if sentinel is None else ["", sentinel]
+    return F.coalesce(value, F.lit("")).isin(*marks)
+
+
 def blank_to_null(value: Column, sentinel: str | None = SENTINEL) -> Column:
     """Null for the sentinel text and for empty text."""
-    marks = [""] if sentinel is None else ["", sentinel]
-    return F.when(~value.isin(*marks), value)
+    filled = F.nullif(value, F.lit(""))
+    return filled if sentinel is None else F.nullif(filled, F.lit(sentinel))
+
 
+def to_number(value: Column) -> Column:
+    """Double from text with thousands commas; null for any text that is no finite number.
 
-def to_number(value: Column, sentinel: str | None = SENTINEL) -> Column:
-    """Double from text with thousands commas; null for blanks, the sentinel, NaN and other text."""
-    number = F.replace(blank_to_null(value, sentinel), F.lit(","), F.lit("")).try_cast("double")
-    return F.nullif(number, F.lit(float("nan")))
+    Without its letters n, a NaN is no number either, and the value is used only once.
+    """
+    return F.translate(value, ",nN", "").try_cast("double")
 
 
 def code_prefix(value: Column, length: int = 5) -> Column:

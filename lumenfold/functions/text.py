@@ -12,8 +12,9 @@ WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 TOKEN = r"""((?:[\.,!?;"])|(?:(?:\#|\@)?[A-Za-z0-9_\-]+(?:\'[a-z]{1,3})?))"""
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
-# Kelvin sign: the only letter outside A-Z whose lower case is one of a-z.
-_KELVIN = "\u212a"
+# The two letters outside A-Z whose lower case holds one of a-z: the Kelvin sign is a k,
+# the dotted capital I is a letter of its own.
+_KELVIN, _DOTTED_I = "\u212a", "\u0130"
 
 
 def lower_words(text: Column) -> Column:
@@ -31,14 +32,15 @@ def lower_all(token_array: Column) -> Column:
     return F.split(F.lower(F.array_join(token_array, " ")), " ")
 
 
-def ascii_letters(text: Column) -> Column:
-    """The letters a-z of the text, in lower case, everything else removed."""
-    return F.lower(F.regexp_replace(text, f"[^A-Za-z{_KELVIN}]+", ""))
+def lower_text(text: Column) -> Column:
+    """The text in lower case, for counting a-z in it with :func:`occurrences`."""
+    return F.lower(F.replace(text, F.lit(_DOTTED_I), F.lit("")))
 
 
 def other_letters(text: Column) -> Column:
     """Array of the letters outside a-z, lower-cased one by one."""
-    kept = F.regexp_replace(text, rf"[^\p{{L}}]+|[A-Za-z{_KELVIN}]+", "")
+    beyond_ascii = F.regexp_replace(text, r"[\x00-\x7f]+", "")
+    kept = F.regexp_replace(beyond_ascii, rf"[^\p{{L}}]+|{_KELVIN}", "")
     letters = F.filter(F.split(kept, ""), lambda c: c != "")
     return F.transform(letters, lambda c: F.lower(c))
 

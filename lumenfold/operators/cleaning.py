@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenfold.functions.clean import SENTINEL, blank_to_null, to_number
+from lumenfold.functions.clean import SENTINEL, blank_to_null, is_blank, to_number
 from lumenfold.plans import salted_join
 
 
@@ -16,9 +16,9 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
-def clean_numbers(df: DataFrame, columns: Sequence[str], sentinel: str | None = SENTINEL) -> DataFrame:
-    """Turn text columns into doubles, null where they hold no number."""
-    return df.withColumns({c: to_number(F.col(c), sentinel) for c in columns})
+def clean_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Turn text columns into doubles, null where they hold no number (blanks, sentinel)."""
+    return df.withColumns({c: to_number(F.col(c)) for c in columns})
 
 
 def sentinel_to_null(df: DataFrame, columns: Sequence[str], sentinel: str = SENTINEL) -> DataFrame:
@@ -30,7 +30,7 @@ def _is_missing(df: DataFrame, column: str, sentinel: str | None) -> Column:
     kind = df.schema[column].dataType.typeName()
     value = F.col(column)
     if kind == "string":
-        return blank_to_null(value, sentinel).isNull()
+        return is_blank(value, sentinel)
     if kind in ("double", "float"):
         return value.isNull() | F.isnan(value)
     return value.isNull()
@@ -54,10 +54,12 @@ def drop_sparse_columns(
     return df.drop(*[c for c, ratio in ratios.items() if ratio is not None and ratio > limit])
 
 
-def drop_sparse_rows(df: DataFrame, nulls: int = 5, columns: Sequence[str] | None = None) -> DataFrame:
-    """Keep rows with fewer than ``nulls`` missing values."""
+def drop_sparse_rows(
+    df: DataFrame, nulls: int = 5, columns: Sequence[str] | None = None, sentinel: str | None = SENTINEL
+) -> DataFrame:
+    """Keep rows with fewer than ``nulls`` missing values, the sentinel text among them."""
     names = df.columns if columns is None else columns
-    missing = [_is_missing(df, c, None).cast("int") for c in names]
+    missing = [_is_missing(df, c, sentinel).cast("int") for c in names]
     return df.where(sum(missing[1:], missing[0]) < nulls)
 
 

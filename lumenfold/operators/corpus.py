@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.functions import text as tx
-from lumenfold.plans import spread_input
 
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): white-space separated words in lower case, punctuation kept."""
-    words = spread_input(docs.select(text)).select(F.explode(tx.lower_words(F.col(text))).alias("word"))
+    words = docs.select(F.explode(tx.lower_words(F.col(text))).alias("word"))
     return words.where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -22,8 +21,8 @@ def letter_moments(docs: DataFrame, text: str = "text") -> DataFrame:
     measured over the documents that hold it. The counting is done inside each row,
     so only per-letter partial sums are shuffled. ``std`` uses the rounded mean.
     """
-    parts = spread_input(docs.select(text)).select(
-        tx.ascii_letters(F.coalesce(text, F.lit(""))).alias("plain"),
+    parts = docs.select(
+        tx.lower_text(F.coalesce(text, F.lit(""))).alias("plain"),
         tx.run_lengths(tx.other_letters(F.coalesce(text, F.lit("")))).alias("others"),
     )
     plain = F.array(
@@ -44,7 +43,7 @@ def letter_moments(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def token_counts(reviews: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): tokens of the whole corpus in lower case."""
-    token_rows = spread_input(reviews.select(text)).select(tx.tokens(F.col(text)).alias("tokens"))
+    token_rows = reviews.select(tx.tokens(F.col(text)).alias("tokens"))
     words = token_rows.select(F.explode(tx.lower_all(F.col("tokens"))).alias("word"))
     return words.where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
@@ -68,19 +67,20 @@ def word_frequencies(
     are dropped before the shuffle. A word counts in a document only if it also stands
     there all in lower case, unless ``case_fold`` is set.
     """
-    token_rows = spread_input(reviews.select(doc, text, *carry)).select(
+    token_rows = reviews.select(
         doc, *carry, tx.tokens(F.col(text)).alias("tokens")
     )
-    paired = token_rows.select(doc, *carry, "tokens", tx.lower_all(F.col("tokens")).alias("lowered"))
-    exploded = paired.select(
-        doc, *carry, F.size("tokens").alias("length"), F.explode(F.arrays_zip("tokens", "lowered")).alias("t")
+    # Tokens hold no blanks. Splitting inside the generator keeps arrays out of the rows.
+    joined = token_rows.select(
+        doc, *carry, F.size("tokens").alias("length"), F.array_join("tokens", " ").alias("joined")
     )
+    exploded = joined.select(doc, *carry, "length", F.explode(F.split("joined", " ")).alias("token"))
     matches = exploded.select(
         doc,
         *carry,
         "length",
-        F.col("t.lowered").alias("word"),
-        (F.col("t.lowered") == F.col("t.tokens")).alias("in_lower"),
+        F.lower("token").alias("word"),
+        (F.lower("token") == F.col("token")).alias("in_lower"),
     ).join(F.broadcast(words.select("word")), "word")
     counts = matches.groupBy(doc, "word").agg(
         F.count("*").alias("n"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.functions.stats import correlation, two_sided_p
 from lumenfold.operators.corpus import top_tokens, word_frequencies
+from lumenfold.plans import stage
 
 
 def word_regressions(
@@ -37,7 +38,8 @@ def word_regressions(
     merged with the zero rows in closed form, so nothing is kept per (word, document).
     """
     rows = _complete_rows(reviews, doc, text, target, control, missing)
-    words = top_tokens(reviews, top, text) if words is None else words
+    # Staged: the short list enters twice, and its corpus pass should run once.
+    words = stage(top_tokens(reviews, top, text), "words") if words is None else words
     sparse = word_frequencies(rows, words, doc, text, ("y", "c"), case_fold)
 
     whole = rows.agg(
@@ -177,8 +179,9 @@ def both_ends(scores: DataFrame, score: str, ties: Sequence[str], k: int = 20, d
 
     Scores equal to ``digits`` places are ordered by the tie columns, so the choice
     does not depend on the order of a floating sum. Null and NaN scores take no part.
+    The scores (one row per key) are staged, so that they are computed once for both ends.
     """
-    usable = scores.where(F.col(score).isNotNull() & ~F.isnan(score))
+    usable = stage(scores.where(F.col(score).isNotNull() & ~F.isnan(score)), "scores")
     near = F.round(score, digits)
     high = usable.orderBy(near.desc(), *ties).limit(k).withColumn("side", F.lit("top"))
     low = usable.orderBy(near.asc(), *ties).limit(k).withColumn("side", F.lit("bottom"))

@@ -89,8 +89,7 @@ def place_panel(
     dense = cleaning.drop_sparse_columns(recent, rules.null_limit, numbers, sentinel)
     kept = [c for c in numbers if c in dense.columns]
     if rules.row_nulls is not None:
-        texts = [f.name for f in dense.schema if f.dataType.typeName() == "string"]
-        dense = cleaning.drop_sparse_rows(cleaning.sentinel_to_null(dense, texts), rules.row_nulls)
+        dense = cleaning.drop_sparse_rows(dense, rules.row_nulls)
     cleaned = cleaning.clean_numbers(dense, kept)
     if rules.drop_incomplete:
         cleaned = cleaned.dropna("any")

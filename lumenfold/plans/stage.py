@@ -40,10 +40,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread_input(df: DataFrame) -> DataFrame:
-    """Repartition a scan that has fewer splits than the session has cores.
+    """Repartition a plain file scan that has fewer splits than the session has cores.
 
-    Meant for CPU-heavy expressions over one small file or one gzip file. A scan
-    with enough splits is returned as it is, without a shuffle.
+    Meant for CPU-heavy expressions over one small file or one gzip file. A scan with
+    enough splits is returned as it is, without a shuffle. Only for plain scans: counting
+    the partitions of a join or an aggregate would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lumenfold.plans import spread_input
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One parquet table of ``folder``."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+def table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """One parquet table of ``folder``; ``spread`` for CPU-heavy work on a few splits."""
+    scan = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread_input(scan) if spread else scan
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
