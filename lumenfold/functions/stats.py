@@ -52,12 +52,8 @@ def two_sided_p(t: Column, df: Column) -> Column:
 def _quadrature(f, nodes: int, end: float) -> Column:
     """Integral of ``f`` over [0, end] by Gauss-Legendre with nodes known at plan time."""
     x, w = np.polynomial.legendre.leggauss(nodes)
-    table = F.array(
-        *[
-            F.struct(F.lit(float((xi + 1.0) * end / 2.0)).alias("x"), F.lit(float(wi * end / 2.0)).alias("w"))
-            for xi, wi in zip(x, w)
-        ]
-    )
+    pairs = zip((x + 1.0) * end / 2.0, w * end / 2.0)
+    table = F.expr(f"array({', '.join(f'struct({float(a)!r}D AS x, {float(b)!r}D AS w)' for a, b in pairs)})")
     return F.aggregate(table, F.lit(0.0), lambda total, node: total + node["w"] * f(node["x"]))
 
 

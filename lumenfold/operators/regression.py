@@ -23,6 +23,7 @@ def word_regressions(
     tests: int | None = None,
     clip: bool = False,
     missing: str = "zero",
+    required: Sequence[str] = (),
     se: str = "simple",
     case_fold: bool = False,
 ) -> DataFrame:
@@ -30,14 +31,14 @@ def word_regressions(
 
     (word, beta, p, n): standardised slope of the word, two-sided p times the number
     of tests (not clipped unless asked for), number of documents. With ``control`` (a
-    0/1 column) the slope is that of the two-variable model. ``missing`` documents (no
-    text, target or control) count as all-zero rows, or are dropped. ``se="ols"`` takes
+    0/1 column) the slope is that of the two-variable model. Documents without text, target,
+    control or a ``required`` column count as all-zero rows, or are dropped (``missing``). ``se="ols"`` takes
     the correlation of word and control into the standard error, ``"simple"`` does not.
 
     Only non-zero frequencies become rows. Per word the moments of those rows are
     merged with the zero rows in closed form, so nothing is kept per (word, document).
     """
-    rows = _complete_rows(reviews, doc, text, target, control, missing)
+    rows = _complete_rows(reviews, doc, text, target, control, required, missing)
     # Staged: the short list enters twice, and its corpus pass should run once.
     words = stage(top_tokens(reviews, top, text), "words") if words is None else words
     sparse = word_frequencies(rows, words, doc, text, ("y", "c"), case_fold)
@@ -95,10 +96,11 @@ def word_regressions(
     return tested.select("word", "beta", p.alias("p"), "n")
 
 
-def _complete_rows(reviews: DataFrame, doc: str, text: str, target: str, control: str | None, missing: str) -> DataFrame:
-    needed = [text, target] + ([control] if control else [])
+def _complete_rows(
+    reviews: DataFrame, doc: str, text: str, target: str, control: str | None, required: Sequence[str], missing: str
+) -> DataFrame:
     whole = F.lit(True)
-    for name in needed:
+    for name in [text, target, *([control] if control else []), *required]:
         whole = whole & F.col(name).isNotNull()
     c = F.col(control).cast("double") if control else F.lit(0.0)
     if missing == "drop":

@@ -15,7 +15,7 @@ from lumenfold.plans.stage import stage
 
 # Upper bounds that do not depend on the data: pivots, blocks (so that a table with one
 # row per block can be broadcast) and, at most, rows of one slice of a block product.
-PIVOTS = 64
+PIVOTS = 1024
 MAX_BLOCKS = 4096
 BLOCK_ROWS = 1024
 SLICE_ROWS = 2048
@@ -141,14 +141,15 @@ def _blocks(vectors: DataFrame, block_rows: int, max_blocks: int) -> DataFrame:
     """(block, entities, matrix, centre, radius): blocks of vectors of near direction.
 
     Rows are range-partitioned by their nearest pivot and the angle to it, so a crowded
-    direction spreads over many blocks.
+    direction spreads over many blocks. There is about one pivot per block, up to a
+    fixed number of them, and neighbouring pivots follow each other.
     """
     staged = stage(vectors, "vectors")
     rows = staged.count()
     size = max(block_rows, math.ceil(2 * rows / max_blocks))
     parts = max(1, math.ceil(rows / size))
-    picked = staged.orderBy(F.xxhash64("entity")).limit(PIVOTS).collect()
-    pivots = np.array([r["vector"] for r in picked])
+    picked = staged.orderBy(F.xxhash64("entity"), "entity").limit(min(PIVOTS, parts)).collect()
+    pivots = _chained(np.array([r["vector"] for r in picked]))
     entity_type = staged.schema["entity"].dataType.simpleString()
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,6 +201,15 @@ def _blocks(vectors: DataFrame, block_rows: int, max_blocks: int) -> DataFrame:
     )
 
 
+def _chained(points: np.ndarray) -> np.ndarray:
+    """The points in an order in which each is followed by its nearest remaining one."""
+    order, left = [], list(range(len(points)))
+    while left:
+        last = points[order[-1]] if order else points[0]
+        order.append(left.pop(int((points[left] @ last).argmax())))
+    return points[order]
+
+
 def _block_pairs(centres: DataFrame, choose) -> DataFrame:
     """(left, right) block pairs that ``choose`` picks from the angles between centres.
 

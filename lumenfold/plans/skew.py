@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot above 1/SHARES of the left rows, so there are fewer than SHARES
-# hot keys and fewer than 2 * SHARES pieces, whatever the size of the data.
+# hot keys and fewer than 2 * SHARES pieces, whatever the size of the data. Keys
+# below MIN_PIECE_ROWS fit a task anyway.
 SHARES = 1024
 MIN_PIECE_ROWS = 1_000_000
 
@@ -20,7 +21,6 @@ def salted_join(
     weights: DataFrame,
     spread: Sequence[str],
     how: str = "inner",
-    min_piece_rows: int = MIN_PIECE_ROWS,
 ) -> DataFrame:
     """Join ``left`` and ``right`` on ``on``, cutting each hot key of ``left`` in pieces.
 
@@ -30,7 +30,7 @@ def salted_join(
     ``how`` is ``inner``, ``left`` or ``left_semi``.
     """
     total = weights.agg(F.sum("rows")).scalar()
-    piece_rows = F.greatest(total / F.lit(SHARES), F.lit(float(min_piece_rows)))
+    piece_rows = F.greatest(total / F.lit(SHARES), F.lit(float(MIN_PIECE_ROWS)))
     hot = F.broadcast(
         weights.select(on, F.ceil(F.col("rows") / piece_rows).alias("_pieces")).where("_pieces > 1")
     )
