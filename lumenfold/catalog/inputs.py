@@ -122,7 +122,9 @@ def external_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
 
 
 def scaled_cells(spark: SparkSession, folder: str, mode: str = "endpoint") -> DataFrame:
-    return scale_features(cells(spark, folder).where(F.col("year") == SIMILARITY_YEAR), FEATURES, mode=mode)
+    """One year of the panel, scaled. The year is staged: its ends and its rows are read."""
+    lines_of_year = cells(spark, folder).where(F.col("year") == SIMILARITY_YEAR)
+    return scale_features(stage(lines_of_year, "cells"), FEATURES, mode=mode)
 
 
 def entity_vectors(spark: SparkSession, folder: str) -> DataFrame:

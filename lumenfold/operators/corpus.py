@@ -60,20 +60,24 @@ def word_frequencies(
     text: str = "text",
     carry: tuple[str, ...] = (),
     case_fold: bool = False,
+    mark_documents: bool = False,
 ) -> DataFrame:
     """(doc, word, frequency, carried columns) for the given words, non-zero entries only.
 
     ``words`` is a short list (a top-k result) and is broadcast, so tokens outside it
     are dropped before the shuffle. A word counts in a document only if it also stands
-    there all in lower case, unless ``case_fold`` is set.
+    there all in lower case, unless ``case_fold`` is set. ``mark_documents`` adds one row
+    per document with the empty word, so that totals need no second pass over the text.
     """
     token_rows = reviews.select(
         doc, *carry, tx.tokens(F.col(text)).alias("tokens")
     )
     # Tokens hold no blanks. Splitting inside the generator keeps arrays out of the rows.
-    joined = token_rows.select(
-        doc, *carry, F.size("tokens").alias("length"), F.array_join("tokens", " ").alias("joined")
-    )
+    line, listed = F.array_join("tokens", " "), words.select("word")
+    if mark_documents:
+        line = F.concat(F.lit(" "), F.coalesce(line, F.lit("")))
+        listed = listed.unionAll(words.sparkSession.createDataFrame([("",)], "word string"))
+    joined = token_rows.select(doc, *carry, F.size("tokens").alias("length"), line.alias("joined"))
     exploded = joined.select(doc, *carry, "length", F.explode(F.split("joined", " ")).alias("token"))
     matches = exploded.select(
         doc,
@@ -81,7 +85,7 @@ def word_frequencies(
         "length",
         F.lower("token").alias("word"),
         (F.lower("token") == F.col("token")).alias("in_lower"),
-    ).join(F.broadcast(words.select("word")), "word")
+    ).join(F.broadcast(listed), "word")
     counts = matches.groupBy(doc, "word").agg(
         F.count("*").alias("n"),
         F.max("in_lower").alias("in_lower"),
@@ -89,7 +93,7 @@ def word_frequencies(
         *[F.max(c).alias(c) for c in carry],
     )
     kept = counts if case_fold else counts.where("in_lower")
-    return kept.select(doc, "word", (F.col("n") / F.col("length")).alias("frequency"), *carry)
+    return kept.select(doc, "word", F.try_divide(F.col("n"), F.col("length")).alias("frequency"), *carry)
 
 
 def set_difference(r: DataFrame, s: DataFrame, element: str = "element", mode: str = "single") -> DataFrame:

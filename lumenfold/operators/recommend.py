@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenfold.plans import salted_join
+from lumenfold.plans import salted_join, stage
 
 # A similarity this small is the rounding noise of an exact zero.
 ZERO = 1e-12
@@ -26,7 +26,8 @@ def support_filter(ratings: DataFrame, min_users: int = 25, min_items: int = 5)
     per_item = ratings.groupBy("item").agg(F.count("*").alias("rows"))
     kept_items = per_item.where(F.col("rows") >= min_users).select("item")
     of_items = salted_join(ratings, kept_items, "item", per_item, ["user"], how="left_semi")
-    per_user = of_items.groupBy("user").agg(F.count("*").alias("rows"))
+    # One row per user, staged because it is read for the weights and for the filter.
+    per_user = stage(of_items.groupBy("user").agg(F.count("*").alias("rows")), "per_user")
     kept_users = per_user.where(F.col("rows") >= min_items).select("user")
     return salted_join(of_items, kept_users, "user", per_user, ["item"], how="left_semi").select("user", "item", "rating")
 
@@ -85,10 +86,10 @@ def predict_ratings(ratings: DataFrame, neighbours: DataFrame, min_neighbours: i
 
     The user's own rating of the target if there is one, else the mean of the neighbour
     ratings weighted by similarity; only positive results are kept. ``neighbours`` holds
-    at most k rows per target and is broadcast.
+    at most k rows per target; it is staged and broadcast.
     """
-    near = neighbours.select("target", "item", "similarity")
-    own = neighbours.select("target").distinct().select(
+    near = stage(neighbours.select("target", "item", "similarity"), "neighbours")
+    own = near.select("target").distinct().select(
         "target", F.col("target").alias("item"), F.lit(None).cast("double").alias("similarity")
     )
     asked = F.broadcast(near.unionAll(own))

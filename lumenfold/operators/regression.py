@@ -35,51 +35,45 @@ def word_regressions(
     control or a ``required`` column count as all-zero rows, or are dropped (``missing``). ``se="ols"`` takes
     the correlation of word and control into the standard error, ``"simple"`` does not.
 
-    Only non-zero frequencies become rows. Per word the moments of those rows are
-    merged with the zero rows in closed form, so nothing is kept per (word, document).
+    The text is read twice, once for the top tokens and once for all moments. Only
+    non-zero frequencies become rows; the moments of those rows are merged with the zero
+    rows in closed form.
     """
     rows = _complete_rows(reviews, doc, text, target, control, required, missing)
     # Staged: the short list enters twice, and its corpus pass should run once.
     words = stage(top_tokens(reviews, top, text), "words") if words is None else words
-    sparse = word_frequencies(rows, words, doc, text, ("y", "c"), case_fold)
-
-    whole = rows.agg(
-        F.count("*").alias("n"),
-        F.avg("y").alias("mean_y"),
-        F.avg("c").alias("mean_c"),
-        F.stddev_pop("y").alias("std_y"),
-        F.stddev_pop("c").alias("std_c"),
-        F.covar_pop("y", "c").alias("cov_yc"),
-    )
-    total = whole.select(F.struct("*")).scalar()
+    sparse = word_frequencies(rows, words, doc, text, ("y", "c"), case_fold, mark_documents=True)
 
     x = F.col("frequency")
-    parts = sparse.groupBy("word").agg(
+    moments = sparse.groupBy("word").agg(
         F.count("*").alias("k"),
         F.avg(x).alias("mean_x"),
         F.var_pop(x).alias("var_x"),
         F.covar_pop(x, "y").alias("cov_xy"),
         F.covar_pop(x, "c").alias("cov_xc"),
-        F.avg("y").alias("k_mean_y"),
-        F.avg("c").alias("k_mean_c"),
+        F.avg("y").alias("mean_y"),
+        F.avg("c").alias("mean_c"),
+        F.stddev_pop("y").alias("std_y"),
+        F.stddev_pop("c").alias("std_c"),
+        F.covar_pop("y", "c").alias("cov_yc"),
     )
+    # One row per word and one, under the empty word, for all documents.
+    parts = stage(moments, "moments")
+    total = parts.where("word = ''").select(F.struct("k", "mean_y", "mean_c", "std_y", "std_c", "cov_yc")).scalar()
+
     # Population moments over all n rows, from those of the k rows that hold the word and
-    # n - k rows with x = 0. A word that counts in no document has no slope.
-    share = F.col("k") / F.col("all.n")
-    merged = (
-        F.broadcast(words.select("word"))
-        .join(parts, "word", "left")
-        .withColumn("all", total)
-        .select(
-            "word",
-            F.col("all.n").alias("n"),
-            "all.std_y",
-            "all.std_c",
-            "all.cov_yc",
-            F.sqrt(share * (F.col("var_x") + F.col("mean_x") * F.col("mean_x") * (1.0 - share))).alias("std_x"),
-            (share * (F.col("cov_xy") + F.col("mean_x") * (F.col("k_mean_y") - F.col("all.mean_y")))).alias("cov_xy"),
-            (share * (F.col("cov_xc") + F.col("mean_x") * (F.col("k_mean_c") - F.col("all.mean_c")))).alias("cov_xc"),
-        )
+    # n - k rows with x = 0. A word that counts in no document has no slope and no row.
+    share = F.col("k") / F.col("all.k")
+    joined = parts.where("word <> ''").withColumn("all", total)
+    merged = joined.select(
+        "word",
+        F.col("all.k").alias("n"),
+        "all.std_y",
+        "all.std_c",
+        "all.cov_yc",
+        F.sqrt(share * (F.col("var_x") + F.col("mean_x") * F.col("mean_x") * (1.0 - share))).alias("std_x"),
+        (share * (F.col("cov_xy") + F.col("mean_x") * (F.col("mean_y") - F.col("all.mean_y")))).alias("cov_xy"),
+        (share * (F.col("cov_xc") + F.col("mean_x") * (F.col("mean_c") - F.col("all.mean_c")))).alias("cov_xc"),
     )
     if control is None:
         beta, t, df = slope_test(correlation(F.col("cov_xy"), F.col("std_x"), F.col("std_y")), F.col("n"))

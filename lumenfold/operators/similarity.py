@@ -28,7 +28,8 @@ def scale_features(panel: DataFrame, features: Sequence[str], entity: str = "ent
 
     ``endpoint``: (v - first) / (last - first), with the values of the smallest and
     largest entity; ``minmax``: with the least and greatest value. 0 where the divisor
-    is 0. Both are one pre-combined aggregate to a single row, used as a scalar.
+    is 0. The two ends per feature are one pre-combined aggregate, run here to one row of
+    numbers, so that the scaled columns are plain arithmetic.
     """
     columns = [F.col(f).cast("double").alias(f) for f in features]
     numbers = panel.select(entity, *columns)
@@ -43,13 +44,17 @@ def scale_features(panel: DataFrame, features: Sequence[str], entity: str = "ent
         )
     else:
         raise ValueError("mode is 'endpoint' or 'minmax'")
-    joined = numbers.withColumn("_ends", ends.select(F.struct("low", "high")).scalar())
+    row = ends.first()
+    if row["low"] is None:
+        return numbers
 
     def scaled(name: str) -> Column:
-        low, high = F.col(f"_ends.low.{name}"), F.col(f"_ends.high.{name}")
-        return F.when(high == low, F.lit(0.0)).otherwise((F.col(name) - low) / (high - low))
+        low, high = row["low"][name], row["high"][name]
+        if low is None or high is None:
+            return F.lit(None).cast("double")
+        return F.lit(0.0) if high == low else (F.col(name) - low) / (high - low)
 
-    return joined.select(entity, *[scaled(f).alias(f) for f in features])
+    return numbers.select(entity, *[scaled(f).alias(f) for f in features])
 
 
 def to_long(wide: DataFrame, features: Sequence[str], keys: Sequence[str] = ("entity",)) -> DataFrame:
@@ -120,9 +125,11 @@ def extreme_pairs(
     seeds = stage(_best_of_blocks(blocks, _seed_pairs(centres), k), "seeds")
     reach = seeds.groupBy("side").agg(F.count("*").alias("n"), F.min("score").alias("score"))
     bar = {r["side"]: r["score"] for r in reach.collect() if r["n"] == k}
-    rest = _best_of_blocks(blocks, _open_pairs(centres, bar), k)
-    once = rest.unionAll(seeds).groupBy("side", "a", "b").agg(F.max("score").alias("score"))
-    every = _k_best(once, k)
+    every = seeds
+    if len(centres.take(2)) == 2:
+        rest = _best_of_blocks(blocks, _open_pairs(centres, bar), k, bar)
+        once = rest.unionAll(seeds).groupBy("side", "a", "b").agg(F.max("score").alias("score"))
+        every = _k_best(once, k)
     sign = F.when(F.col("side") == "top", 1.0).otherwise(-1.0)
     return every.select("side", "a", "b", (F.col("score") * sign).alias("similarity"))
 
@@ -257,50 +264,60 @@ def _open_pairs(centres: DataFrame, bar: dict[str, float]) -> DataFrame:
     return _block_pairs(centres, choose)
 
 
-def _best_of_blocks(blocks: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+def _best_of_blocks(blocks: DataFrame, pairs: DataFrame, k: int, bar: dict[str, float] | None = None) -> DataFrame:
     """The k best rows per side over the given block pairs, as (side, score, a, b).
 
-    ``score`` is the rounded similarity, with its sign turned for the bottom side.
+    ``score`` is the rounded similarity, with its sign turned for the bottom side. Scores
+    below ``bar`` may be left out.
     """
     entity_type = blocks.schema["entities"].dataType.elementType.simpleString()
-    step, digits = SLICE_ROWS, DIGITS
+    step, digits, bars = SLICE_ROWS, DIGITS, dict(bar or {})
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def smallest(score, a, b):
-            order = np.lexsort((b, a, -score))[:k]
-            return score[order], a[order], b[order]
-
-        def merge(best, score, a, b):
-            old = best if best is not None else (score[:0], a[:0], b[:0])
-            return smallest(*(np.concatenate(pair) for pair in zip(old, (score, a, b))))
-
-        def candidates(score, ids_a, ids_b, usable):
-            score = np.where(usable, score, -np.inf).ravel()
-            if usable.sum() > k:
-                edge = np.partition(score, len(score) - k)[len(score) - k]
-                keep = np.flatnonzero((score >= edge) & usable.ravel())
-            else:
-                keep = np.flatnonzero(usable.ravel())
-            i, j = np.divmod(keep, len(ids_b))
-            a, b = ids_a[i], ids_b[j]
-            turned = a > b
-            return score[keep], np.where(turned, b, a), np.where(turned, a, b)
+        margin = 10.0**-digits
+        best = {"top": None, "bottom": None}
+
+        def edge(side):
+            least = bars.get(side, -np.inf)
+            full = best[side] is not None and len(best[side]) == k
+            return (max(least, best[side]["score"].min()) if full else least) - margin
+
+        def collect(side, cosine, ids_l, ids_r):
+            flat, limit = cosine.ravel(), edge(side)
+            kept = np.flatnonzero(flat >= limit) if side == "top" else np.flatnonzero(flat <= -limit)
+            score = flat[kept] if side == "top" else -flat[kept]
+            if len(kept) > k:
+                near = score >= np.partition(score, len(score) - k)[len(score) - k] - margin
+                kept, score = kept[near], score[near]
+            usable = score > -np.inf
+            i, j = np.divmod(kept[usable], len(ids_r))
+            a, b = ids_l[i], ids_r[j]
+            found = pd.DataFrame(
+                {
+                    "side": side,
+                    "score": np.round(score[usable], digits),
+                    "a": np.where(a < b, a, b),
+                    "b": np.where(a < b, b, a),
+                }
+            )
+            if len(found):
+                merged = found if best[side] is None else pd.concat([best[side], found])
+                best[side] = merged.sort_values(["score", "a", "b"], ascending=[False, True, True]).head(k)
 
         for batch in batches:
             for row in batch.itertuples(index=False):
                 ids_l, ids_r = np.array(list(row.left_ids)), np.array(list(row.right_ids))
                 m_l = np.frombuffer(row.left_matrix).reshape(len(ids_l), -1)
                 m_r = np.frombuffer(row.right_matrix).reshape(len(ids_r), -1)
-                best = {"top": None, "bottom": None}
+                alone = row.left == row.right
                 for x in range(0, len(ids_l), step):
-                    for y in range(0, len(ids_r), step):
-                        a, b = ids_l[x : x + step], ids_r[y : y + step]
-                        usable = a[:, None] < b[None, :] if row.left == row.right else a[:, None] != b[None, :]
-                        cosine = np.round(m_l[x : x + step] @ m_r[y : y + step].T, digits)
-                        best["top"] = merge(best["top"], *candidates(cosine, a, b, usable))
-                        best["bottom"] = merge(best["bottom"], *candidates(-cosine, a, b, usable))
-                for side, (score, a, b) in best.items():
-                    yield pd.DataFrame({"side": side, "score": score, "a": a, "b": b})
+                    for y in range(x if alone else 0, len(ids_r), step):
+                        cosine = m_l[x : x + step] @ m_r[y : y + step].T
+                        for side, never in (("top", -np.inf), ("bottom", np.inf)):
+                            if alone and x == y:
+                                cosine[np.tril_indices(len(cosine))] = never
+                            collect(side, cosine, ids_l[x : x + step], ids_r[y : y + step])
+        yield from (found for found in best.values() if found is not None)
 
     left = blocks.select(
         F.col("block").alias("left"), F.col("entities").alias("left_ids"), F.col("matrix").alias("left_matrix")

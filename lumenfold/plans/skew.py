@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot above 1/SHARES of the left rows, so there are fewer than SHARES
 # hot keys and fewer than 2 * SHARES pieces, whatever the size of the data. Keys
@@ -24,18 +25,32 @@ def salted_join(
 ) -> DataFrame:
     """Join ``left`` and ``right`` on ``on``, cutting each hot key of ``left`` in pieces.
 
-    ``weights`` has one row per key of ``left``: (``on``, ``rows``). The columns
-    in ``spread`` choose the piece by hash, so a recomputed task puts a row into
-    the same piece again. ``right`` rows of a hot key are repeated once per piece.
-    ``how`` is ``inner``, ``left`` or ``left_semi``.
+    ``weights`` has one row per key of ``left``: (``on``, ``rows``). It is aggregated right
+    away; without a hot key the result is the plain join. The columns in ``spread``
+    choose the piece by hash, so a recomputed task puts a row into the same piece again.
+    ``right`` rows of a hot key are repeated once per piece. ``how`` is ``inner``, ``left``
+    or ``left_semi``.
     """
-    total = weights.agg(F.sum("rows")).scalar()
-    piece_rows = F.greatest(total / F.lit(SHARES), F.lit(float(MIN_PIECE_ROWS)))
-    hot = F.broadcast(
-        weights.select(on, F.ceil(F.col("rows") / piece_rows).alias("_pieces")).where("_pieces > 1")
-    )
+    hot = hot_keys(weights, on)
+    if hot is None:
+        return left.join(right, on, how)
     piece = F.pmod(F.xxhash64(*spread), F.col("_pieces"))
     cut_left = left.join(hot, on, "left").withColumn("_piece", F.coalesce(piece, F.lit(0))).drop("_pieces")
     copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_pieces", F.lit(1)) - 1)
     cut_right = right.join(hot, on, "left").withColumn("_piece", F.explode(copies)).drop("_pieces")
     return cut_left.join(cut_right, [on, "_piece"], how).drop("_piece")
+
+
+def hot_keys(weights: DataFrame, on: str) -> DataFrame | None:
+    """(key, ``_pieces``) of the keys above the share limit, for broadcast; None if there are none.
+
+    Brings two numbers to the driver, and fewer than SHARES keys if some are hot.
+    """
+    size = weights.agg(F.sum("rows").alias("total"), F.max("rows").alias("largest")).first()
+    piece_rows = max((size["total"] or 0) / SHARES, float(MIN_PIECE_ROWS))
+    if (size["largest"] or 0) <= piece_rows:
+        return None
+    hot = weights.where(F.col(on).isNotNull() & (F.col("rows") > piece_rows))
+    rows = hot.select(on, F.ceil(F.col("rows") / F.lit(piece_rows)).alias("_pieces")).collect()
+    schema = T.StructType([weights.schema[on], T.StructField("_pieces", T.LongType())])
+    return F.broadcast(weights.sparkSession.createDataFrame(rows, schema)) if rows else None
