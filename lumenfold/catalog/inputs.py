@@ -36,6 +36,11 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def staged_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, staged for operators that read the text twice: here it comes from a join."""
+    return stage(reviews(spark, folder), "reviews")
+
+
 def customers_of_year(spark: SparkSession, folder: str, year: int) -> DataFrame:
     orders = table(spark, folder, "orders").where(F.year("o_orderdate") == year)
     return orders.select(F.col("o_custkey").alias("element"))
@@ -79,6 +84,11 @@ def cells(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def staged_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, staged for queries that use the panel several times."""
+    return stage(cells(spark, folder), "cells")
+
+
 def indexed_cells(spark: SparkSession, folder: str, cap: float | None = COMPLETION_CAP) -> DataFrame:
     return add_index(cells(spark, folder), cap)
 
@@ -109,7 +119,7 @@ def zip_map(spark: SparkSession, folder: str) -> DataFrame:
 
 def external_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Unemployment, education and population, as text with gaps."""
-    base = cells(spark, folder)
+    base = staged_cells(spark, folder)
     text = lambda c: F.col(c).cast("string").alias(c)
     unemployment = base.select("entity", "year", text("unemployment"))
     bachelor = F.when((F.col("entity") + F.col("year")) % 11 != 0, F.col("bachelor").cast("string"))

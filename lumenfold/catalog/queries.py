@@ -73,7 +73,7 @@ def top_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_frequencies(spark: SparkSession, folder: str) -> DataFrame:
-    reviews = i.reviews(spark, folder)
+    reviews = i.staged_reviews(spark, folder)
     return rounded(corpus.word_frequencies(reviews, corpus.top_tokens(reviews, 1000)), 9)
 
 
@@ -111,12 +111,12 @@ def hash_sample_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_regression(spark: SparkSession, folder: str) -> DataFrame:
-    tested = regression.word_regressions(i.reviews(spark, folder))
+    tested = regression.word_regressions(i.staged_reviews(spark, folder))
     return rounded(regression.both_ends(tested, "beta", ["word"]))
 
 
 def word_regression_controlled(spark: SparkSession, folder: str) -> DataFrame:
-    tested = regression.word_regressions(i.reviews(spark, folder), control="verified")
+    tested = regression.word_regressions(i.staged_reviews(spark, folder), control="verified")
     return rounded(regression.both_ends(tested, "beta", ["word"]))
 
 
@@ -216,7 +216,7 @@ def panel_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def entity_join(spark: SparkSession, folder: str) -> DataFrame:
-    cells = i.cells(spark, folder)
+    cells = i.staged_cells(spark, folder)
     left = cells.select("entity", "year", "completions")
     right = cells.select("entity", F.col("year").alias("other_year"), "unemployment")
     return rounded(panel.join_on_entity(left, right, "entity", ["year"]))

@@ -64,8 +64,8 @@ def word_frequencies(
 ) -> DataFrame:
     """(doc, word, frequency, carried columns) for the given words, non-zero entries only.
 
-    ``words`` is a short list (a top-k result) and is broadcast, so tokens outside it
-    are dropped before the shuffle. A word counts in a document only if it also stands
+    ``words`` is usually a short list (a top-k result); Spark then broadcasts it, and tokens
+    outside it are dropped before the shuffle. A word counts in a document only if it also stands
     there all in lower case, unless ``case_fold`` is set. ``mark_documents`` adds one row
     per document with the empty word, so that totals need no second pass over the text.
     """
@@ -85,7 +85,7 @@ def word_frequencies(
         "length",
         F.lower("token").alias("word"),
         (F.lower("token") == F.col("token")).alias("in_lower"),
-    ).join(F.broadcast(listed), "word")
+    ).join(listed, "word")
     counts = matches.groupBy(doc, "word").agg(
         F.count("*").alias("n"),
         F.max("in_lower").alias("in_lower"),
@@ -100,18 +100,25 @@ def set_difference(r: DataFrame, s: DataFrame, element: str = "element", mode: s
     """Elements of ``r`` that are not in ``s``.
 
     ``single`` keeps an element only if its one occurrence in both inputs together is
-    in ``r``; ``distinct`` is SQL EXCEPT. Both combine before the shuffle.
+    in ``r``; ``distinct`` keeps each element of ``r`` that ``s`` lacks, once.
     """
-    if mode == "distinct":
-        return r.select(element).subtract(s.select(element))
-    labelled = r.select(element, F.lit(1).alias("in_r")).unionAll(s.select(element, F.lit(0).alias("in_r")))
-    counts = labelled.groupBy(element).agg(F.count("*").alias("n"), F.max("in_r").alias("in_r"))
-    return counts.where("n = 1 AND in_r = 1").select(element)
+    if mode not in ("single", "distinct"):
+        raise ValueError("mode is 'single' or 'distinct'")
+    only_r = _membership(r, s, element).where("in_r AND NOT in_s")
+    return (only_r.where("n = 1") if mode == "single" else only_r).select(element)
 
 
 def set_intersection(r: DataFrame, s: DataFrame, element: str = "element") -> DataFrame:
-    """Elements that occur in both inputs."""
-    return r.select(element).intersect(s.select(element))
+    """Elements that occur in both inputs, once each."""
+    return _membership(r, s, element).where("in_r AND in_s").select(element)
+
+
+def _membership(r: DataFrame, s: DataFrame, element: str) -> DataFrame:
+    """(element, n, in_r, in_s), combined before the one shuffle, however often an element occurs."""
+    labelled = r.select(element, F.lit(True).alias("from_r")).unionAll(s.select(element, F.lit(False).alias("from_r")))
+    return labelled.groupBy(element).agg(
+        F.count("*").alias("n"), F.max("from_r").alias("in_r"), (~F.min("from_r")).alias("in_s")
+    )
 
 
 def dense_to_coordinates(matrix: DataFrame, label: str, cells: Column) -> DataFrame:

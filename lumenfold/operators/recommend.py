@@ -45,20 +45,23 @@ def item_neighbours(
     """(target, item, similarity, rank): the ``k`` items most similar to each target.
 
     Similarity is the centred cosine: the dot product runs over the common users, the
-    norms over all raters of each item. ``targets`` is a short list of items (column
-    ``item``) and is broadcast. ``ratings`` should be staged, since it is read four times.
+    norms over all raters of each item. ``targets`` is a list of items (column ``item``); it
+    is staged, so that Spark knows its size and broadcasts it while it is short.
+    ``ratings`` should be staged, since it is read four times.
 
     The item's own mean is subtracted after the sums (dot = sum(d * r) - mean * sum(d)),
     which saves joining the means to every rating.
     """
     moments = item_moments(ratings)
-    wanted = F.broadcast(targets.select(F.col("item").alias("target")).distinct())
-    of_targets = moments.join(wanted, F.col("item") == F.col("target")).select(
-        "target", F.col("mean").alias("target_mean"), F.col("norm").alias("target_norm")
+    wanted = targets.select(F.col("item").alias("target")).distinct()
+    of_targets = stage(
+        moments.join(wanted, F.col("item") == F.col("target")).select(
+            "target", F.col("mean").alias("target_mean"), F.col("norm").alias("target_norm")
+        ),
+        "targets",
     )
-    raters = (
-        ratings.join(F.broadcast(of_targets), F.col("item") == F.col("target"))
-        .select("user", "target", "target_norm", (F.col("rating") - F.col("target_mean")).alias("d"))
+    raters = ratings.join(of_targets, F.col("item") == F.col("target")).select(
+        "user", "target", "target_norm", (F.col("rating") - F.col("target_mean")).alias("d")
     )
     per_user = ratings.groupBy("user").agg(F.count("*").alias("rows"))
     common = salted_join(ratings, raters, "user", per_user, ["item"])
@@ -86,14 +89,13 @@ def predict_ratings(ratings: DataFrame, neighbours: DataFrame, min_neighbours: i
 
     The user's own rating of the target if there is one, else the mean of the neighbour
     ratings weighted by similarity; only positive results are kept. ``neighbours`` holds
-    at most k rows per target; it is staged and broadcast.
+    at most k rows per target; it is staged, so that Spark knows its size.
     """
     near = stage(neighbours.select("target", "item", "similarity"), "neighbours")
     own = near.select("target").distinct().select(
         "target", F.col("target").alias("item"), F.lit(None).cast("double").alias("similarity")
     )
-    asked = F.broadcast(near.unionAll(own))
-    rated = ratings.join(asked, "item")
+    rated = ratings.join(near.unionAll(own), "item")
     per_user = rated.groupBy("target", "user").agg(
         F.count("similarity").alias("n"),
         F.sum(F.col("rating") * F.col("similarity")).alias("weighted"),

@@ -39,6 +39,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_stage(spark: SparkSession) -> None:
+    """Delete what this application has staged. Frames built on it cannot be used afterwards."""
+    folder = f"{shared_dir(spark)}/lumenfold/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread_input(df: DataFrame) -> DataFrame:
     """Repartition a plain file scan that has fewer splits than the session has cores.
 
