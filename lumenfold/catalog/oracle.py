@@ -359,7 +359,7 @@ WHERE year >= 1997""",
     "panel_mean": """SELECT l_suppkey AS entity, CAST(year(l_shipdate) AS BIGINT) AS year,
 round(AVG(l_quantity), 6) AS l_quantity, round(AVG(l_extendedprice), 6) AS l_extendedprice FROM lineitem GROUP BY 1, 2""",
     "entity_mean": f"""WITH {CELLS} SELECT entity,
-{', '.join(f'round(AVG({c}), 6) AS {c}' for c in FEATURES)} FROM cells WHERE entity BETWEEN 0 AND 49 GROUP BY entity""",
+{', '.join(f'round(AVG({c}), 6) AS {c}' for c in FEATURES)} FROM cells GROUP BY entity""",
     "panel_join": f"""WITH {EXTERNAL} SELECT entity, year,
 {_rounded(['unemployment', 'high_school', 'bachelor', 'population'])} FROM joined""",
     "entity_join": f"""WITH {CELLS} SELECT a.entity, a.year, round(a.completions, 6) AS completions,
@@ -374,6 +374,8 @@ round({_index(OPEN_SHARE)}, 6) AS "index", round({_index(CAPPED_SHARE)}, 6) AS c
 CAST({_BIN} AS INTEGER) AS bin FROM indexed WHERE year = 1998""",
     "endpoint_scale": f"WITH {_scaled('endpoint')} {_long('scaled', 'entity', FEATURES)}",
     "minmax_scale": f"WITH {_scaled('minmax')} {_long('scaled', 'entity', FEATURES)}",
+    "feature_vectors": f"""WITH {_scaled('endpoint')} SELECT entity, {len(FEATURES)} AS dimensions,
+round({' + '.join(f'{f} * {f}' for f in FEATURES)}, 6) AS squared_length FROM scaled""",
     "pair_similarity": f"""WITH {COSINES}
 {_both_ends('cosines', 'a, b', 'a, b, round(similarity, 6) AS similarity', 10, 'similarity')}""",
     "pair_lookup": f"WITH {COSINES} SELECT a, b, round(similarity, 6) AS similarity FROM cosines WHERE a = 3 AND b = 7",

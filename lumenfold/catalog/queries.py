@@ -205,8 +205,7 @@ def panel_mean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def entity_mean(spark: SparkSession, folder: str) -> DataFrame:
-    rows = panel.of_entities(i.cells(spark, folder), range(0, 50))
-    return rounded(panel.entity_year_mean(rows, i.FEATURES, ["entity"]))
+    return rounded(panel.entity_year_mean(i.cells(spark, folder), i.FEATURES, ["entity"]))
 
 
 def panel_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -273,6 +272,14 @@ def minmax_scale(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(similarity.to_long(i.scaled_cells(spark, folder, "minmax"), i.FEATURES))
 
 
+def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = similarity.to_vectors(similarity.to_long(i.scaled_cells(spark, folder), i.FEATURES))
+    v = F.col("vector")
+    return rounded(
+        vectors.select("entity", F.size(v).alias("dimensions"), similarity.dot(v, v).alias("squared_length"))
+    )
+
+
 def pair_similarity(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(similarity.extreme_pairs(i.entity_vectors(spark, folder), 10))
 
@@ -373,6 +380,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         index_bins,
         endpoint_scale,
         minmax_scale,
+        feature_vectors,
         pair_similarity,
         pair_lookup,
         entity_neighbours,
