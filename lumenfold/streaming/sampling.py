@@ -18,10 +18,11 @@ def stream_hash_sample(stream: DataFrame, key: str, amount: str, share: float =
     return amount_moments(stream.where(in_bucket(key, share, bucket)), amount)
 
 
-def run_to_end(result: DataFrame) -> DataFrame:
+def run_to_end(result: DataFrame, checkpoint: str | None = None) -> DataFrame:
     """Process all files that are there now and return the final one-row result.
 
-    The state and the offsets lie in the shared folder, so a restarted query resumes.
+    State and offsets lie in ``checkpoint``; given again, a later run reads only the new
+    files and goes on from the old moments. By default it is a fresh shared folder.
     """
     spark = result.sparkSession
     name = f"running_{uuid.uuid4().hex}"
@@ -29,7 +30,7 @@ def run_to_end(result: DataFrame) -> DataFrame:
         result.writeStream.outputMode("complete")
         .format("memory")
         .queryName(name)
-        .option("checkpointLocation", scratch_path(spark, "stream"))
+        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream"))
         .trigger(availableNow=True)
         .start()
     )

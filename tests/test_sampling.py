@@ -57,6 +57,18 @@ def test_stream_equals_batch(spark, rows, tmp_path):
     assert got["n"] == want["n"] and math.isclose(got["mean"], want["mean"]) and math.isclose(got["std"], want["std"])
 
 
+def test_stream_goes_on_from_its_checkpoint(spark, rows, tmp_path):
+    folder, checkpoint = str(tmp_path / "txn"), str(tmp_path / "state")
+    stream = lambda: stream_hash_sample(spark.readStream.schema(rows.schema).csv(folder), "user", "amount", 0.5, 0)
+    half = rows.withColumn("n", F.monotonically_increasing_id() % 2).cache()
+    half.where("n = 0").drop("n").write.csv(folder)
+    first = run_to_end(stream(), checkpoint).first()["n"]
+    half.where("n = 1").drop("n").write.mode("append").csv(folder)
+    second = run_to_end(stream(), checkpoint).first()
+    want = sampling.hash_sample(rows, "user", "amount", 0.5, 0).first()
+    assert 0 < first < second["n"] == want["n"] and math.isclose(second["mean"], want["mean"])
+
+
 def test_digest_is_md5(spark):
     from lumenfold.functions.text import key_bucket, key_digest
 
