@@ -22,7 +22,7 @@ def test_support_filter_is_one_pass_each(spark, hot_pieces):
 
 
 def model(matrix, target, k):
-    """Reference on a dense matrix with NaN for no rating."""
+    """The same by numpy on a dense matrix with NaN for no rating."""
     have = ~np.isnan(matrix)
     centred = np.where(have, matrix - np.nanmean(matrix, axis=0), 0.0)
     norms = np.sqrt((centred**2).sum(axis=0))
