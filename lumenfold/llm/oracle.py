@@ -6,13 +6,13 @@ DECONTAMINATE = f"""
 WITH item AS (
     SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {WORDS.format(text="coalesce(text, '')")} AS w FROM benchmark
 ), phrase AS (
-    SELECT DISTINCT item, n, array_to_string(w[at:at + n - 1], ' ') AS phrase
+    SELECT DISTINCT item, n, array_to_string(list_slice(w, at, at + n - 1), ' ') AS phrase
     FROM (SELECT item, w, least(len(w), 10) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS at
           FROM item WHERE len(w) > 0)
 ), doc AS (
     SELECT row_number() OVER () AS r, doc_id, {WORDS.format(text="coalesce(text, '')")} AS w FROM documents
 ), place AS (
-    SELECT r, n, at, array_to_string(w[at:at + n - 1], ' ') AS phrase
+    SELECT r, n, at, array_to_string(list_slice(w, at, at + n - 1), ' ') AS phrase
     FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS at
           FROM doc, (SELECT DISTINCT n FROM phrase) WHERE len(w) >= n)
 ), found AS (

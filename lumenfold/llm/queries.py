@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, secret_scan, simhash
+from lumenfold.llm import decontaminate, packing, secret_scan, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(table(spark, folder, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op9_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -28,6 +32,7 @@ ALL = {
     f.__name__: f
     for f in (
         op2_secret_scan,
+        op6_best_fit_packing,
         op9_simhash_dedup,
         op10_decontaminate,
     )
