@@ -33,7 +33,6 @@ from lumenfold.plans.stage import stage
 SIZE = 10
 SLACK = 3
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def tokens(text: Column) -> Column:
@@ -147,9 +146,8 @@ def contamination(
 def document_hits(docs: DataFrame, items: DataFrame, size: int = SIZE, slack: int = SLACK) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near."""
     found = contamination(docs, items, size, slack)
-    text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
-        "doc_id", digest(F.col("text")).alias("digest"), F.regexp_count(lower_ascii(text), F.lit(WORD)).cast("long").alias("n_words")
+        "doc_id", digest(F.col("text")).alias("digest"), F.size(tokens(F.col("text"))).cast("long").alias("n_words")
     )
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     listed = F.coalesce("items", F.array().cast("array<string>"))
