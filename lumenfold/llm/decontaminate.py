@@ -32,6 +32,8 @@ from lumenfold.plans.stage import stage
 
 SIZE = 10
 SLACK = 3
+# Starts are compared within cells of so many words, so that a long text does not meet itself as a whole.
+CELL = 64
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -106,14 +108,13 @@ def matches(
     rare = stage(rarest_terms(unique, term_counts(texts, terms)), "rare-terms")
     index = stage(postings(texts, rare, size), "postings")
 
-    cells = slack + 1
     first = index.join(rare, "term").select(
         "digest", "phrase", "n", "offset", "back", "around", (F.col("at") - F.col("offset")).alias("start")
     )
-    first = first.withColumn("cell", F.floor(F.col("start") / cells))
+    first = first.withColumn("cell", F.floor(F.col("start") / CELL))
     begin2 = (F.col("at") - F.col("offset2")).alias("start2")
     second = index.join(rare.select("phrase", "offset2", F.col("term2").alias("term")), "term").select("digest", "phrase", begin2)
-    spread = F.sequence(F.floor((F.col("start2") - slack) / cells), F.floor((F.col("start2") + slack) / cells))
+    spread = F.sequence(F.floor((F.col("start2") - slack) / CELL), F.floor((F.col("start2") + slack) / CELL))
     second = second.withColumn("cell", F.explode(spread))
     near = first.join(second, ["digest", "phrase", "cell"]).where(F.abs(F.col("start") - F.col("start2")) <= slack)
     found = F.slice(F.split("around", " "), F.greatest(F.col("back") - F.col("offset"), F.lit(0)) + 1, F.col("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, packing, secret_scan, simhash
+from lumenfold.llm import decontaminate, packing, secret_scan, simhash, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -33,6 +37,7 @@ ALL = {
     for f in (
         op2_secret_scan,
         op6_best_fit_packing,
+        op8_toxicity,
         op9_simhash_dedup,
         op10_decontaminate,
     )

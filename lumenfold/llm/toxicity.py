@@ -7,7 +7,7 @@ found by accelerated proximal steps with an absolute-value penalty, so that only
 that carry the grade keep a weight. The result is the expected severity.
 
 Fit on a bounded sample: at most ``sample`` labelled rows, chosen by a hash of their id, and words in
-``min_docs`` to half of them. Everything else covers all rows and whole texts. Words
+``min_docs`` (or a thousandth) to half of them. Everything else covers all rows and whole texts. Words
 are runs of letters in lower case.
 
 A null or empty text has score 0. Labels that contradict each other for one id count with the
@@ -29,11 +29,19 @@ from lumenfold.llm.common import fresh
 
 SAMPLE = 20_000
 MIN_DOCS = 5
-PENALTY = 5e-4
-STEPS = 300
+# The weight of the penalty is PENALTY / sqrt(rows): noise shrinks with the sample, so it may too.
+PENALTY = 0.028
+STEPS = 250
 GRADES = 3
-LIMIT = 0.5
+LIMIT = 0.25
 WORDS = re.compile(r"[^\W\d_]+")
+STEM = 6
+
+
+def features(text: str | None) -> set[str]:
+    """The distinct words of a text, and the first letters of those longer than ``STEM``, marked."""
+    words = set(WORDS.findall((text or "").lower()))
+    return words | {w[:STEM] + "*" for w in words if len(w) > STEM}
 
 
 @dataclass(frozen=True)
@@ -42,7 +50,7 @@ class Model:
     thresholds: tuple[float, ...]
 
     def score(self, text: str | None) -> float:
-        return sum(map(self.weights.__getitem__, self.weights.keys() & set(WORDS.findall((text or "").lower()))))
+        return sum(map(self.weights.__getitem__, self.weights.keys() & features(text)))
 
     def expected(self, score: np.ndarray) -> np.ndarray:
         """The sum over k of the chance of a grade above k."""
@@ -70,32 +78,31 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int = MIN_DOCS, penalty: float = PENALTY) -> Model:
-    """A model from the labelled rows of ``docs``. The driver sees the word lists of the sample, cut to its vocabulary."""
-    from collections import Counter
+    """A model from the labelled rows of ``docs``. The driver sees word numbers of the sample."""
+    rows = labelled_sample(docs, labels, sample).cache()
+    n = rows.count()
 
     @F.arrow_udf("array<string>")
     def distinct(texts: pa.Array) -> pa.Array:
-        found = [sorted(set(WORDS.findall((t.as_py() or "").lower()))) for t in texts]
-        return pa.array(found, pa.list_(pa.string()))
+        return pa.array([list(features(t.as_py())) for t in texts], pa.list_(pa.string()))
 
-    rows = labelled_sample(docs, labels, sample).select("grade", distinct(F.col("text").cast("string")).alias("words")).cache()
-    n = rows.count()
-    counts = rows.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("docs"))
-    known = counts.where((F.col("docs") >= min_docs) & (F.col("docs") <= max(n // 2, min_docs)))
-    words = [r["word"] for r in known.select("word").orderBy("word").collect()]
+    text, least = F.col("text").cast("string"), max(min_docs, n // 1000)
+    counts = rows.select(F.explode(distinct(text)).alias("word")).groupBy("word").agg(F.count("*").alias("docs"))
+    known = counts.where((F.col("docs") >= least) & (F.col("docs") <= max(n // 2, least))).select("word").toArrow()
+    words = sorted(known.column("word").to_pylist())
     number = {w: i for i, w in enumerate(words)}
-    y, row, col = [], [], []
-    seen = Counter()
-    for r in rows.select("grade", "words").toLocalIterator():
-        ids = [number[w] for w in r["words"] if w in number]
-        row.extend([len(y)] * len(ids))
-        col.extend(ids)
-        y.append(r["grade"])
-        seen[r["grade"]] += 1
+
+    @F.arrow_udf("array<int>")
+    def numbered(texts: pa.Array) -> pa.Array:
+        return pa.array([[number[w] for w in features(t.as_py()) if w in number] for t in texts], pa.list_(pa.int32()))
+
+    found = rows.select("grade", numbered(text).alias("ids")).toArrow().combine_chunks()
     rows.unpersist()
-    if not seen[0] or len(seen) < 2:
+    y, ids = found.column("grade").to_numpy(), found.column("ids").combine_chunks()
+    if not len(y) or y.min() > 0 or y.max() < 1:
         return Model({}, tuple([np.inf] * (GRADES - 1)))
-    weights, thresholds = ordinal_fit(np.array(row), np.array(col), np.array(y), len(words), penalty)
+    row = np.repeat(np.arange(len(y)), np.diff(ids.offsets.to_numpy()))
+    weights, thresholds = ordinal_fit(row, ids.values.to_numpy(), y, len(words), penalty / np.sqrt(len(y)))
     return Model({w: float(v) for w, v in zip(words, weights, strict=True) if v}, tuple(map(float, thresholds)))
 
 
