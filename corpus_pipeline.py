@@ -8,10 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, secret_scan, simhash
+from lumenfold.llm import decontaminate, packing, secret_scan, simhash, toxicity
 from lumenfold.plans.stage import stage
 
 
+def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose expected severity is below the limit."""
+    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
     return simhash.keep_one(docs)
@@ -27,10 +32,17 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secret_scan.redact(docs)
 
 
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in the training sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontamination),
-    ("secrets", secrets),
+    ("toxicity", clean_language),
+    ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("secret_scan", secrets),
+    ("best_fit_packing", sequences),
 ]
 
 # Hashes and tokens are outside SQL: tests compare the stages with brute force instead.
@@ -38,6 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of ``sf_dir``, with a written table between them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
