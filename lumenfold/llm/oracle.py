@@ -6,19 +6,19 @@ DECONTAMINATE = f"""
 WITH item AS (
     SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {WORDS.format(text="coalesce(text, '')")} AS w FROM benchmark
 ), phrase AS (
-    SELECT DISTINCT item, n, array_to_string(list_slice(w, at, at + n - 1), ' ') AS phrase
-    FROM (SELECT item, w, least(len(w), 10) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS at
+    SELECT DISTINCT item, n, array_to_string(list_slice(w, pos, pos + n - 1), ' ') AS phrase
+    FROM (SELECT item, w, least(len(w), 10) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS pos
           FROM item WHERE len(w) > 0)
 ), doc AS (
     SELECT row_number() OVER () AS r, doc_id, {WORDS.format(text="coalesce(text, '')")} AS w FROM documents
 ), place AS (
-    SELECT r, n, at, array_to_string(list_slice(w, at, at + n - 1), ' ') AS phrase
-    FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS at
+    SELECT r, n, pos, array_to_string(list_slice(w, pos, pos + n - 1), ' ') AS phrase
+    FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS pos
           FROM doc, (SELECT DISTINCT n FROM phrase) WHERE len(w) >= n)
 ), found AS (
-    SELECT r, at, n, item FROM place JOIN phrase USING (n, phrase)
+    SELECT r, pos, n, item FROM place JOIN phrase USING (n, phrase)
 ), hit AS (
-    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(at, at + n - 1)) AS p FROM found) GROUP BY r
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(pos, pos + n - 1)) AS p FROM found) GROUP BY r
 ), listed AS (
     SELECT r, list(item ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
 )
@@ -28,4 +28,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
 """
 
-ALL = {"op10_decontaminate": DECONTAMINATE}
+TOPK = """
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.e, d.e) AS BIGINT) AS score,
+           row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.e, d.e) DESC, d.vec_id, d.r) AS rank
+    FROM v q JOIN v d ON q.r <> d.r WHERE q.vec_id % 20 = 0
+) WHERE rank <= 20
+"""
+
+ALL = {"op3_topk_search": TOPK, "op10_decontaminate": DECONTAMINATE}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, packing, secret_scan, simhash, toxicity
+from lumenfold.llm import decontaminate, packing, secret_scan, simhash, topk_search, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(table(spark, folder, "documents"))
 
 
+def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.search(table(spark, folder, "embeddings"))
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -36,6 +40,7 @@ ALL = {
     f.__name__: f
     for f in (
         op2_secret_scan,
+        op3_topk_search,
         op6_best_fit_packing,
         op8_toxicity,
         op9_simhash_dedup,

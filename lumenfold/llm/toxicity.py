@@ -33,7 +33,7 @@ MIN_DOCS = 5
 PENALTY = 0.028
 STEPS = 250
 GRADES = 3
-LIMIT = 0.25
+LIMIT = 0.3
 WORDS = re.compile(r"[^\W\d_]+")
 STEM = 6
 
