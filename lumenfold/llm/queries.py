@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, packing, secret_scan, simhash, topk_search, toxicity
+from lumenfold.llm import decontaminate, language_id, packing, secret_scan, simhash, topk_search, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.search(table(spark, folder, "embeddings"))
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -41,6 +45,7 @@ ALL = {
     for f in (
         op2_secret_scan,
         op3_topk_search,
+        op5_language_id,
         op6_best_fit_packing,
         op8_toxicity,
         op9_simhash_dedup,
