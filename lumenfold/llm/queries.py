@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, language_id, packing, secret_scan, simhash, topk_search, toxicity
+from lumenfold.llm import decontaminate, language_id, packing, secret_scan, simhash, suffix_dedup, topk_search, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, folder, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(table(spark, folder, "documents"))
 
@@ -43,6 +47,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 ALL = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op2_secret_scan,
         op3_topk_search,
         op5_language_id,
