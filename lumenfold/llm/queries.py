@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, language_id, packing, secret_scan, simhash, suffix_dedup, topk_search, toxicity
+from lumenfold.llm import decontaminate, language_id, license_scan, packing, quote_links, secret_scan, simhash, suffix_dedup, topk_search, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.search(table(spark, folder, "embeddings"))
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
@@ -31,6 +35,10 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op7_quote_links(spark: SparkSession, folder: str) -> DataFrame:
+    return quote_links.reply_ordered(table(spark, folder, "conversations"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -50,8 +58,10 @@ ALL = {
         op1_suffix_dedup,
         op2_secret_scan,
         op3_topk_search,
+        op4_license_scan,
         op5_language_id,
         op6_best_fit_packing,
+        op7_quote_links,
         op8_toxicity,
         op9_simhash_dedup,
         op10_decontaminate,
