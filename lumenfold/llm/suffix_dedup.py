@@ -43,6 +43,8 @@ GRAM = 128
 SIDE = LENGTH - GRAM
 HOT = 100_000
 SAMPLE = 0.01
+# Lists of hot grams and contexts are broadcast up to so many rows, and joined by shuffle beyond.
+LISTED = 100_000
 SLICE = 1 << 20
 BUCKET_BYTES = 16 << 20
 LOCATION = np.dtype([("digest", "S16"), ("pos", "<i8"), ("lo", "<i2"), ("hi", "<i2")])
@@ -345,11 +347,15 @@ def with_heat(found: DataFrame, texts: DataFrame, hot: int, sample: float) -> Da
     """Add ``hot``: 1 for places of a gram with more than ``hot`` places by a sample, 2 if the context is so frequent."""
     seen = stage(texts.sample(sample, seed=1).mapInArrow(find_places, "gram long, ctx long, loc binary").select("gram", "ctx"), "sampled-places")
     most = max(2, int(hot * sample))
-    grams = seen.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most).select("gram", F.lit(1).alias("hot_gram"))
-    contexts = seen.groupBy("gram", "ctx").agg(F.count("*").alias("n")).where(F.col("n") > most)
-    contexts = contexts.select("gram", "ctx", F.lit(2).alias("hot_ctx"))
-    # A sample of rows has fewer than rows / most frequent grams; beyond that it is a plain join.
-    both = found.join(grams, "gram", "left").join(contexts, ["gram", "ctx"], "left")
+    grams = seen.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    grams = stage(grams.select("gram", F.lit(1).alias("hot_gram")), "hot-grams")
+    contexts = seen.join(F.broadcast(grams) if (n := grams.count()) <= LISTED else grams, "gram", "left_semi")
+    contexts = contexts.groupBy("gram", "ctx").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    contexts = stage(contexts.select("gram", "ctx", F.lit(2).alias("hot_ctx")), "hot-contexts")
+    if not n:
+        return found.withColumn("hot", F.lit(0))
+    near = F.broadcast if n <= LISTED and contexts.count() <= LISTED else lambda df: df
+    both = found.join(near(grams), "gram", "left").join(near(contexts), ["gram", "ctx"], "left")
     return both.withColumn("hot", F.coalesce("hot_ctx", "hot_gram", F.lit(0))).drop("hot_ctx", "hot_gram")
 
 
