@@ -66,11 +66,11 @@ def test_terms_in_blocks(spark, monkeypatch):
 
 
 def test_proximity(spark):
-    items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id long, text string")
     others = "alpha beta gamma delta epsilon zeta eta theta"
-    docs = make(spark, [others + " iota kappa", "iota x kappa", others, others, "iota " + "x " * 9 + "kappa"])
+    items = spark.createDataFrame([(1, others + " iota kappa")], "item_id long, text string")
+    docs = make(spark, [others + " iota kappa", "iota x kappa", others, others + " " + others, "iota " + "x " * 9 + "kappa", others])
     rows = {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in decontaminate.document_hits(docs, items).collect()}
-    assert rows == {0: (10, 0), 1: (0, 1), 2: (0, 0), 3: (0, 0), 4: (0, 0)}
+    assert rows == {0: (10, 0), 1: (0, 1), 2: (0, 0), 3: (0, 0), 4: (0, 0), 5: (0, 0)}
 
 
 def test_drop_contaminated(spark, odd, none):
