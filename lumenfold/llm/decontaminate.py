@@ -53,7 +53,8 @@ def phrases(items: DataFrame, size: int = SIZE, item: str = "item_id", text: str
 
 def term_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, rows): how often each term stands in ``texts`` (text)."""
-    words = texts.select(F.explode(tokens(F.col("text"))).alias("term"))
+    # The outer form, or Spark would split every text once more to see whether it has words.
+    words = texts.select(F.explode_outer(tokens(F.col("text"))).alias("term"))
     parts = [words.join(block, "term").groupBy("term").agg(F.count("*").alias("rows")) for block in byte_blocks(terms, "term")]
     return reduce(DataFrame.unionAll, parts)
 
@@ -85,7 +86,7 @@ def postings(texts: DataFrame, rare: DataFrame, size: int = SIZE) -> DataFrame:
     terms = rare.select("term", F.lit(True).alias("rarest")).unionAll(rare.select(F.col("term2"), F.lit(False)))
     terms = terms.groupBy("term").agg(F.max("rarest").alias("rarest"))
     words = texts.select("digest", tokens(F.col("text")).alias("words"))
-    spread = words.select("digest", "words", F.posexplode("words").alias("at", "term"))
+    spread = words.select("digest", "words", F.posexplode_outer("words").alias("at", "term"))
     back = F.least(F.col("at"), F.lit(size - 1))
     around = F.array_join(F.slice("words", F.col("at") - back + 1, back + size), " ")
     parts = [
