@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from lumenfold.functions import text
+
 FEATURES = ["completions", "population", "high_school", "some_college", "bachelor", "unemployment"]
-TOKEN = r"""((?:[\.,!?;"])|(?:(?:\#|\@)?[A-Za-z0-9_\-]+(?:''[a-z]{1,3})?))"""
+# The token pattern, quoted for SQL.
+TOKEN = text.TOKEN.replace("'", "''").replace("\\''", "''")
 # White space as Unicode defines it, with the four separator control characters.
 SPACE = (
     r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -11,19 +14,20 @@ SPACE = (
 
 REVIEWS = """
 reviews AS (
-  SELECT d.doc_id, d.text, CAST(l.quality AS DOUBLE) AS y, CAST(l.toxic AS DOUBLE) AS c, l.quality, l.toxic
-  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+  SELECT d.doc_id, d.text, l.doc_id IS NOT NULL AS whole, COALESCE(CAST(l.quality AS DOUBLE), 0) AS y,
+         COALESCE(CAST(l.toxic AS DOUBLE), 0) AS c
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 )"""
 TOKENS = f"""{REVIEWS},
 tokens AS (
-  SELECT doc_id, y, c, len(ts) AS length, unnest(ts) AS token
-  FROM (SELECT doc_id, y, c, regexp_extract_all(text, '{TOKEN}', 1) AS ts FROM reviews)
+  SELECT doc_id, whole, y, c, len(ts) AS length, unnest(ts) AS token
+  FROM (SELECT doc_id, whole, y, c, regexp_extract_all(text, '{TOKEN}', 1) AS ts FROM reviews)
 ),
 top AS (
   SELECT lower(token) AS word, COUNT(*) AS n FROM tokens GROUP BY 1 ORDER BY n DESC, word LIMIT 1000
 ),
 freqs AS (
-  SELECT t.doc_id, lower(t.token) AS word, any_value(t.y) AS y, any_value(t.c) AS c,
+  SELECT t.doc_id, lower(t.token) AS word, any_value(t.y) AS y, any_value(t.c) AS c, any_value(t.whole) AS whole,
          CAST(COUNT(*) AS DOUBLE) / any_value(t.length) AS frequency
   FROM tokens t JOIN top ON lower(t.token) = top.word
   GROUP BY t.doc_id, lower(t.token) HAVING bool_or(t.token = lower(t.token))
@@ -69,7 +73,8 @@ PLACES = f"""
 places AS (
   SELECT place, line, year,
     CASE WHEN k % 23 <> 0 THEN lpad(CAST(l_suppkey AS VARCHAR), 9, '0') || '-0001' END AS zip_text, l_suppkey,
-    CASE WHEN k % 29 = 0 THEN 'PrivacySuppressed' WHEN k % 31 <> 0 THEN format('{{:,}}', v) END AS completions,
+    CASE WHEN k % 29 = 0 THEN 'PrivacySuppressed'
+         WHEN k % 43 = 0 THEN ['12N', '40N', '1n2', 'N5', '5d', '1e999', 'Infinity'][k % 7 + 1] WHEN k % 31 <> 0 THEN format('{{:,}}', v) END AS completions,
     CASE WHEN k % 37 = 0 THEN '' ELSE CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) END AS tuition,
     CASE WHEN k % 3 <> 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS loans,
     CASE WHEN k % 2 <> 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS rare
@@ -79,7 +84,9 @@ places AS (
 NUMBERS = """
 numbers AS (
   SELECT place, line, year, zip_text, l_suppkey,
-         TRY_CAST(replace(completions, ',', '') AS DOUBLE) AS completions, TRY_CAST(tuition AS DOUBLE) AS tuition,
+         CASE WHEN regexp_full_match(replace(completions, ',', ''), '[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?')
+              AND NOT isinf(TRY_CAST(replace(completions, ',', '') AS DOUBLE))
+              THEN TRY_CAST(replace(completions, ',', '') AS DOUBLE) END AS completions, TRY_CAST(tuition AS DOUBLE) AS tuition,
          TRY_CAST(loans AS DOUBLE) AS loans, TRY_CAST(rare AS DOUBLE) AS rare
   FROM places
 )"""
@@ -135,14 +142,28 @@ neighbours AS (
 )"""
 
 
-def _scaled(mode: str) -> str:
-    low, high = ("min_by({f}, entity)", "max_by({f}, entity)") if mode == "endpoint" else ("min({f})", "max({f})")
+def _places(source: str, features: list[str], size: str = "1.0::DOUBLE") -> str:
+    """(entity, place, value) of vectors with the features in this order; those of size 0 have none."""
+    return " UNION ALL ".join(
+        f"SELECT entity, {p} AS place, round({_quoted(f)} / {size}, 6) AS value FROM {source} WHERE {size} > 0"
+        for p, f in enumerate(features)
+    )
+
+
+GAPS = """REPLACE (CASE WHEN entity % 5 > 1 THEN bachelor END AS bachelor,
+CASE WHEN entity % 11 > 0 THEN high_school END AS high_school)"""
+
+
+def _scaled(mode: str, gaps: str = "") -> str:
+    low, high = (
+        ("min_by({f}, entity) FILTER (WHERE {f} IS NOT NULL)", "max_by({f}, entity) FILTER (WHERE {f} IS NOT NULL)")
+    ) if mode == "endpoint" else ("min({f})", "max({f})")
     parts = []
     for f in FEATURES:
         lo, hi = f"(SELECT {low.format(f=f)} FROM one_year)", f"(SELECT {high.format(f=f)} FROM one_year)"
-        parts.append(f"CASE WHEN {hi} = {lo} THEN 0.0::DOUBLE ELSE ({f} - {lo}) / ({hi} - {lo}) + 0.0::DOUBLE END AS {f}")
+        parts.append(f"CASE WHEN {f} IS NOT NULL AND {hi} = {lo} THEN 0.0::DOUBLE ELSE ({f} - {lo}) / ({hi} - {lo}) + 0.0::DOUBLE END AS {f}")
     return f"""{CELLS},
-one_year AS (SELECT * FROM cells WHERE year = 1998),
+one_year AS (SELECT * {gaps} FROM cells WHERE year = 1998),
 scaled AS (SELECT entity, {', '.join(parts)} FROM one_year)"""
 
 
@@ -182,7 +203,7 @@ sums AS (
   SELECT f.word, any_value(w.n) AS n, SUM(f.frequency) / any_value(w.n) AS mx,
          sqrt(SUM(f.frequency * f.frequency) / any_value(w.n) - (SUM(f.frequency) / any_value(w.n)) ** 2) AS sx,
          SUM(f.frequency * (f.y - w.my)) / any_value(w.n) AS cxy, SUM(f.frequency * (f.c - w.mc)) / any_value(w.n) AS cxc
-  FROM freqs f, whole w GROUP BY f.word
+  FROM freqs f, whole w WHERE f.whole GROUP BY f.word
 )"""
 _WORD_OUTPUT = f"""
 scored AS (
@@ -298,6 +319,10 @@ SELECT entity, {_rounded(['completions', 'tuition', 'loans', 'unemployment', 'hi
 _PLACE_COLUMNS = "place, line, year, zip_text, completions, tuition, loans, rare"
 _BIN = " + ".join(f'CAST("index" >= {0.4 + 0.2 * j / 15!r}::DOUBLE AS INTEGER)' for j in range(16))
 
+ZIP_JOIN = f"""WITH {PLACES}, {ZIP_MAP} SELECT place, line, year, zip_text, zip, entity
+FROM (SELECT *, TRY_CAST(substr(zip_text, 1, 9) AS BIGINT) AS code FROM places) p JOIN zip_map m ON p.code = m.zip
+WHERE year >= 1997"""
+
 ALL: dict[str, str] = {
     "word_count": f"""
 SELECT word, COUNT(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '{SPACE}')) AS word FROM documents)
@@ -353,9 +378,8 @@ WHERE zip_text IS NOT NULL AND completions IS NOT NULL AND tuition IS NOT NULL A
     "fill_group_mean": f"""WITH {PLACES}, {NUMBERS} SELECT place, line, year, zip_text,
 round(COALESCE(completions, AVG(completions) OVER (PARTITION BY zip_text)), 6) AS completions,
 round(COALESCE(loans, AVG(loans) OVER (PARTITION BY zip_text)), 6) AS loans FROM numbers WHERE zip_text IS NOT NULL""",
-    "zip_join": f"""WITH {PLACES}, {ZIP_MAP} SELECT place, line, year, zip_text, zip, entity
-FROM (SELECT *, TRY_CAST(substr(zip_text, 1, 9) AS BIGINT) AS code FROM places) p JOIN zip_map m ON p.code = m.zip
-WHERE year >= 1997""",
+    "zip_join": ZIP_JOIN,
+    "zip_join_cut": ZIP_JOIN,
     "panel_mean": """SELECT l_suppkey AS entity, CAST(year(l_shipdate) AS BIGINT) AS year,
 round(AVG(l_quantity), 6) AS l_quantity, round(AVG(l_extendedprice), 6) AS l_extendedprice FROM lineitem GROUP BY 1, 2""",
     "entity_mean": f"""WITH {CELLS} SELECT entity,
@@ -374,8 +398,11 @@ round({_index(OPEN_SHARE)}, 6) AS "index", round({_index(CAPPED_SHARE)}, 6) AS c
 CAST({_BIN} AS INTEGER) AS bin FROM indexed WHERE year = 1998""",
     "endpoint_scale": f"WITH {_scaled('endpoint')} {_long('scaled', 'entity', FEATURES)}",
     "minmax_scale": f"WITH {_scaled('minmax')} {_long('scaled', 'entity', FEATURES)}",
-    "feature_vectors": f"""WITH {_scaled('endpoint')} SELECT entity, {len(FEATURES)} AS dimensions,
-round({' + '.join(f'{f} * {f}' for f in FEATURES)}, 6) AS squared_length FROM scaled""",
+    "feature_vectors": f"WITH {_scaled('endpoint')} {_places('scaled', sorted(FEATURES))}",
+    "gap_vectors": f"""WITH {_scaled('endpoint', GAPS)},
+filled AS (SELECT entity, {', '.join(f'COALESCE({f}, 0) AS {f}' for f in FEATURES)} FROM scaled),
+sized AS (SELECT *, sqrt({' + '.join(f'{f} * {f}' for f in FEATURES)}) AS size FROM filled)
+{_places('sized', FEATURES, 'size')}""",
     "pair_similarity": f"""WITH {COSINES}
 {_both_ends('cosines', 'a, b', 'a, b, round(similarity, 6) AS similarity', 10, 'similarity')}""",
     "pair_lookup": f"WITH {COSINES} SELECT a, b, round(similarity, 6) AS similarity FROM cosines WHERE a = 3 AND b = 7",

@@ -12,7 +12,7 @@ from lumenfold.catalog import inputs as i
 from lumenfold.functions.clean import COMPLETION_CAP, SENTINEL
 from lumenfold.operators import cleaning, corpus, panel, recommend, regression, sampling, similarity
 from lumenfold.plans.panel import ENTITY_RULES, PANEL_RULES, add_index, prepared_panel
-from lumenfold.plans.stage import scratch_path
+from lumenfold.plans.stage import scratch_path, stage
 from lumenfold.sources import (
     read_header_csv,
     read_numeric_csv,
@@ -41,11 +41,11 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def word_count(spark: SparkSession, folder: str) -> DataFrame:
-    return corpus.word_count(table(spark, folder, "documents", spread=True))
+    return corpus.word_count(i.documents(spark, folder))
 
 
 def char_moments(spark: SparkSession, folder: str) -> DataFrame:
-    return corpus.letter_moments(table(spark, folder, "documents", spread=True))
+    return corpus.letter_moments(i.documents(spark, folder))
 
 
 def set_difference(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,12 +69,13 @@ def dense_to_coo(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return corpus.top_tokens(i.reviews(spark, folder), 1000)
+    return corpus.top_tokens(i.documents(spark, folder))
 
 
 def word_frequencies(spark: SparkSession, folder: str) -> DataFrame:
-    reviews = i.staged_reviews(spark, folder)
-    return rounded(corpus.word_frequencies(reviews, corpus.top_tokens(reviews, 1000)), 9)
+    rows = stage(corpus.counted(i.documents(spark, folder), carry=["doc_id"]), "counted")
+    found = corpus.counted_frequencies(rows, stage(corpus.top_words(rows), "words"), ["doc_id"])
+    return rounded(found.select("doc_id", "word", "frequency"), 9)
 
 
 # Samples
@@ -111,12 +112,12 @@ def hash_sample_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_regression(spark: SparkSession, folder: str) -> DataFrame:
-    tested = regression.word_regressions(i.staged_reviews(spark, folder))
+    tested = regression.word_regressions(i.reviews(spark, folder))
     return rounded(regression.both_ends(tested, "beta", ["word"]))
 
 
 def word_regression_controlled(spark: SparkSession, folder: str) -> DataFrame:
-    tested = regression.word_regressions(i.staged_reviews(spark, folder), control="verified")
+    tested = regression.word_regressions(i.reviews(spark, folder), control="verified")
     return rounded(regression.both_ends(tested, "beta", ["word"]))
 
 
@@ -194,8 +195,17 @@ def fill_group_mean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def zip_join(spark: SparkSession, folder: str) -> DataFrame:
-    places = panel.since_year(i.places(spark, folder), i.FIRST_YEAR).select("place", "line", "year", "zip_text")
-    return panel.join_zip_map(places, i.zip_map(spark, folder), "zip_text", ["place", "line"], i.ZIP_LENGTH)
+    return _zip_join(spark, folder, None)
+
+
+def zip_join_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a low limit, so that hot codes are cut in pieces."""
+    return _zip_join(spark, folder, 20)
+
+
+def _zip_join(spark: SparkSession, folder: str, piece_rows: int | None) -> DataFrame:
+    places = i.places(spark, folder, i.FIRST_YEAR).select("place", "line", "year", "zip_text")
+    return panel.join_zip_map(places, i.zip_map(spark, folder), "zip_text", ["place", "line"], i.ZIP_LENGTH, piece_rows)
 
 
 def panel_mean(spark: SparkSession, folder: str) -> DataFrame:
@@ -232,7 +242,7 @@ def prepared_by_entity(spark: SparkSession, folder: str) -> DataFrame:
 def _prepared(spark: SparkSession, folder: str, rules) -> DataFrame:
     return rounded(
         prepared_panel(
-            i.places(spark, folder),
+            i.places(spark, folder, i.FIRST_YEAR),
             i.zip_map(spark, folder),
             *i.external_tables(spark, folder),
             i.PLACE_NUMBERS,
@@ -258,7 +268,7 @@ def trend_series(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def index_bins(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(panel.index_bins(i.indexed_cells(spark, folder), i.SIMILARITY_YEAR, width=5))
+    return rounded(panel.index_bins(i.indexed_cells(spark, folder, year=i.SIMILARITY_YEAR), i.SIMILARITY_YEAR, width=5))
 
 
 # Similarity
@@ -274,10 +284,17 @@ def minmax_scale(spark: SparkSession, folder: str) -> DataFrame:
 
 def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = similarity.to_vectors(similarity.to_long(i.scaled_cells(spark, folder), i.FEATURES))
-    v = F.col("vector")
-    return rounded(
-        vectors.select("entity", F.size(v).alias("dimensions"), similarity.dot(v, v).alias("squared_length"))
-    )
+    return _elements(vectors)
+
+
+def gap_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Unit vectors of entities that lack some features, which count as zero."""
+    scaled = similarity.scale_features(i.cells_with_gaps(spark, folder), i.FEATURES)
+    return _elements(similarity.unit_vectors(scaled, i.FEATURES, missing="zero"))
+
+
+def _elements(vectors: DataFrame) -> DataFrame:
+    return rounded(vectors.select("entity", F.posexplode("vector").alias("place", "value")))
 
 
 def pair_similarity(spark: SparkSession, folder: str) -> DataFrame:
@@ -369,6 +386,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fill_global,
         fill_group_mean,
         zip_join,
+        zip_join_cut,
         panel_mean,
         entity_mean,
         panel_join,
@@ -381,6 +399,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         endpoint_scale,
         minmax_scale,
         feature_vectors,
+        gap_vectors,
         pair_similarity,
         pair_lookup,
         entity_neighbours,

@@ -14,6 +14,7 @@ SENTINEL = "PrivacySuppressed"
 COMPLETION_CAP = 0.493279
 COMPLETION_WEIGHT = 1.0
 INDEX_WEIGHTS = {"high_school": 0.4, "some_college": 0.6, "bachelor": 0.8}
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 BIN_START, BIN_STOP, BIN_ENDS = 0.4, 0.6, 16
 
 
@@ -30,11 +31,10 @@ def blank_to_null(value: Column, sentinel: str | None = SENTINEL) -> Column:
 
 
 def to_number(value: Column) -> Column:
-    """Double from text with thousands commas; null for any text that is no finite number.
-
-    Without its letters n, a NaN is no number either, and the value is used only once.
-    """
-    return F.translate(value, ",nN", "").try_cast("double")
+    """Double from text with thousands commas; null for any text that is no finite decimal number."""
+    plain = F.replace(value, F.lit(","), F.lit(""))
+    number = F.when(plain.rlike(NUMBER), plain.try_cast("double"))
+    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def code_prefix(value: Column, length: int = 5) -> Column:

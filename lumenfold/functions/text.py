@@ -77,6 +77,35 @@ def run_lengths(values: Column) -> Column:
     return _bind(F.sort_array(values), measure)
 
 
+def token_runs(token_array: Column) -> Column:
+    """Array of (word, n, in_lower) for the distinct words among the tokens, in lower case.
+
+    ``in_lower`` says whether the word also stands there all in lower case. The tokens are sorted
+    by word, those in lower case last, and the runs are measured.
+    """
+
+    def measure(ordered: Column) -> Column:
+        size = F.size(ordered)
+        starts = F.filter(
+            F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))),
+            lambda i: (i < size) & ((i == 0) | (F.get(ordered, i)["word"] != F.get(ordered, i - 1)["word"])),
+        )
+
+        def run(first: Column, after: Column) -> Column:
+            end = F.coalesce(after, size)
+            return F.struct(
+                F.get(ordered, first)["word"].alias("word"),
+                (end - first).cast("long").alias("n"),
+                F.get(ordered, end - 1)["low"].alias("in_lower"),
+            )
+
+        return _bind(starts, lambda first: F.zip_with(first, F.slice(first, F.lit(2), F.greatest(F.size(first), F.lit(1))), run))
+
+    pairs = F.zip_with(lower_all(token_array), token_array, lambda w, t: F.struct(w.alias("word"), (w == t).alias("low")))
+    kept = F.filter(pairs, lambda p: p["low"].isNotNull() & (p["word"] != ""))
+    return _bind(F.sort_array(kept), measure)
+
+
 def _bind(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it many times inside ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

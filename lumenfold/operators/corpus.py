@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.functions import text as tx
 
+# Fixed value: how many of the most frequent words are looked at.
+TOP = 1000
+
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n): white-space separated words in lower case, punctuation kept."""
@@ -48,52 +53,45 @@ def token_counts(reviews: DataFrame, text: str = "text") -> DataFrame:
     return words.where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
-def top_tokens(reviews: DataFrame, k: int = 1000, text: str = "text") -> DataFrame:
+def top_tokens(reviews: DataFrame, k: int = TOP, text: str = "text") -> DataFrame:
     """The ``k`` most frequent tokens; ties go to the smaller word."""
     return token_counts(reviews, text).orderBy(F.desc("n"), "word").limit(k)
 
 
-def word_frequencies(
-    reviews: DataFrame,
-    words: DataFrame,
-    doc: str = "doc_id",
-    text: str = "text",
-    carry: tuple[str, ...] = (),
-    case_fold: bool = False,
-    mark_documents: bool = False,
-) -> DataFrame:
-    """(doc, word, frequency, carried columns) for the given words, non-zero entries only.
+def counted(reviews: DataFrame, text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(carried columns, length, words): number of tokens, and (word, n, in_lower) of the distinct words of each row.
 
-    ``words`` is usually a short list (a top-k result); Spark then broadcasts it, and tokens
-    outside it are dropped before the shuffle. A word counts in a document only if it also stands
-    there all in lower case, unless ``case_fold`` is set. ``mark_documents`` adds one row
-    per document with the empty word, so that totals need no second pass over the text.
+    Counting happens inside the row, so rows need no id and nothing is shuffled.
     """
-    token_rows = reviews.select(
-        doc, *carry, tx.tokens(F.col(text)).alias("tokens")
-    )
-    # Tokens hold no blanks. Splitting inside the generator keeps arrays out of the rows.
-    line, listed = F.array_join("tokens", " "), words.select("word")
-    if mark_documents:
-        line = F.concat(F.lit(" "), F.coalesce(line, F.lit("")))
-        listed = listed.unionAll(words.sparkSession.createDataFrame([("",)], "word string"))
-    joined = token_rows.select(doc, *carry, F.size("tokens").alias("length"), line.alias("joined"))
-    exploded = joined.select(doc, *carry, "length", F.explode(F.split("joined", " ")).alias("token"))
-    matches = exploded.select(
-        doc,
-        *carry,
-        "length",
-        F.lower("token").alias("word"),
-        (F.lower("token") == F.col("token")).alias("in_lower"),
-    ).join(listed, "word")
-    counts = matches.groupBy(doc, "word").agg(
-        F.count("*").alias("n"),
-        F.max("in_lower").alias("in_lower"),
-        F.max("length").alias("length"),
-        *[F.max(c).alias(c) for c in carry],
-    )
-    kept = counts if case_fold else counts.where("in_lower")
-    return kept.select(doc, "word", F.try_divide(F.col("n"), F.col("length")).alias("frequency"), *carry)
+    token_rows = reviews.select(*carry, tx.tokens(F.col(text)).alias("tokens"))
+    return token_rows.select(*carry, F.size("tokens").alias("length"), tx.token_runs(F.col("tokens")).alias("words"))
+
+
+def top_words(rows: DataFrame, k: int = TOP) -> DataFrame:
+    """The ``k`` most frequent words of counted rows; ties go to the smaller word."""
+    # The outer form, or Spark would count every row once more to see whether it has words.
+    words = rows.select(F.explode_outer("words").alias("w")).where("w IS NOT NULL").groupBy("w.word").agg(F.sum("w.n").alias("n"))
+    return words.orderBy(F.desc("n"), "word").limit(k)
+
+
+def counted_frequencies(rows: DataFrame, words: DataFrame, carry: Sequence[str] = (), case_fold: bool = False) -> DataFrame:
+    """(carried columns, word, frequency) of counted rows for the given words, non-zero entries only.
+
+    A word counts in a row only if it also stands there all in lower case, unless ``case_fold`` is set.
+    ``words`` is a short list, which Spark broadcasts.
+    """
+    spread = rows.select(*carry, "length", F.explode_outer("words").alias("w"))
+    kept = spread.where("w IS NOT NULL") if case_fold else spread.where("w.in_lower")
+    frequency = F.try_divide(F.col("w.n"), F.col("length")).alias("frequency")
+    return kept.select(*carry, F.col("w.word").alias("word"), frequency).join(words.select("word"), "word")
+
+
+def word_frequencies(
+    reviews: DataFrame, words: DataFrame, doc: str = "doc_id", text: str = "text", case_fold: bool = False
+) -> DataFrame:
+    """(doc, word, frequency) for the given words, each row of ``reviews`` by itself."""
+    found = counted_frequencies(counted(reviews, text, [doc]), words, [doc], case_fold)
+    return found.select(doc, "word", "frequency")
 
 
 def set_difference(r: DataFrame, s: DataFrame, element: str = "element", mode: str = "single") -> DataFrame:

@@ -39,13 +39,16 @@ def join_panels(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("entity", "ye
 def join_on_entity(a: DataFrame, b: DataFrame, entity: str, spread: Sequence[str]) -> DataFrame:
     """Inner join on the entity alone: the years of both sides multiply.
 
-    A hot entity of ``a`` is split by the ``spread`` columns.
+    A hot entity of ``a`` is split by the ``spread`` columns; of the tasks that join it, each
+    holds a piece of ``a`` and reads the rows of ``b`` for that entity.
     """
     rows = a.groupBy(entity).agg(F.count("*").alias("rows"))
     return salted_join(a, b, entity, rows, spread)
 
 
-def join_zip_map(rows: DataFrame, zip_map: DataFrame, zip_text: str, spread: Sequence[str], length: int = 5) -> DataFrame:
+def join_zip_map(
+    rows: DataFrame, zip_map: DataFrame, zip_text: str, spread: Sequence[str], length: int = 5, piece_rows: int | None = None
+) -> DataFrame:
     """Attach the entities of a postal code; a code of several entities repeats its rows.
 
     The code is the leading ``length`` characters of ``zip_text``; rows without a whole
@@ -53,7 +56,7 @@ def join_zip_map(rows: DataFrame, zip_map: DataFrame, zip_text: str, spread: Seq
     """
     coded = rows.withColumn("zip", code_prefix(F.col(zip_text), length)).dropna(subset=["zip"])
     counts = coded.groupBy("zip").agg(F.count("*").alias("rows"))
-    return salted_join(coded, zip_map, "zip", counts, spread)
+    return salted_join(coded, zip_map, "zip", counts, spread, piece_rows=piece_rows)
 
 
 def trend_series(

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from lumenfold.plans import salted_join, stage
 
-# A similarity this small is the rounding noise of an exact zero.
+# A similarity up to this is the rounding noise of an exact zero.
 ZERO = 1e-12
+# Users an item needs, items a user needs, neighbours kept.
+MIN_USERS, MIN_ITEMS, NEIGHBOURS = 25, 5, 50
 
 
 def last_ratings(events: DataFrame, order_by: Sequence[str], rating: str = "rating") -> DataFrame:
@@ -21,12 +23,14 @@ def last_ratings(events: DataFrame, order_by: Sequence[str], rating: str = "rati
     return events.groupBy("user", "item").agg(F.max_by(rating, F.struct(*order_by)).alias("rating"))
 
 
-def support_filter(ratings: DataFrame, min_users: int = 25, min_items: int = 5) -> DataFrame:
-    """Keep items with enough users, then users with enough of those items; one pass each."""
-    per_item = ratings.groupBy("item").agg(F.count("*").alias("rows"))
+def support_filter(ratings: DataFrame, min_users: int = MIN_USERS, min_items: int = MIN_ITEMS) -> DataFrame:
+    """Keep items with enough users, then users with enough of those items; one pass each.
+
+    The counts and the first result are staged: each is read for the hot keys and for the filter.
+    """
+    per_item = stage(ratings.groupBy("item").agg(F.count("*").alias("rows")), "per_item")
     kept_items = per_item.where(F.col("rows") >= min_users).select("item")
-    of_items = salted_join(ratings, kept_items, "item", per_item, ["user"], how="left_semi")
-    # One row per user, staged because it is read for the weights and for the filter.
+    of_items = stage(salted_join(ratings, kept_items, "item", per_item, ["user"], how="left_semi"), "of_items")
     per_user = stage(of_items.groupBy("user").agg(F.count("*").alias("rows")), "per_user")
     kept_users = per_user.where(F.col("rows") >= min_items).select("user")
     return salted_join(of_items, kept_users, "user", per_user, ["item"], how="left_semi").select("user", "item", "rating")
@@ -40,7 +44,7 @@ def item_moments(ratings: DataFrame) -> DataFrame:
 
 
 def item_neighbours(
-    ratings: DataFrame, targets: DataFrame, k: int = 50, min_common: int = 2, include_self: bool = True
+    ratings: DataFrame, targets: DataFrame, k: int = NEIGHBOURS, min_common: int = 2, include_self: bool = True
 ) -> DataFrame:
     """(target, item, similarity, rank): the ``k`` items most similar to each target.
 

@@ -8,18 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.functions.stats import correlation, two_sided_p
-from lumenfold.operators.corpus import top_tokens, word_frequencies
+from lumenfold.operators.corpus import TOP, counted, counted_frequencies, top_words
 from lumenfold.plans import stage
 
 
 def word_regressions(
     reviews: DataFrame,
-    doc: str = "doc_id",
     text: str = "text",
     target: str = "rating",
     control: str | None = None,
     words: DataFrame | None = None,
-    top: int = 1000,
+    top: int = TOP,
     tests: int | None = None,
     clip: bool = False,
     missing: str = "zero",
@@ -35,14 +34,23 @@ def word_regressions(
     control or a ``required`` column count as all-zero rows, or are dropped (``missing``). ``se="ols"`` takes
     the correlation of word and control into the standard error, ``"simple"`` does not.
 
-    The text is read twice, once for the top tokens and once for all moments. Only
-    non-zero frequencies become rows; the moments of those rows are merged with the zero
-    rows in closed form.
+    ``words`` (column ``word``) replaces the top tokens; the number of tests is then theirs.
+
+    The text is read once: the words of each row are counted inside it, and only these counts are
+    staged. Only non-zero frequencies become rows, and combine per word before the shuffle; the
+    moments of those rows are merged with the zero rows in closed form. Rows need no id.
     """
-    rows = _complete_rows(reviews, doc, text, target, control, required, missing)
-    # Staged: the short list enters twice, and its corpus pass should run once.
-    words = stage(top_tokens(reviews, top, text), "words") if words is None else words
-    sparse = word_frequencies(rows, words, doc, text, ("y", "c"), case_fold, mark_documents=True)
+    marked = _marked_rows(reviews, text, target, control, required, missing)
+    rows = stage(counted(marked, text, ["whole", "y", "c"]), "counted")
+    if words is None:
+        words, number = stage(top_words(rows, top), "words"), top
+    else:
+        words = stage(words.select("word").distinct(), "words")
+        number = words.count()
+    kept = rows.where("whole") if missing == "drop" else rows
+    found = counted_frequencies(kept.where("whole"), words, ["y", "c"], case_fold)
+    everything = kept.select("y", "c", F.lit("").alias("word"), F.lit(0.0).alias("frequency"))
+    sparse = found.unionByName(everything)
 
     x = F.col("frequency")
     moments = sparse.groupBy("word").agg(
@@ -86,24 +94,23 @@ def word_regressions(
             se,
         )
     tested = merged.select("word", beta.alias("beta"), t.alias("t"), df.alias("df"), "n")
-    p = bonferroni(two_sided_p(F.col("t"), F.col("df")), top if tests is None else tests, clip)
+    p = bonferroni(two_sided_p(F.col("t"), F.col("df")), number if tests is None else tests, clip)
     return tested.select("word", "beta", p.alias("p"), "n")
 
 
-def _complete_rows(
-    reviews: DataFrame, doc: str, text: str, target: str, control: str | None, required: Sequence[str], missing: str
+def _marked_rows(
+    reviews: DataFrame, text: str, target: str, control: str | None, required: Sequence[str], missing: str
 ) -> DataFrame:
+    """(text, whole, y, c): whether the row is complete; target and control are 0 where it is not."""
+    if missing not in ("zero", "drop"):
+        raise ValueError("missing is 'zero' or 'drop'")
     whole = F.lit(True)
     for name in [text, target, *([control] if control else []), *required]:
         whole = whole & F.col(name).isNotNull()
     c = F.col(control).cast("double") if control else F.lit(0.0)
-    if missing == "drop":
-        return reviews.where(whole).select(doc, text, F.col(target).cast("double").alias("y"), c.alias("c"))
-    if missing != "zero":
-        raise ValueError("missing is 'zero' or 'drop'")
     return reviews.select(
-        doc,
-        F.when(whole, F.col(text)).alias(text),
+        text,
+        whole.alias("whole"),
         F.when(whole, F.col(target).cast("double")).otherwise(0.0).alias("y"),
         F.when(whole, c).otherwise(0.0).alias("c"),
     )

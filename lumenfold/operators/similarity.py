@@ -27,16 +27,19 @@ def scale_features(panel: DataFrame, features: Sequence[str], entity: str = "ent
     """(entity, scaled features), for one row per entity.
 
     ``endpoint``: (v - first) / (last - first), with the values of the smallest and
-    largest entity; ``minmax``: with the least and greatest value. 0 where the divisor
-    is 0. The two ends per feature are one pre-combined aggregate, run here to one row of
+    largest entity that has the feature; ``minmax``: with the least and greatest value. 0 where
+    the divisor is 0. A missing value stays missing. The two ends per feature are one pre-combined aggregate, run here to one row of
     numbers, so that the scaled columns are plain arithmetic.
     """
-    columns = [F.col(f).cast("double").alias(f) for f in features]
+    columns = [F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")).alias(f) for f in features]
     numbers = panel.select(entity, *columns)
-    whole = F.struct(*features)
     if mode == "endpoint":
-        at = F.struct(F.col(entity), whole)
-        ends = numbers.agg(F.min_by(whole, at).alias("low"), F.max_by(whole, at).alias("high"))
+        # A null order takes no part, so each feature has ends of its own where it has gaps.
+        at = {f: F.when(F.col(f).isNotNull(), F.struct(F.col(entity), F.col(f))) for f in features}
+        ends = numbers.agg(
+            F.struct(*[F.min_by(f, at[f]).alias(f) for f in features]).alias("low"),
+            F.struct(*[F.max_by(f, at[f]).alias(f) for f in features]).alias("high"),
+        )
     elif mode == "minmax":
         ends = numbers.agg(
             F.struct(*[F.min(f).alias(f) for f in features]).alias("low"),
@@ -45,14 +48,14 @@ def scale_features(panel: DataFrame, features: Sequence[str], entity: str = "ent
     else:
         raise ValueError("mode is 'endpoint' or 'minmax'")
     row = ends.first()
-    if row["low"] is None:
-        return numbers
 
     def scaled(name: str) -> Column:
         low, high = row["low"][name], row["high"][name]
         if low is None or high is None:
             return F.lit(None).cast("double")
-        return F.lit(0.0) if high == low else (F.col(name) - low) / (high - low)
+        if high == low:
+            return F.when(F.col(name).isNotNull(), F.lit(0.0))
+        return (F.col(name) - low) / (high - low)
 
     return numbers.select(entity, *[scaled(f).alias(f) for f in features])
 
@@ -68,8 +71,22 @@ def to_vectors(long: DataFrame, key: str = "entity") -> DataFrame:
     return long.groupBy(key).agg(F.transform(pairs, lambda p: p["value"]).alias("vector"))
 
 
-def unit_vectors(wide: DataFrame, features: Sequence[str], entity: str = "entity") -> DataFrame:
-    """(entity, vector) of length 1. An all-zero row has no direction and is left out."""
+def unit_vectors(wide: DataFrame, features: Sequence[str], entity: str = "entity", missing: str = "error") -> DataFrame:
+    """(entity, vector) of length 1. An all-zero row has no direction and is left out.
+
+    A row with a missing feature is an error when the vectors are read, or counts as zero
+    there (``missing="zero"``), or is left out (``missing="drop"``).
+    """
+    if missing not in ("error", "zero", "drop"):
+        raise ValueError("missing is 'error', 'zero' or 'drop'")
+    whole = functools.reduce(lambda a, b: a & b, [F.col(f).isNotNull() & ~F.isnan(F.col(f)) for f in features])
+    if missing == "zero":
+        filled = [F.coalesce(F.nanvl(F.col(f), F.lit(None).cast("double")), F.lit(0.0)).alias(f) for f in features]
+        wide = wide.select(entity, *filled)
+    elif missing == "drop":
+        wide = wide.where(whole)
+    else:
+        wide = wide.where(whole | F.raise_error("a feature is missing; say missing='zero' or missing='drop'").cast("boolean"))
     squares = [F.col(f) * F.col(f) for f in features]
     length = F.sqrt(functools.reduce(lambda a, b: a + b, squares))
     parts = wide.withColumn("_length", length).where("_length > 0 AND NOT isnan(_length)")

@@ -1,6 +1,6 @@
-"""Helpers that shape physical plans: shared staging, skew splitting, input spreading."""
+"""Helpers that shape physical plans: shared staging and skew splitting."""
 
 from lumenfold.plans.skew import salted_join
-from lumenfold.plans.stage import clear_stage, shared_dir, spread_input, stage
+from lumenfold.plans.stage import clear_stage, shared_dir, stage
 
-__all__ = ["clear_stage", "salted_join", "shared_dir", "spread_input", "stage"]
+__all__ = ["clear_stage", "salted_join", "shared_dir", "stage"]

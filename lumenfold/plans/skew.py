@@ -15,6 +15,13 @@ SHARES = 1024
 MIN_PIECE_ROWS = 1_000_000
 
 
+def broadcasts(df: DataFrame) -> bool:
+    """Whether Spark's size estimate of ``df`` is below its own limit for broadcasts."""
+    session = df.sparkSession._jsparkSession.sessionState()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return size <= session.conf().autoBroadcastJoinThreshold()
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -22,16 +29,19 @@ def salted_join(
     weights: DataFrame,
     spread: Sequence[str],
     how: str = "inner",
+    piece_rows: int | None = None,
 ) -> DataFrame:
     """Join ``left`` and ``right`` on ``on``, cutting each hot key of ``left`` in pieces.
 
     ``weights`` has one row per key of ``left``: (``on``, ``rows``). It is aggregated right
-    away; without a hot key the result is the plain join. The columns in ``spread``
+    away, unless Spark will broadcast ``right``, when no key is hot; without a hot key the
+    result is the plain join. The columns in ``spread``
     choose the piece by hash, so a recomputed task puts a row into the same piece again.
-    ``right`` rows of a hot key are repeated once per piece. ``how`` is ``inner``, ``left``
+    ``right`` rows of a hot key are repeated once per piece. A piece has ``piece_rows`` rows or
+    a SHARES-th of all, whichever is more; if it is given, the keys are counted in any case. ``how`` is ``inner``, ``left``
     or ``left_semi``.
     """
-    hot = hot_keys(weights, on)
+    hot = None if piece_rows is None and broadcasts(right) else hot_keys(weights, on, piece_rows)
     if hot is None:
         return left.join(right, on, how)
     piece = F.pmod(F.xxhash64(*spread), F.col("_pieces"))
@@ -41,13 +51,13 @@ def salted_join(
     return cut_left.join(cut_right, [on, "_piece"], how).drop("_piece")
 
 
-def hot_keys(weights: DataFrame, on: str) -> DataFrame | None:
+def hot_keys(weights: DataFrame, on: str, piece_rows: int | None = None) -> DataFrame | None:
     """(key, ``_pieces``) of the keys above the share limit, for broadcast; None if there are none.
 
     Brings two numbers to the driver, and fewer than SHARES keys if some are hot.
     """
     size = weights.agg(F.sum("rows").alias("total"), F.max("rows").alias("largest")).first()
-    piece_rows = max((size["total"] or 0) / SHARES, float(MIN_PIECE_ROWS))
+    piece_rows = max((size["total"] or 0) / SHARES, float(MIN_PIECE_ROWS if piece_rows is None else piece_rows))
     if (size["largest"] or 0) <= piece_rows:
         return None
     hot = weights.where(F.col(on).isNotNull() & (F.col("rows") > piece_rows))

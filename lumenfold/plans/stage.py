@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this cluster, as named by ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder; any other
-    session without it is an error, because executors do not share local disks.
+    A session without the setting is an error: executors do not share local disks, so
+    the library never picks a folder by itself.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lumenfold-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -44,14 +40,3 @@ def clear_stage(spark: SparkSession) -> None:
     folder = f"{shared_dir(spark)}/lumenfold/{spark.sparkContext.applicationId}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def spread_input(df: DataFrame) -> DataFrame:
-    """Repartition a plain file scan that has fewer splits than the session has cores.
-
-    Meant for CPU-heavy expressions over one small file or one gzip file. A scan with
-    enough splits is returned as it is, without a shuffle. Only for plain scans: counting
-    the partitions of a join or an aggregate would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

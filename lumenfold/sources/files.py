@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lumenfold.plans import spread_input
-
 # Headerless transactions: two leading columns nobody reads, then user and amount.
 TRANSACTIONS = T.StructType(
     [
@@ -41,9 +39,12 @@ def stream_transactions(spark: SparkSession, path: str, schema: T.StructType = T
     return spark.readStream.schema(schema).csv(path)
 
 
-def read_reviews(spark: SparkSession, path: str, schema: T.StructType = REVIEWS) -> DataFrame:
-    """JSON-lines reviews, plain or gzip. A few unsplittable files are spread over the cores."""
-    return spread_input(spark.read.schema(schema).json(path))
+def read_reviews(
+    spark: SparkSession, path: str, schema: T.StructType = REVIEWS, partitions: int | None = None
+) -> DataFrame:
+    """JSON-lines reviews, plain or gzip. ``partitions`` deals out the rows of a file that cannot be split."""
+    rows = spark.read.schema(schema).json(path)
+    return rows.repartition(partitions) if partitions else rows
 
 
 def read_header_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

@@ -22,3 +22,4 @@ def hot_pieces(monkeypatch):
 
     monkeypatch.setattr(skew, "MIN_PIECE_ROWS", 3)
     monkeypatch.setattr(skew, "SHARES", 16)
+    monkeypatch.setattr(skew, "broadcasts", lambda df: False)

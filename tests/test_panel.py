@@ -11,10 +11,10 @@ from lumenfold.plans.panel import ENTITY_RULES, PANEL_RULES, prepared_panel
 
 
 def test_numbers_from_text(spark):
-    texts = ["1,234.5", "PrivacySuppressed", "", None, "NaN", "nan", "-3", "12 345", "1e3", " 7 "]
+    texts = ["1,234.5", "PrivacySuppressed", "", None, "NaN", "nan", "-3", "12 345", "1e3", " 7 ", "12N", "1n2", "N5", "5d", "1e999", "-1e999", "Infinity", ".5", "5.", "."]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.coalesce(1).select(clean.to_number(F.col("t"))).collect()]
-    assert got == [1234.5, None, None, None, None, None, -3.0, None, 1000.0, 7.0]
+    assert got == [1234.5, None, None, None, None, None, -3.0, None, 1000.0, 7.0, *[None] * 7, 0.5, 5.0, None]
     blank = [r[0] for r in df.coalesce(1).select(clean.blank_to_null(F.col("t"))).collect()]
     assert blank[:5] == ["1,234.5", None, None, None, "NaN"]
 

@@ -1,14 +1,19 @@
 """Shapes of physical plans: what reaches the scan and what is shuffled."""
 
 import re
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from lumenfold.catalog import inputs, queries
+from lumenfold.plans import panel as panel_plan
+from lumenfold.plans import salted_join
+from lumenfold.plans import stage as real_stage
 from lumenfold.operators import corpus, recommend, regression, sampling, similarity
 from lumenfold.sources import table
 
+stage_module = sys.modules["lumenfold.plans.stage"]
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -61,3 +66,34 @@ def test_feature_moments_are_combined_before_the_shuffle(spark):
 def test_last_rating_keeps_one_shuffle(spark):
     df = spark.createDataFrame([(1, 2, 3.0, 4)], "user long, item long, rating double, moment long")
     assert plan(recommend.last_ratings(df, ["moment"])).count("Exchange") == 1
+
+
+def test_words_are_counted_inside_the_row(spark):
+    docs = table(spark, FOLDER, "documents").select("doc_id", "text")
+    words = spark.createDataFrame([("the",)], "word string")
+    text = plan(corpus.word_frequencies(docs, words))
+    assert "Exchange hashpartitioning" not in text and text.count("regexp_extract_all") == 1
+
+
+@pytest.mark.parametrize(
+    "name", "zip_join prepared_by_year prepared_by_entity index_bins endpoint_scale feature_vectors pair_lookup entity_neighbours".split()
+)
+def test_date_ranges_reach_the_scan(spark, name, monkeypatch):
+    seen = []
+    monkeypatch.setattr(stage_module, "stage", lambda df, label: seen.append(plan(df)) or real_stage(df, label))
+    monkeypatch.setattr(inputs, "stage", stage_module.stage)
+    monkeypatch.setattr(panel_plan, "stage", stage_module.stage)
+    text = plan(queries.ALL[name](spark, FOLDER))
+    assert any("GreaterThanOrEqual(l_shipdate" in t for t in [text, *seen])
+
+
+@pytest.mark.parametrize("name", ["word_count", "top_tokens", "clean_numeric", "char_moments", "drop_sparse_rows"])
+def test_rows_are_not_dealt_out_unasked(spark, name):
+    assert "RoundRobin" not in plan(queries.ALL[name](spark, FOLDER))
+
+
+def test_no_count_before_a_join_that_broadcasts(spark):
+    small = spark.range(10).withColumnRenamed("id", "k")
+    rows = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
+    broken = rows.groupBy("k").agg(F.raise_error("counted").alias("rows"))
+    assert salted_join(rows, small, "k", broken, ["id"]).count() == 1000

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lumenfold.functions.stats import two_sided_p
 from lumenfold.functions.text import TOKEN
 from lumenfold.operators import regression
+from lumenfold.sources import read_reviews
 
 
 def tail(t, df):
@@ -131,3 +132,26 @@ def test_both_ends_skip_null_and_nan(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("c", None), ("d", math.nan), ("e", -1.0)], "k string, s double")
     rows = regression.both_ends(df, "s", ["k"], 2).collect()
     assert [(r["side"], r["k"]) for r in rows] == [("top", "a"), ("top", "b"), ("bottom", "e"), ("bottom", "a")]
+
+
+def test_number_of_tests_is_that_of_the_given_words(spark):
+    reviews = spark.createDataFrame(REVIEWS, "doc_id long, text string, rating double, verified boolean")
+    words = spark.createDataFrame([("good",), ("bad",)], "word string")
+    adjusted, single = (
+        {r["word"]: r["p"] for r in regression.word_regressions(reviews, words=words, tests=n).collect()} for n in (None, 1)
+    )
+    assert adjusted["good"] == pytest.approx(2 * single["good"])
+
+
+def test_rows_with_equal_ids_stay_apart_and_need_no_id(spark):
+    reviews = spark.createDataFrame([(i % 6, "good x" if i % 4 else "x", float(i)) for i in range(12)], "doc_id long, text string, rating double")
+    row = regression.word_regressions(reviews.drop("doc_id")).where("word = 'good'").first()
+    assert row["n"] == 12
+
+
+def test_regression_of_a_review_file(spark, tmp_path):
+    lines = [f'{{"reviewText":"good day {i}","overall":{i % 5}.0,"verified":{"true" if i % 2 else "false"}}}' for i in range(20)]
+    (tmp_path / "r.json").write_text("\n".join([*lines, '{"overall":1}']))
+    reviews = read_reviews(spark, str(tmp_path / "r.json"))
+    rows = regression.word_regressions(reviews, text="reviewText", target="overall", control="verified").collect()
+    assert {r["n"] for r in rows} == {21}

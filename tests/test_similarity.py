@@ -95,3 +95,16 @@ def test_wide_to_long_to_vector(spark):
     got = {r["entity"]: r["vector"] for r in sm.to_vectors(long).collect()}
     assert got[3] == [1.0, 2.0]
     assert df.select(sm.dot(F.array("x", "y"), F.array("y", "flat"))).first()[0] == 7.0
+
+
+def test_gaps_are_an_error_unless_an_option_says_otherwise(spark):
+    rows = [(1, None, 2.0), (2, 1.0, 4.0), (3, 3.0, 8.0), (4, 5.0, None)]
+    panel = spark.createDataFrame(rows, "entity long, x double, y double")
+    scaled = sm.scale_features(panel, ["x", "y"])
+    got = {r["entity"]: (r["x"], r["y"]) for r in scaled.collect()}
+    assert got == {1: (None, 0.0), 2: (0.0, pytest.approx(1 / 3)), 3: (0.5, 1.0), 4: (1.0, None)}
+    with pytest.raises(Exception, match="a feature is missing"):
+        sm.unit_vectors(scaled, ["x", "y"]).collect()
+    assert {r["entity"] for r in sm.unit_vectors(scaled, ["x", "y"], missing="drop").collect()} == {2, 3}
+    zero = {r["entity"]: r["vector"] for r in sm.unit_vectors(scaled, ["x", "y"], missing="zero").collect()}
+    assert set(zero) == {2, 3, 4} and zero[4] == [1.0, 0.0]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenfold import sources
-from lumenfold.plans import clear_stage, shared_dir, spread_input, stage
+from lumenfold.plans import clear_stage, shared_dir, stage
 
 
 def test_staged_table_is_the_same_and_lies_in_the_shared_folder(spark):
@@ -27,15 +27,29 @@ def test_clear_stage_deletes_what_the_application_staged(spark):
     assert not os.path.exists(file)
 
 
-def test_spread_input_only_adds_partitions(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
-    spark.range(100).repartition(9).write.parquet(str(tmp_path / "nine"))
-    one, nine = (spark.read.parquet(str(tmp_path / n)) for n in ("one", "nine"))
-    assert spread_input(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spread = spread_input(nine)
-    assert spread.count() == 100
-    if nine.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        assert spread is nine
+def test_a_session_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(ValueError):
+        shared_dir(spark)
+
+
+def test_rows_are_dealt_out_only_on_request(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    assert sources.table(spark, str(tmp_path), "t").rdd.getNumPartitions() == 1
+    assert sources.table(spark, str(tmp_path), "t", 5).rdd.getNumPartitions() == 5
+
+
+def test_stream_of_a_folder_table_equals_batch(spark, tmp_path):
+    from lumenfold.operators.sampling import hash_sample
+    from lumenfold.sources.tables import stream_table
+    from lumenfold.streaming import run_to_end, stream_hash_sample
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    streamed = run_to_end(stream_hash_sample(stream_table(spark, str(tmp_path), "events"), "user_id", "value", 0.5))
+    batch = hash_sample(events, "user_id", "value", 0.5)
+    assert streamed.first()["n"] == batch.first()["n"] > 0
 
 
 def test_files_round_trip(spark, tmp_path):
