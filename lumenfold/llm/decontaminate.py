@@ -147,7 +147,8 @@ def contamination(
 
 def document_hits(docs: DataFrame, items: DataFrame, size: int = SIZE, slack: int = SLACK) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near."""
-    found = contamination(docs, items, size, slack)
+    # Written first: then the join below is a plain one, in which Spark can split a digest with many copies.
+    found = stage(contamination(docs, items, size, slack), "contamination")
     rows = docs.select(
         "doc_id", digest(F.col("text")).alias("digest"), F.size(tokens(F.col("text"))).cast("long").alias("n_words")
     )

@@ -45,7 +45,8 @@ HOT = 100_000
 SAMPLE = 0.01
 # Lists of hot grams and contexts are broadcast up to so many rows, and joined by shuffle beyond.
 LISTED = 100_000
-SLICE = 1 << 20
+SLICE = 1 << 19
+TEXTS_AT_ONCE = 256
 BUCKET_BYTES = 16 << 20
 LOCATION = np.dtype([("digest", "S16"), ("pos", "<i8"), ("lo", "<i2"), ("hi", "<i2")])
 PLACE_BITS = np.uint64((1 << 24) - 1)
@@ -177,7 +178,7 @@ JUDGED = "digest binary, start long, end long, gram long, pos long, lo int, hi i
 def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes beside each gram that is to be compared: reversed on the left, plain on the right."""
     unzip = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in (b.slice(at, TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, TEXTS_AT_ONCE)):
         out = []
         for name, packed_text, wanted in zip(*(batch.column(c).to_pylist() for c in ("digest", "ztext", "wanted")), strict=True):
             text = unzip.decompress(packed_text)
@@ -343,9 +344,16 @@ def zip_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(texts, pa.binary())], names=["digest", "ztext"])
 
 
-def with_heat(found: DataFrame, texts: DataFrame, hot: int, sample: float) -> DataFrame:
+def named_texts(docs: DataFrame, text: str) -> DataFrame:
+    """(digest, text as bytes)."""
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return docs.select(digest(whole).alias("digest"), whole.cast("binary").alias("text"))
+
+
+def with_heat(found: DataFrame, docs: DataFrame, text: str, hot: int, sample: float) -> DataFrame:
     """Add ``hot``: 1 for places of a gram with more than ``hot`` places by a sample, 2 if the context is so frequent."""
-    seen = stage(texts.sample(sample, seed=1).mapInArrow(find_places, "gram long, ctx long, loc binary").select("gram", "ctx"), "sampled-places")
+    some = named_texts(docs.sample(sample, seed=1), text).mapInArrow(find_places, "gram long, ctx long, loc binary")
+    seen = stage(some.select("gram", "ctx"), "sampled-places")
     most = max(2, int(hot * sample))
     grams = seen.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most)
     grams = stage(grams.select("gram", F.lit(1).alias("hot_gram")), "hot-grams")
@@ -361,10 +369,9 @@ def with_heat(found: DataFrame, texts: DataFrame, hot: int, sample: float) -> Da
 
 def repeats(docs: DataFrame, text: str = "text", hot: int = HOT, sample: float = SAMPLE) -> DataFrame:
     """(digest, n_bytes, n_removed, n_spans, kept_sha256, spans) per distinct text."""
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    texts = docs.select(digest(whole).alias("digest"), whole.cast("binary").alias("text"))
+    texts = named_texts(docs, text)
     found = texts.mapInArrow(find_places, "gram long, ctx long, loc binary")
-    heated = with_heat(found, texts, hot, sample)
+    heated = with_heat(found, docs, text, hot, sample)
     dealt = F.when(F.col("hot") > 0, F.col("ctx")).otherwise(0), F.when(F.col("hot") > 1, F.xxhash64("loc")).otherwise(0)
     judged = stage(heated.repartition("gram", *dealt).mapInArrow(judge_places, JUDGED), "judged-places")
 

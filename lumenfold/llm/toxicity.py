@@ -18,7 +18,7 @@ weights and calls nothing toxic. Repeated rows are scored one by one; extra colu
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.llm.common import fresh
+from lumenfold.plans.stage import stage
 
 SAMPLE = 20_000
 MIN_DOCS = 5
@@ -33,7 +34,9 @@ MIN_DOCS = 5
 PENALTY = 0.028
 STEPS = 250
 GRADES = 3
-LIMIT = 0.3
+# A text is toxic from the severity that all but so small a share of the clean sample stays below,
+# and not below the least limit, which is higher for small samples: LEAST_LIMIT + SMALL_SAMPLE / sqrt(rows).
+FALSE_ALARMS, LEAST_LIMIT, SMALL_SAMPLE = 0.002, 0.12, 3.0
 WORDS = re.compile(r"[^\W\d_]+")
 STEM = 6
 
@@ -48,6 +51,7 @@ def features(text: str | None) -> set[str]:
 class Model:
     weights: dict[str, float]
     thresholds: tuple[float, ...]
+    limit: float = LEAST_LIMIT
 
     def score(self, text: str | None) -> float:
         return sum(map(self.weights.__getitem__, self.weights.keys() & features(text)))
@@ -66,7 +70,11 @@ def grade(toxic: Column, quality: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(text, grade) of at most ``sample`` labelled rows; the labels are cut first, so the join broadcasts them."""
+    """(text, grade) of about ``sample`` labelled rows at most.
+
+    The labels are cut first, so the join broadcasts them. Where ids repeat among the
+    documents, the joined rows are cut once more.
+    """
     graded = labels.select("doc_id", grade(F.col("toxic"), F.col("quality")).alias("grade")).where(
         F.col("grade").isNotNull() & F.col("doc_id").isNotNull()
     )
@@ -74,12 +82,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     n = one.count()
     share = int(min(1.0, sample / max(n, 1)) * (1 << 30))
     chosen = one.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).limit(sample)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "grade").limit(sample)
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "grade")
+    rows = stage(joined.withColumn("row", F.monotonically_increasing_id()), "labelled")
+    more = int(min(1.0, sample / max(rows.count(), 1)) * (1 << 30))
+    return rows.where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) <= more).drop("row")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int = MIN_DOCS, penalty: float = PENALTY) -> Model:
     """A model from the labelled rows of ``docs``. The driver sees word numbers of the sample."""
-    rows = labelled_sample(docs, labels, sample).cache()
+    rows = labelled_sample(docs, labels, sample)
     n = rows.count()
 
     @F.arrow_udf("array<string>")
@@ -97,22 +108,35 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int
         return pa.array([[number[w] for w in features(t.as_py()) if w in number] for t in texts], pa.list_(pa.int32()))
 
     found = rows.select("grade", numbered(text).alias("ids")).toArrow().combine_chunks()
-    rows.unpersist()
     y, ids = found.column("grade").to_numpy(), found.column("ids").combine_chunks()
     if not len(y) or y.min() > 0 or y.max() < 1:
         return Model({}, tuple([np.inf] * (GRADES - 1)))
-    row = np.repeat(np.arange(len(y)), np.diff(ids.offsets.to_numpy()))
-    weights, thresholds = ordinal_fit(row, ids.values.to_numpy(), y, len(words), penalty / np.sqrt(len(y)))
-    return Model({w: float(v) for w, v in zip(words, weights, strict=True) if v}, tuple(map(float, thresholds)))
+    weights, thresholds = ordinal_fit(ids.offsets.to_numpy(), ids.values.to_numpy(), y, len(words), penalty / np.sqrt(len(y)))
+    model = Model({w: float(v) for w, v in zip(words, weights, strict=True) if v}, tuple(map(float, thresholds)))
+    least_limit = LEAST_LIMIT + SMALL_SAMPLE / np.sqrt(len(y))
+    clean = model.expected(segment_sums(weights[ids.values.to_numpy()], ids.offsets.to_numpy())[y == 0])
+    return replace(model, limit=max(least_limit, float(np.quantile(clean, 1 - FALSE_ALARMS))))
+
+
+def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of neighbouring values; a segment without values has sum 0."""
+    out, filled = np.zeros(len(offsets) - 1), np.diff(offsets) > 0
+    if filled.any():
+        out[filled] = np.add.reduceat(values, offsets[:-1][filled])
+    return out
 
 
-def ordinal_fit(row: np.ndarray, col: np.ndarray, y: np.ndarray, width: int, penalty: float, steps: int = STEPS) -> tuple:
-    """(weights, thresholds) by accelerated proximal gradient on presence features in (row, col) form."""
+def ordinal_fit(offsets: np.ndarray, col: np.ndarray, y: np.ndarray, width: int, penalty: float, steps: int = STEPS) -> tuple:
+    """(weights, thresholds) by accelerated proximal gradient on presence features, row after row in ``col``."""
     n, cuts = len(y), GRADES - 1
+    offsets = offsets - offsets[0]
+    by_col = np.argsort(col, kind="stable")
+    row_by_col = np.repeat(np.arange(n), np.diff(offsets))[by_col]
+    col_offsets = np.concatenate([[0], np.cumsum(np.bincount(col, minlength=width))])
     share = np.array([(y <= k).mean() for k in range(cuts)]).clip(1e-3, 1 - 1e-3)
     w, t = np.zeros(width), np.log(share / (1 - share)) + 1e-3 * np.arange(cuts)
-    times = lambda v: np.bincount(row, v[col], n)
-    back = lambda g: np.bincount(col, g[row], width)
+    times = lambda v: segment_sums(v[col], offsets)
+    back = lambda g: segment_sums(g[row_by_col], col_offsets)
     v = np.ones(width)
     for _ in range(20):
         v = back(times(v)) / n
@@ -147,13 +171,16 @@ def with_severity(docs: DataFrame, model: Model, into: str) -> DataFrame:
     return docs.withColumn(into, severity(F.col("text").cast("string")))
 
 
-def assess(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, limit: float = LIMIT) -> DataFrame:
-    """Per document row: doc_id, severity (0 to 2), toxic (severity at or above ``limit``)."""
-    scored = with_severity(docs.select("doc_id", "text"), fit(docs, labels, sample), "severity")
-    return scored.select("doc_id", F.round("severity", 6).alias("severity"), (F.col("severity") >= limit).alias("toxic"))
+def assess(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, limit: float | None = None) -> DataFrame:
+    """Per document row: doc_id, severity (0 to 2), toxic (severity at or above ``limit``, by default the model's)."""
+    model = fit(docs, labels, sample)
+    least = model.limit if limit is None else limit
+    scored = with_severity(docs.select("doc_id", "text"), model, "severity")
+    return scored.select("doc_id", F.round("severity", 6).alias("severity"), (F.col("severity") >= least).alias("toxic"))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, limit: float = LIMIT) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose expected severity is below ``limit``."""
-    severity = fresh(docs, "severity")
-    return with_severity(docs, fit(docs, labels, sample), severity).where(F.col(severity) < limit).drop(severity)
+def keep_clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, limit: float | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose expected severity is below ``limit``, by default the model's."""
+    model, severity = fit(docs, labels, sample), fresh(docs, "severity")
+    least = model.limit if limit is None else limit
+    return with_severity(docs, model, severity).where(F.col(severity) < least).drop(severity)

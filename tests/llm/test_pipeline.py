@@ -33,7 +33,7 @@ def test_whole_pipeline_equals_brute_force(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     labels, items = spark.read.parquet(f"{FOLDER}/labels.parquet"), spark.read.parquet(f"{FOLDER}/benchmark.parquet")
     model = toxicity.fit(docs, labels)
-    rows = [r for r in docs.orderBy("doc_id").collect() if model.expected(model.score(r["text"])) < toxicity.LIMIT]
+    rows = [r for r in docs.orderBy("doc_id").collect() if model.expected(model.score(r["text"])) < model.limit]
     assert 0 < len(rows) < docs.count()
     group = brute_components([brute_fingerprint(r["text"]) for r in rows])
     rows = [r for i, r in enumerate(rows) if group[i] == i]
