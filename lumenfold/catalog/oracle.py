@@ -228,6 +228,13 @@ tested AS (
   SELECT word AS key, b1 AS beta, b1 * sqrt(n - 3) / sqrt(1 - b1 * r1 - b2 * r2) AS t, n - 3 AS df, n FROM slopes
 ), {P_VALUE}, {_WORD_OUTPUT}"""
 
+WORD_REGRESSION_DROP = WORD_REGRESSION.replace("AS cyc FROM reviews)", "AS cyc FROM reviews WHERE whole)")
+WORD_REGRESSION_OLS = (
+    WORD_REGRESSION_CONTROLLED.replace("sqrt(1 - b1 * r1 - b2 * r2)", "sqrt((1 - b1 * r1 - b2 * r2) / (1 - r12 * r12))")
+    .replace("p.p * 1000 AS p", "least(p.p * 1000, 1) AS p")
+    .replace("HAVING bool_or(t.token = lower(t.token))", "")
+)
+
 _REGRESSED = [*FEATURES, "share", "index"]
 FEATURE_REGRESSION = f"""WITH {INDEXED},
 long AS ({' UNION ALL '.join(f'''SELECT '{f}' AS feature, "{f}" AS x, "index" AS y FROM indexed''' for f in _REGRESSED)}),
@@ -348,10 +355,15 @@ SELECT COUNT(o_totalprice) AS n, round(AVG(o_totalprice), 4) AS mean, round(stdd
     "txn_csv_stream": HASH_SAMPLE,
     "word_regression": WORD_REGRESSION,
     "word_regression_controlled": WORD_REGRESSION_CONTROLLED,
+    "word_regression_drop": WORD_REGRESSION_DROP,
+    "word_regression_ols": WORD_REGRESSION_OLS,
     "feature_regression": FEATURE_REGRESSION,
+    "panel_file_regression": FEATURE_REGRESSION,
     "last_rating": f'WITH {RATINGS} SELECT "user", item, rating FROM ratings',
     "support_filter": f'WITH {SUPPORTED} SELECT "user", item, rating FROM supported',
     "item_neighbours": f"WITH {NEIGHBOURS} SELECT target, item, round(similarity, 6) AS similarity, rank FROM neighbours",
+    "item_neighbours_other": f"""WITH {NEIGHBOURS.replace("WHERE nt.norm", "WHERE dots.item <> target AND nt.norm")}
+SELECT target, item, round(similarity, 6) AS similarity, rank FROM neighbours""",
     "predict_ratings": f"""WITH {NEIGHBOURS},
 sums AS (
   SELECT n.target, r."user", SUM(r.rating * n.similarity) / SUM(n.similarity) AS predicted
@@ -404,6 +416,8 @@ filled AS (SELECT entity, {', '.join(f'COALESCE({f}, 0) AS {f}' for f in FEATURE
 sized AS (SELECT *, sqrt({' + '.join(f'{f} * {f}' for f in FEATURES)}) AS size FROM filled)
 {_places('sized', FEATURES, 'size')}""",
     "pair_similarity": f"""WITH {COSINES}
+{_both_ends('cosines', 'a, b', 'a, b, round(similarity, 6) AS similarity', 10, 'similarity')}""",
+    "panel_file_pairs": f"""WITH {COSINES}
 {_both_ends('cosines', 'a, b', 'a, b, round(similarity, 6) AS similarity', 10, 'similarity')}""",
     "pair_lookup": f"WITH {COSINES} SELECT a, b, round(similarity, 6) AS similarity FROM cosines WHERE a = 3 AND b = 7",
     "entity_neighbours": f"""WITH {COSINES},
@@ -413,7 +427,7 @@ asked AS (
 )
 SELECT query, entity, round(similarity, 6) AS similarity, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY round(similarity, 9) DESC, entity) AS INTEGER) AS rank
-  FROM asked WHERE round(similarity, 9) > 0) WHERE rank <= 50""",
+  FROM asked WHERE similarity > 1e-12) WHERE rank <= 50""",
     "txn_csv_scan": """SELECT CAST(event_id AS VARCHAR) AS transaction_id, event_type AS moment,
 CAST(user_id AS VARCHAR) AS user_id, value AS amount FROM events""",
     "json_scan": """SELECT CAST(doc_id AS VARCHAR) AS "reviewerID", source AS asin, text AS "reviewText",

@@ -121,6 +121,20 @@ def word_regression_controlled(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(regression.both_ends(tested, "beta", ["word"]))
 
 
+def word_regression_drop(spark: SparkSession, folder: str) -> DataFrame:
+    """Only documents with a label."""
+    tested = regression.word_regressions(i.reviews(spark, folder), missing="drop")
+    return rounded(regression.both_ends(tested, "beta", ["word"]))
+
+
+def word_regression_ols(spark: SparkSession, folder: str) -> DataFrame:
+    """Full standard error, words in any case, p at most 1."""
+    tested = regression.word_regressions(
+        i.reviews(spark, folder), control="verified", se="ols", clip=True, case_fold=True
+    )
+    return rounded(regression.both_ends(tested, "beta", ["word"]))
+
+
 def feature_regression(spark: SparkSession, folder: str) -> DataFrame:
     features = [*i.FEATURES, "share"]
     tested = regression.feature_regressions(i.indexed_cells(spark, folder), features, "index", include_target=True)
@@ -143,6 +157,12 @@ def item_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(recommend.item_neighbours(ratings, i.target_items(ratings)))
 
 
+def item_neighbours_other(spark: SparkSession, folder: str) -> DataFrame:
+    """The same without the target itself."""
+    ratings = i.supported_ratings(spark, folder)
+    return rounded(recommend.item_neighbours(ratings, i.target_items(ratings), include_self=False))
+
+
 def predict_ratings(spark: SparkSession, folder: str) -> DataFrame:
     ratings = i.supported_ratings(spark, folder)
     neighbours = recommend.item_neighbours(ratings, i.target_items(ratings))
@@ -346,6 +366,25 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return read_numeric_csv(spark, path, ["entity", "year", *i.FEATURES, "share", "index"])
 
 
+def panel_file_regression(spark: SparkSession, folder: str) -> DataFrame:
+    """From the written panel to the regressions."""
+    tested = regression.feature_regressions(_panel_file(spark, folder), [*i.FEATURES, "share"], "index", include_target=True)
+    return rounded(regression.both_ends(tested, "beta", ["feature"]))
+
+
+def panel_file_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """From the written panel to the most and least similar entities of a year."""
+    one_year = panel.of_year(_panel_file(spark, folder), i.SIMILARITY_YEAR)
+    scaled = similarity.scale_features(one_year.withColumn("entity", F.col("entity").cast("long")), i.FEATURES)
+    return rounded(similarity.extreme_pairs(similarity.unit_vectors(scaled, i.FEATURES), 10))
+
+
+def _panel_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "panel")
+    write_csv(i.indexed_cells(spark, folder), path)
+    return read_numeric_csv(spark, path, ["entity", "year", *i.FEATURES, "share", "index"])
+
+
 def header_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "places")
     places = i.places(spark, folder)
@@ -372,10 +411,13 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hash_sample_stream,
         word_regression,
         word_regression_controlled,
+        word_regression_drop,
+        word_regression_ols,
         feature_regression,
         last_rating,
         support_filter,
         item_neighbours,
+        item_neighbours_other,
         predict_ratings,
         clean_numeric,
         null_ratios,
@@ -407,6 +449,8 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         txn_csv_stream,
         json_scan,
         csv_round_trip,
+        panel_file_regression,
+        panel_file_pairs,
         header_csv_scan,
     )
 }

@@ -8,6 +8,9 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A similarity up to this is the rounding noise of an exact zero.
+ZERO = 1e-12
+
 _TAIL_NODES = 64
 _TAIL_END = 7.0
 _CENTRE_NODES = 20

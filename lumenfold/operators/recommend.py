@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenfold.functions.stats import ZERO
 from lumenfold.plans import salted_join, stage
 
-# A similarity up to this is the rounding noise of an exact zero.
-ZERO = 1e-12
 # Users an item needs, items a user needs, neighbours kept.
 MIN_USERS, MIN_ITEMS, NEIGHBOURS = 25, 5, 50
 

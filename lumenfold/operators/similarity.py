@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenfold.functions.stats import ZERO
 from lumenfold.plans.stage import stage
 
 # Upper bounds that do not depend on the data: pivots, blocks (so that a table with one
@@ -120,7 +121,7 @@ def entity_neighbours(vectors: DataFrame, queries: Sequence, k: int = 50) -> Dat
     )
     near = F.round("similarity", DIGITS)
     order = Window.partitionBy("query").orderBy(near.desc(), "entity")
-    ranked = scored.where(near > 0).withColumn("rank", F.row_number().over(order))
+    ranked = scored.where(F.col("similarity") > ZERO).withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k)
 
 
