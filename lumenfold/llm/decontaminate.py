@@ -169,4 +169,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = SIZE, slack
     """The rows of ``docs``, with all their columns, that hold no phrase of an item."""
     key = fresh(docs, "text_digest")
     hit = contamination(docs, items, size, slack).where("n_hit > 0").select(F.col("digest").alias(key))
+    # Written first: Spark knows its size, and whole texts are only shuffled if it is too large to broadcast.
+    hit = stage(hit, "contaminated")
     return docs.withColumn(key, digest(F.col("text"))).join(hit, key, "left_anti").drop(key)
