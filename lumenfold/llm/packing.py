@@ -114,7 +114,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     changes the sum of squares by 2 * (N[g - l] - N[g]) + 2, or by 1 - 2 * N[g] if it fills
     the gap. A new sequence is opened only if no open one has room. The pieces of one length go in portions: as
     many as leave the best place the best, but at least a PORTIONS-th of the length's
-    pieces, so that the number of steps does not grow with the corpus.
+    pieces, so that the number of steps does not grow with the corpus. No more sequences are
+    opened at once than the pieces that are left can fill, or one.
     """
     count = np.zeros(capacity + 1, np.int64)
     runs: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
@@ -136,7 +137,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
                 count[gap] -= n
                 taken = take(runs[gap], n)
             else:
-                gap, n = capacity, rest if 2 * length > capacity else min(rest, least)
+                gap, n = capacity, min(max(1, rest // (capacity // length)), rest if 2 * length > capacity else least)
                 taken = [(used, n)]
                 used += n
             for first, size in taken:

@@ -85,3 +85,17 @@ def test_odd_rows(spark, odd, none):
     rows = packing.pack(odd).collect()
     assert len({r["doc_id"] for r in rows}) == 11 and check_places(rows)
     assert packing.pack(none).count() == 0
+
+
+def test_one_length_takes_the_least_number_of_sequences():
+    for length, n in ((20, 1600), (60, 100_000), (100, 1_000_000), (600, 1_000), (1024, 7), (2048, 9)):
+        plan = packing.plan({length: n})
+        assert max(first + count for _, _, count, first, _ in plan) == -(-n // (2048 // length))
+
+
+def test_portions_take_no_more_sequences_than_single_pieces(monkeypatch):
+    rng = random.Random(5)
+    histogram = Counter(int(rng.expovariate(1 / 40)) + 2 for _ in range(20_000))
+    sequences = max(first + count for _, _, count, first, _ in packing.plan(histogram))
+    monkeypatch.setattr(packing, "PORTIONS", 1 << 40)
+    assert sequences <= max(first + count for _, _, count, first, _ in packing.plan(histogram)) + 1
