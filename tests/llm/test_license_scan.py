@@ -59,3 +59,28 @@ def test_planted_notices_are_all_found(spark):
 def test_odd_rows(spark, odd, none):
     assert {r["n_notices"] for r in license_scan.scan(odd).collect()} == {0}
     assert license_scan.scan(none).count() == 0
+
+
+def test_tells_neighbouring_licences_apart():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    names = lambda text: {f[2] for f in scanner.scan(text)}
+    gnu = "This work is licensed under the GNU {} License, version {}."
+    for text, expected in {
+        "Licensed under CC BY-SA 4.0.": {"cc-by-sa-4.0-notice"},
+        "Licensed under CC BY 4.0.": {"cc-by-4.0-notice"},
+        "Licensed under CC BY-NC 4.0.": {"cc-by-nc-4.0-notice"},
+        "Licensed under CC BY-NC-SA 3.0.": {"cc-by-nc-sa-3.0-notice"},
+        "Licensed under CC BY-SA 4.0. Licensed under CC BY-NC 4.0.": {"cc-by-sa-4.0-notice", "cc-by-nc-4.0-notice"},
+        "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": {"cc-by-nc-4.0"},
+        "Licensed under CC BY 1.0.": set(),
+        "Released under the BSD License.": {"bsd-notice"},
+        gnu.format("General Public", "2"): {"gpl-2-notice"},
+        gnu.format("General Public", "3"): {"gpl-3-notice"},
+        gnu.format("Lesser General Public", "3"): {"lgpl-3-notice"},
+        gnu.format("Lesser General Public", "2.1"): {"lgpl-2.1-notice"},
+        gnu.format("Affero General Public", "3"): {"agpl-3-notice"},
+        license_scan.gnu_header("General Public", "2"): {"gpl-2-or-later"},
+        license_scan.gnu_header("General Public", "3").replace("program", "library"): {"gpl-3-or-later"},
+        **{license_scan.TEMPLATES[n]: {n} for n in ("bsd-2-clause", "bsd-3-clause", "mit", "mit-0", "isc", "0bsd", "mit-opening", "zlib")},
+    }.items():
+        assert names(text) == expected, text
