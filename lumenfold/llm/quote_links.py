@@ -2,9 +2,10 @@
 
 A line belongs to the quote level that its leading '>' marks give. Neighbouring lines of one level are a
 passage; those of level 0 are the message's own. Passages are normalised (lower case, letters
-and digits only, single blanks) and hashed. A quoted passage of at least ``LEAST_WORDS`` words is
-joined to its original: the earliest earlier message of the conversation that has the passage as its own
-text, paragraph, passage or line; otherwise the earliest such message of any other conversation.
+and digits only, single blanks) and hashed. A quoted passage is joined to its original: the
+earliest earlier message of the conversation that has the passage as its own text, paragraph, passage or
+line; otherwise, if it has at least ``LEAST_WORDS`` words, the earliest such message of any other
+conversation. A letter of a script without blanks counts as a word.
 
 A message replies to the first original in its own conversation that it quotes at the lowest level; one without such
 a link opens a thread. Threads come in the order of their first turns, and their messages by turn,
@@ -29,6 +30,7 @@ from pyspark.sql import Window as W
 from lumenfold.plans.stage import stage
 
 LEAST_WORDS = 3
+UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 MARKS = r"^[ \t]*((?:>[ \t]*)+)"
 
 
@@ -38,10 +40,14 @@ def normal(text: Column) -> Column:
 
 
 def passage_hash(text: Column) -> Column:
-    """16 bytes for a normalised passage; null if it is too short."""
+    """16 bytes for a normalised passage; null if it has no letter or digit."""
     plain = normal(text)
-    long_enough = F.size(F.split(plain, " ")) >= LEAST_WORDS
-    return F.when(long_enough, F.unhex(F.md5(plain)))
+    return F.when(plain != "", F.unhex(F.md5(plain)))
+
+
+def long_enough(text: Column) -> Column:
+    """Whether a passage has ``LEAST_WORDS`` words."""
+    return F.size(F.split(F.trim(F.regexp_replace(normal(text), UNSPACED, " $1 ")), " +")) >= LEAST_WORDS
 
 
 def with_passages(messages: DataFrame) -> DataFrame:
@@ -71,11 +77,15 @@ def own_text(passages: Column) -> Column:
     return F.trim(F.array_join(F.transform(F.filter(passages, lambda p: p["level"] == 0), lambda p: p["body"]), "\n"))
 
 
-def links(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, nth, hash, to_conv, to_turn) of every quoted passage that is long enough."""
+def links(messages: DataFrame, short: bool = False) -> DataFrame:
+    """(conv_id, turn, level, nth, hash, to_conv, to_turn) of every quoted passage that is long enough.
+
+    With ``short``, also of the others, which link only within their conversation.
+    """
     spread = messages.select("conv_id", "turn", F.posexplode("passages").alias("nth", "passage")).where("passage.level > 0")
-    quotes = spread.select("conv_id", "turn", "nth", F.col("passage.level").alias("level"), passage_hash(F.col("passage.body")).alias("hash"))
-    quotes = stage(quotes.where("hash IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL"), "quotes")
+    body, level = F.col("passage.body"), F.col("passage.level").alias("level")
+    quotes = spread.select("conv_id", "turn", "nth", level, passage_hash(body).alias("hash"), long_enough(body).alias("far"))
+    quotes = stage(quotes.where("hash IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL").where(F.lit(short) | F.col("far")), "quotes")
 
     own = F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: p["body"])
     whole = own_text(F.col("passages"))
@@ -92,7 +102,7 @@ def links(messages: DataFrame) -> DataFrame:
     anywhere = earliest.join(second, "hash", "left")
     found = quotes.join(first, ["hash", "conv_id"], "left").join(anywhere, "hash", "left")
     inside = F.col("first") < F.col("turn")
-    other = F.when(F.col("a.to_conv") != F.col("conv_id"), F.col("a")).otherwise(F.col("b"))
+    other = F.when(F.col("far"), F.when(F.col("a.to_conv") != F.col("conv_id"), F.col("a")).otherwise(F.col("b")))
     return found.select(
         "conv_id",
         "turn",
@@ -146,7 +156,7 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     """Per message: conv_id, turn, role, position, thread, depth, parent, n_quotes, n_linked, max_level, content."""
     plain = conversations.select("conv_id", "turn", "role", F.col("text").cast("string").alias("text"))
     messages = with_passages(plain)
-    linked = stage(links(messages), "quote-links")
+    linked = stage(links(messages, short=True), "quote-links")
     counts = linked.groupBy("conv_id", "turn").agg(F.count("to_turn").alias("n_linked"))
     quoted = F.filter("passages", lambda p: p["level"] > 0)
     rows = messages.select(

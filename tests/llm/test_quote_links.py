@@ -100,3 +100,19 @@ def test_long_threads_and_empty_table(spark):
     rows = sorted(run(spark, chain).collect(), key=lambda r: r["position"])
     assert [r["depth"] for r in rows] == list(range(40)) and {r["thread"] for r in rows} == {0}
     assert run(spark, []).count() == 0
+
+
+def test_short_and_unspaced_quotes(spark):
+    said = "今日はとても良い天気ですね"
+    messages = [
+        (1, 0, "u", "yes please"),
+        (1, 1, "a", "something else"),
+        (1, 2, "u", "> Yes, please\nsorted then"),
+        (1, 3, "u", f"{said}。"),
+        (1, 4, "a", f"> {said}\nはい"),
+        (2, 0, "u", f"> {said}\n> > yes please\n> ?!\nwhat"),
+    ]
+    rows = {(r["conv_id"], r["turn"]): r for r in run(spark, messages).collect()}
+    assert rows[1, 2]["parent"] == 0 and rows[1, 4]["parent"] == 3
+    # Short passages of other conversations are no originals; long ones are, without blanks as well.
+    assert [rows[2, 0][k] for k in ("n_quotes", "n_linked", "parent")] == [3, 1, None]
