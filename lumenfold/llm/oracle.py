@@ -42,4 +42,43 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 ) WHERE rank <= 20
 """
 
-ALL = {"op3_topk_search": TOPK, "op10_decontaminate": DECONTAMINATE}
+_ROUND = """
+), a{n} AS (
+    SELECT r, arg_min(c, (d, c)) AS c FROM (
+        SELECT r, c, list_inner_product(k.e, k.e) - 2 * list_inner_product(v.e, k.e) AS d FROM v, c{n} k) GROUP BY r
+), c{m} AS (
+    SELECT k.c, coalesce(mean.e, k.e) AS e FROM c{n} k LEFT JOIN (
+        SELECT c, list(m ORDER BY i) AS e FROM (
+            SELECT c, i, floor(sum(x) / count(*)) AS m
+            FROM (SELECT a{n}.c, unnest(v.e) AS x, unnest(generate_series(1, 64)) AS i FROM v JOIN a{n} USING (r)) GROUP BY c, i)
+        GROUP BY c) mean USING (c)
+"""
+
+CENTROIDS = (
+    """
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+    SELECT row_number() OVER (ORDER BY name, e) - 1 AS c, e
+    FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS name, e FROM v ORDER BY name, e LIMIT 16)
+"""
+    + "".join(_ROUND.format(n=n, m=n + 1) for n in range(3))
+    + """
+), near AS (
+    SELECT r, any_value(vec_id) AS vec_id, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+        SELECT v.r, v.vec_id, k.c,
+               list_inner_product(v.e, v.e) - 2 * list_inner_product(v.e, k.e) + list_inner_product(k.e, k.e) AS d
+        FROM v, c3 k) GROUP BY r
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       (SELECT sha256(array_to_string(list_transform(k.e, lambda x: CAST(x AS BIGINT)), ',')) FROM c3 k WHERE k.c = near.c)
+           AS centroid_sha256
+FROM near
+"""
+)
+
+ALL = {"op3_topk_search": TOPK, "op10_decontaminate": DECONTAMINATE, "op13_centroid_clusters": CENTROIDS}

@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import decontaminate, language_id, license_scan, packing, quote_links, secret_scan, simhash, suffix_dedup, topk_search, toxicity
+from lumenfold.llm import (
+    bpe_chunks,
+    centroids,
+    decontaminate,
+    language_id,
+    license_scan,
+    packing,
+    quote_links,
+    secret_scan,
+    simhash,
+    structure_repair,
+    suffix_dedup,
+    topk_search,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,6 +67,19 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return hits.drop("n_near")
 
 
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return structure_repair.repaired_digests(structure_repair.damaged(table(spark, folder, "conversations")), alive="alive")
+
+
+def op12_bpe_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return bpe_chunks.encode(table(spark, folder, "documents"), vocabulary, bpe_chunks.digests())
+
+
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
 ALL = {
     f.__name__: f
     for f in (
@@ -65,5 +93,8 @@ ALL = {
         op8_toxicity,
         op9_simhash_dedup,
         op10_decontaminate,
+        op11_structure_repair,
+        op12_bpe_chunks,
+        op13_centroid_clusters,
     )
 }
