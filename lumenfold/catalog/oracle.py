@@ -187,6 +187,17 @@ cosines AS (
 )"""
 
 
+def _neighbour_lists(asked: str) -> str:
+    return f"""WITH {COSINES},
+asked AS (
+  SELECT a.entity AS query, b.entity AS entity, ({_DOT}) / (a.size * b.size) AS similarity
+  FROM vectors a, vectors b {asked}
+)
+SELECT query, entity, round(similarity, 6) AS similarity, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY round(similarity, 9) DESC, entity) AS INTEGER) AS rank
+  FROM asked WHERE similarity > 1e-12) WHERE rank <= 50"""
+
+
 def _both_ends(source: str, key: str, columns: str, k: int, score: str) -> str:
     return f"""
 SELECT * FROM (SELECT {columns}, 'top' AS side FROM {source} WHERE {score} IS NOT NULL AND NOT isnan({score})
@@ -420,14 +431,8 @@ sized AS (SELECT *, sqrt({' + '.join(f'{f} * {f}' for f in FEATURES)}) AS size F
     "panel_file_pairs": f"""WITH {COSINES}
 {_both_ends('cosines', 'a, b', 'a, b, round(similarity, 6) AS similarity', 10, 'similarity')}""",
     "pair_lookup": f"WITH {COSINES} SELECT a, b, round(similarity, 6) AS similarity FROM cosines WHERE a = 3 AND b = 7",
-    "entity_neighbours": f"""WITH {COSINES},
-asked AS (
-  SELECT a.entity AS query, b.entity AS entity, ({_DOT}) / (a.size * b.size) AS similarity
-  FROM vectors a, vectors b WHERE a.entity IN (0, 3, 7)
-)
-SELECT query, entity, round(similarity, 6) AS similarity, rank FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY round(similarity, 9) DESC, entity) AS INTEGER) AS rank
-  FROM asked WHERE similarity > 1e-12) WHERE rank <= 50""",
+    "entity_neighbours": _neighbour_lists("WHERE a.entity IN (0, 3, 7)"),
+    "all_entity_neighbours": _neighbour_lists(""),
     "txn_csv_scan": """SELECT CAST(event_id AS VARCHAR) AS transaction_id, event_type AS moment,
 CAST(user_id AS VARCHAR) AS user_id, value AS amount FROM events""",
     "json_scan": """SELECT CAST(doc_id AS VARCHAR) AS "reviewerID", source AS asin, text AS "reviewText",

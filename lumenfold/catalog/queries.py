@@ -329,6 +329,10 @@ def entity_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(similarity.entity_neighbours(i.entity_vectors(spark, folder), TARGET_QUERIES))
 
 
+def all_entity_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(similarity.all_entity_neighbours(stage(i.entity_vectors(spark, folder), "vectors")))
+
+
 # Files
 
 
@@ -445,6 +449,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pair_similarity,
         pair_lookup,
         entity_neighbours,
+        all_entity_neighbours,
         txn_csv_scan,
         txn_csv_stream,
         json_scan,

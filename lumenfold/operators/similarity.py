@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -12,14 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenfold.functions.stats import ZERO
+from lumenfold.operators import cones
+from lumenfold.operators.cones import BLOCK_ROWS, GROUP_BLOCKS, ConeTree
+from lumenfold.plans import salted_join
 from lumenfold.plans.stage import stage
 
-# Upper bounds that do not depend on the data: pivots, blocks (so that a table with one
-# row per block can be broadcast) and, at most, rows of one slice of a block product.
-PIVOTS = 1024
-MAX_BLOCKS = 4096
-BLOCK_ROWS = 1024
-SLICE_ROWS = 2048
 # Similarities are ordered by this many places, then by the ids.
 DIGITS = 9
 
@@ -125,31 +122,111 @@ def entity_neighbours(vectors: DataFrame, queries: Sequence, k: int = 50) -> Dat
     return ranked.where(F.col("rank") <= k)
 
 
-def extreme_pairs(
-    vectors: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS, max_blocks: int = MAX_BLOCKS
+def all_entity_neighbours(
+    vectors: DataFrame, k: int = 50, block_rows: int = BLOCK_ROWS, group_blocks: int = GROUP_BLOCKS
 ) -> DataFrame:
-    """(side, a, b, similarity): the ``k`` most and the ``k`` least similar pairs, a < b. Exact.
+    """(query, entity, similarity, rank): the ``k`` entities most similar to every entity. Exact.
+
+    The same rows as ``entity_neighbours`` with all entities as queries. A first round multiplies the blocks of each
+    group of near directions, which gives every vector a k-th similarity to beat; the second round
+    visits only the blocks whose cone can hold something better for some vector of a block.
 
-    Unit vectors are cut into blocks of near directions. Each block is described by a
-    centre and the largest angle to it, which bounds the cosine of any two of its members
-    with those of another block. A first round over the promising block pairs gives
-    the similarity the k-th best pair has at least (and the k-th worst at most); the second
-    round multiplies only the block pairs whose bound can still beat it.
+    Equal vectors have equal lists, so the search runs once per distinct vector, among at most ``k`` of its copies.
     """
-    distinct = _k_per_vector(vectors, k)
-    blocks = stage(_blocks(distinct, block_rows, max_blocks), "blocks")
-    centres = blocks.select("block", "centre", "radius")
+    order = Window.partitionBy("vector").orderBy("entity")
+    copies = vectors.withColumn("_copy", F.row_number().over(order)).where(F.col("_copy") <= k)
+    tree = cones.build_tree(copies.select("entity", (F.col("_copy") == 1).alias("first"), "vector"), block_rows, group_blocks)
+    entity_type = vectors.schema["entity"].dataType.simpleString()
+    schema = f"block long, query {entity_type}, entity {entity_type}, similarity double"
+
+    inside = cones.block_pairs(tree, cones.every, of_groups=cones.same)
+    near = stage(cones.work_on(tree, inside, _neighbour_work(k), schema), "near-neighbours")
+    place = F.round("similarity", DIGITS)
+    kth = F.when(F.count("*") >= k, F.min(place)).otherwise(ZERO).alias("kth")
+    pairs = F.array_sort(F.collect_list(F.struct("query", "kth")))
+    bars = near.groupBy("block", "query").agg(kth).groupBy("block").agg(F.min("kth").alias("bar"), pairs.alias("kths"))
+    bars = stage(bars, "bars")
+
+    def open_cones(ids_l, ids_r, between, reach, least):
+        return cones.highest(between, reach) >= np.maximum(least, ZERO)[:, None]
+
+    def open_blocks(ids_l, ids_r, between, reach, least):
+        group = lambda ids: ids // cones.PART * cones.PART + ids % cones.PART // group_blocks
+        return open_cones(ids_l, ids_r, between, reach, least) & (group(ids_l)[:, None] != group(ids_r)[None, :])
+
+    rest = cones.block_pairs(cones.with_bars(tree, bars.select("block", "bar")), open_blocks, of_groups=open_cones)
+    to_beat = bars.select(
+        "block", F.transform("kths", lambda x: x["query"]).alias("kth_of"), F.transform("kths", lambda x: x["kth"]).alias("kth")
+    )
+    far = cones.work_on(tree, rest, _neighbour_work(k), schema, to_beat)
+    best = Window.partitionBy("query").orderBy(place.desc(), "entity")
+    ranked = near.unionAll(far).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    lists = ranked.groupBy("query").agg(F.collect_list(F.struct("entity", "similarity", "rank")).alias("list"))
+
+    named = stage(vectors.groupBy("vector").agg(F.min("entity").alias("rep"), F.count("*").alias("rows")), "distinct-vectors")
+    rows = vectors.select(F.col("entity").alias("query"), "vector")
+    members = salted_join(rows, named.select("vector", "rep"), "vector", named.select("vector", "rows"), ["query"]).drop("vector")
+    found = salted_join(members, lists.withColumnRenamed("query", "rep"), "rep", named.select("rep", "rows"), ["query"])
+    return found.select("query", F.inline("list"))
+
+
+def _neighbour_work(k: int) -> Callable[[dict, list], pd.DataFrame]:
+    """Best neighbours of the first copies in the left blocks of some block pairs."""
+
+    def work(held: dict, todo: list) -> pd.DataFrame:
+        per_left: dict = {}
+        for left, right in todo:
+            per_left.setdefault(left, []).append(right)
+        out = []
+        for left, rights in per_left.items():
+            row, ids, matrix = held[left]
+            asked = np.flatnonzero(np.array(list(row.first)))
+            if not len(asked):
+                continue
+            kths = dict(zip(row.kth_of, row.kth, strict=True)) if hasattr(row, "kth_of") and row.kth_of is not None else {}
+            least = np.array([max(kths.get(q, ZERO), ZERO) for q in ids[asked]])
+            best = None
+            for right in rights:
+                _, others, other = held[right]
+                cosine = matrix[asked] @ other.T
+                place = np.round(cosine, DIGITS)
+                i, j = np.nonzero((place >= np.round(least, DIGITS)[:, None]) & (cosine > ZERO))
+                new = pd.DataFrame({"at": i, "entity": others[j], "similarity": cosine[i, j], "place": place[i, j]})
+                best = new if best is None else pd.concat([best, new])
+                best = best.sort_values(["at", "place", "entity"], ascending=[True, False, True]).groupby("at").head(k)
+                full = best.groupby("at")["place"].agg(["size", "min"])
+                full = full[full["size"] == k]
+                least[full.index.to_numpy(int)] = np.maximum(least[full.index.to_numpy(int)], full["min"].to_numpy())
+            out.append(pd.DataFrame({"block": left, "query": ids[asked][best["at"].to_numpy(int)], "entity": best["entity"], "similarity": best["similarity"]}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame()
+
+    return work
+
+
+def extreme_pairs(vectors: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS, group_blocks: int = GROUP_BLOCKS) -> DataFrame:
+    """(side, a, b, similarity): the ``k`` most and the ``k`` least similar pairs, a < b. Exact.
 
-    seeds = stage(_best_of_blocks(blocks, _seed_pairs(centres), k), "seeds")
+    Blocks of near directions are leaves of a tree of cones. A first round multiplies each block with itself, its nearest
+    neighbour in its group, and the block that lies most opposite down the tree; it gives the similarity that the k-th
+    best pair has at least (and the k-th worst at most). The second round walks down the tree once more
+    and multiplies only the block pairs whose cones can still beat it.
+    """
+    tree = cones.build_tree(_k_per_vector(vectors, k).withColumn("first", F.lit(True)), block_rows, group_blocks)
+    near = cones.block_pairs(tree, cones.itself_and_nearest, of_groups=cones.same)
+    opposite = cones.block_pairs(tree, cones.farthest)
+    seeds = stage(_best_of_blocks(tree, near.unionAll(opposite), k), "seeds")
     reach = seeds.groupBy("side").agg(F.count("*").alias("n"), F.min("score").alias("score"))
     bar = {r["side"]: r["score"] for r in reach.collect() if r["n"] == k}
-    every = seeds
-    if len(centres.take(2)) == 2:
-        rest = _best_of_blocks(blocks, _open_pairs(centres, bar), k, bar)
-        once = rest.unionAll(seeds).groupBy("side", "a", "b").agg(F.max("score").alias("score"))
-        every = _k_best(once, k)
+    top, bottom = bar.get("top", -math.inf), bar.get("bottom", -math.inf)
+
+    def open_pairs(ids_l, ids_r, between, reach, _bars):
+        better = (cones.highest(between, reach) >= top) | (-cones.lowest(between, reach) >= bottom)
+        return better & (ids_r[None, :] >= ids_l[:, None])
+
+    rest = _best_of_blocks(tree, cones.block_pairs(tree, open_pairs), k, bar)
+    once = rest.unionAll(seeds).groupBy("side", "a", "b").agg(F.max("score").alias("score"))
     sign = F.when(F.col("side") == "top", 1.0).otherwise(-1.0)
-    return every.select("side", "a", "b", (F.col("score") * sign).alias("similarity"))
+    return _k_best(once, k).select("side", "a", "b", (F.col("score") * sign).alias("similarity"))
 
 
 def _k_per_vector(vectors: DataFrame, k: int) -> DataFrame:
@@ -162,136 +239,16 @@ def _k_per_vector(vectors: DataFrame, k: int) -> DataFrame:
     return vectors.withColumn("_copy", F.row_number().over(order)).where(F.col("_copy") <= k + 1).drop("_copy")
 
 
-def _blocks(vectors: DataFrame, block_rows: int, max_blocks: int) -> DataFrame:
-    """(block, entities, matrix, centre, radius): blocks of vectors of near direction.
-
-    Rows are range-partitioned by their nearest pivot and the angle to it, so a crowded
-    direction spreads over many blocks. There is about one pivot per block, up to a
-    fixed number of them, and neighbouring pivots follow each other.
-    """
-    staged = stage(vectors, "vectors")
-    rows = staged.count()
-    size = max(block_rows, math.ceil(2 * rows / max_blocks))
-    parts = max(1, math.ceil(rows / size))
-    picked = staged.orderBy(F.xxhash64("entity"), "entity").limit(min(PIVOTS, parts)).collect()
-    pivots = _chained(np.array([r["vector"] for r in picked]))
-    entity_type = staged.schema["entity"].dataType.simpleString()
-
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                cosines = np.stack(batch["vector"].to_list()) @ pivots.T
-                pivot = cosines.argmax(axis=1)
-                yield batch.assign(pivot=pivot, angle=np.arccos(np.clip(cosines.max(axis=1), -1, 1)))
-
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        part, count, waiting = TaskContext.get().partitionId(), 0, []
-
-        def block(frame: pd.DataFrame) -> pd.DataFrame:
-            m = np.stack(frame["vector"].to_list())
-            centre = m.mean(axis=0)
-            length = np.linalg.norm(centre)
-            centre = centre / length if length > 1e-9 else m[0]
-            radius = float(np.arccos(np.clip(m @ centre, -1, 1)).max())
-            return pd.DataFrame(
-                {
-                    "block": [part * 1_000_000 + count],
-                    "entities": [frame["entity"].to_numpy()],
-                    "matrix": [m.tobytes()],
-                    "centre": [centre],
-                    "radius": [radius],
-                }
-            )
-
-        held = 0
-        for batch in batches:
-            waiting.append(batch)
-            held += len(batch)
-            if held >= size:
-                frame = pd.concat(waiting, ignore_index=True)
-                while len(frame) >= size:
-                    yield block(frame.iloc[:size])
-                    count += 1
-                    frame = frame.iloc[size:]
-                waiting, held = [frame], len(frame)
-        if held:
-            yield block(pd.concat(waiting, ignore_index=True))
-
-    placed = staged.mapInPandas(nearest, f"entity {entity_type}, vector array<double>, pivot long, angle double")
-    ordered = placed.repartitionByRange(parts, "pivot", "angle", "entity").sortWithinPartitions("pivot", "angle", "entity")
-    return ordered.select("entity", "vector").mapInPandas(
-        build, f"block long, entities array<{entity_type}>, matrix binary, centre array<double>, radius double"
-    )
-
-
-def _chained(points: np.ndarray) -> np.ndarray:
-    """The points in an order in which each is followed by its nearest remaining one."""
-    order, left = [], list(range(len(points)))
-    while left:
-        last = points[order[-1]] if order else points[0]
-        order.append(left.pop(int((points[left] @ last).argmax())))
-    return points[order]
-
-
-def _block_pairs(centres: DataFrame, choose) -> DataFrame:
-    """(left, right) block pairs that ``choose`` picks from the angles between centres.
-
-    The table of centres has at most about MAX_BLOCKS rows, whatever the data, and goes
-    to every task; each task handles its own rows of it against all others.
-    """
-    table = centres.orderBy("block").toPandas()
-    ids, radii = table["block"].to_numpy(), table["radius"].to_numpy()
-    directions = np.stack(table["centre"].to_list()) if len(table) else np.zeros((0, 1))
-
-    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for block, centre, radius in zip(batch["block"], batch["centre"], batch["radius"]):
-                angles = np.arccos(np.clip(directions @ np.asarray(centre), -1, 1))
-                found = ids[choose(ids, block, angles, radii + radius)]
-                yield pd.DataFrame({"left": np.minimum(found, block), "right": np.maximum(found, block)})
-
-    return centres.mapInPandas(pick, "left long, right long").distinct()
-
-
-def _seed_pairs(centres: DataFrame) -> DataFrame:
-    """Each block with itself, with the nearest and with the most opposite block."""
-
-    def choose(ids, block, angles, _radii):
-        chosen = ids == block
-        others = np.flatnonzero(~chosen)
-        if len(others):
-            chosen[others[angles[others].argmin()]] = True
-        chosen[angles.argmax()] = True
-        return chosen
-
-    return _block_pairs(centres, choose)
-
-
-def _open_pairs(centres: DataFrame, bar: dict[str, float]) -> DataFrame:
-    """Block pairs whose bound reaches the bar of either side."""
-    slack = 1e-6
-    top, bottom = bar.get("top", -math.inf), bar.get("bottom", -math.inf)
-
-    def choose(ids, block, angles, radii):
-        highest = np.cos(np.maximum(angles - radii - slack, 0))
-        lowest = np.cos(np.minimum(angles + radii + slack, math.pi))
-        return ((highest + slack >= top) | (slack - lowest >= bottom)) & (ids >= block)
-
-    return _block_pairs(centres, choose)
-
-
-def _best_of_blocks(blocks: DataFrame, pairs: DataFrame, k: int, bar: dict[str, float] | None = None) -> DataFrame:
+def _best_of_blocks(tree: ConeTree, pairs: DataFrame, k: int, bar: dict[str, float] | None = None) -> DataFrame:
     """The k best rows per side over the given block pairs, as (side, score, a, b).
 
     ``score`` is the rounded similarity, with its sign turned for the bottom side. Scores
     below ``bar`` may be left out.
     """
-    entity_type = blocks.schema["entities"].dataType.elementType.simpleString()
-    step, digits, bars = SLICE_ROWS, DIGITS, dict(bar or {})
+    entity_type = tree.blocks.schema["entities"].dataType.elementType.simpleString()
+    digits, bars = DIGITS, dict(bar or {})
 
-    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def multiply(held: dict, todo: list) -> pd.DataFrame:
         margin = 10.0**-digits
         best = {"top": None, "bottom": None}
 
@@ -311,41 +268,24 @@ def _best_of_blocks(blocks: DataFrame, pairs: DataFrame, k: int, bar: dict[str,
             i, j = np.divmod(kept[usable], len(ids_r))
             a, b = ids_l[i], ids_r[j]
             found = pd.DataFrame(
-                {
-                    "side": side,
-                    "score": np.round(score[usable], digits),
-                    "a": np.where(a < b, a, b),
-                    "b": np.where(a < b, b, a),
-                }
+                {"side": side, "score": np.round(score[usable], digits), "a": np.where(a < b, a, b), "b": np.where(a < b, b, a)}
             )
             if len(found):
-                merged = found if best[side] is None else pd.concat([best[side], found])
+                merged = found if best[side] is None else pd.concat([best[side], found]).drop_duplicates(["a", "b"])
                 best[side] = merged.sort_values(["score", "a", "b"], ascending=[False, True, True]).head(k)
 
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                ids_l, ids_r = np.array(list(row.left_ids)), np.array(list(row.right_ids))
-                m_l = np.frombuffer(row.left_matrix).reshape(len(ids_l), -1)
-                m_r = np.frombuffer(row.right_matrix).reshape(len(ids_r), -1)
-                alone = row.left == row.right
-                for x in range(0, len(ids_l), step):
-                    for y in range(x if alone else 0, len(ids_r), step):
-                        cosine = m_l[x : x + step] @ m_r[y : y + step].T
-                        for side, never in (("top", -np.inf), ("bottom", np.inf)):
-                            if alone and x == y:
-                                cosine[np.tril_indices(len(cosine))] = never
-                            collect(side, cosine, ids_l[x : x + step], ids_r[y : y + step])
-        yield from (found for found in best.values() if found is not None)
-
-    left = blocks.select(
-        F.col("block").alias("left"), F.col("entities").alias("left_ids"), F.col("matrix").alias("left_matrix")
-    )
-    right = blocks.select(
-        F.col("block").alias("right"), F.col("entities").alias("right_ids"), F.col("matrix").alias("right_matrix")
-    )
-    loaded = pairs.join(left, "left").join(right, "right")
-    found = loaded.mapInPandas(multiply, f"side string, score double, a {entity_type}, b {entity_type}")
-    return _k_best(found, k)
+        for left, right in sorted({(min(p), max(p)) for p in todo}):
+            (_, ids_l, m_l), (_, ids_r, m_r) = held[left], held[right]
+            for side, never in (("top", -np.inf), ("bottom", np.inf)):
+                cosine = m_l @ m_r.T
+                if left == right:
+                    cosine[np.tril_indices(len(cosine))] = never
+                collect(side, cosine, ids_l, ids_r)
+        found = [f for f in best.values() if f is not None]
+        return pd.concat(found) if found else pd.DataFrame()
+
+    found = cones.work_on(tree, pairs, multiply, f"side string, score double, a {entity_type}, b {entity_type}")
+    return _k_best(found.distinct(), k)
 
 
 def _k_best(found: DataFrame, k: int) -> DataFrame:

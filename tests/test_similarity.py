@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumenfold.operators import similarity as sm
+from lumenfold.operators import cones, similarity as sm
 
 
 def brute(vectors, k):
@@ -51,16 +51,79 @@ def test_no_vectors(spark):
     assert sm.extreme_pairs(frame(spark, {0: unit(np.ones(2))}).limit(0), 3).count() == 0
 
 
-def test_bounds_leave_out_block_pairs(spark):
-    """Two tight opposite bundles: the second round must not multiply everything again."""
-    rng = np.random.default_rng(2)
-    vectors = {i: unit(np.array([1.0 if i % 2 else -1.0, 0, 0]) + rng.normal(size=3) * 0.2) for i in range(200)}
-    blocks = sm._blocks(frame(spark, vectors), 10, 4096).cache()
-    centres = blocks.select("block", "centre", "radius")
-    n = centres.count()
-    bar = {"top": 0.9999, "bottom": 0.9999}
-    assert sm._open_pairs(centres, bar).count() < n * (n + 1) / 2
-    assert sm._open_pairs(centres, {}).count() == n * (n + 1) / 2
+def bundles(rng, n, directions=2, size=3, spread=0.2):
+    middles = [unit(rng.normal(size=size)) for _ in range(directions)]
+    return {i: unit(middles[i % directions] + rng.normal(size=size) * spread) for i in range(n)}
+
+
+def tree_of(spark, vectors, block_rows=8, group_blocks=4):
+    rows = frame(spark, vectors).withColumn("first", F.lit(True))
+    return cones.build_tree(rows, block_rows, group_blocks)
+
+
+def pair_count(pairs):
+    return sum(len(r["blocks_l"]) for r in pairs.collect())
+
+
+def test_cones_hold_their_vectors_at_every_level(spark):
+    vectors = bundles(np.random.default_rng(3), 300, 5, 4)
+    tree = tree_of(spark, vectors)
+    blocks = {r["block"]: r for r in tree.blocks.collect()}
+    assert sorted(e for r in blocks.values() for e in r["entities"]) == list(range(300))
+    assert max(len(r["entities"]) for r in blocks.values()) == 8
+    for g in tree.groups.collect():
+        for b in g["ids"]:
+            inside = np.array([vectors[e] for e in blocks[b]["entities"]])
+            assert blocks[b]["grp"] == g["grp"]
+            assert cones.angles(inside, np.array([blocks[b]["centre"]])).max() <= blocks[b]["radius"] + 1e-9
+            assert cones.angles(inside, np.array([g["centre"]])).max() <= g["radius"] + 1e-6
+
+
+@pytest.mark.parametrize("n", [100, 700])
+def test_blocks_and_groups_do_not_grow_with_the_rows(spark, n):
+    tree = tree_of(spark, bundles(np.random.default_rng(4), n, 6), 8, 4)
+    assert max(len(r["entities"]) for r in tree.blocks.select("entities").collect()) <= 8
+    assert max(len(r["ids"]) for r in tree.groups.select("ids").collect()) <= 4
+
+
+def test_bounds_close_pairs_of_far_blocks(spark):
+    """Tight bundles: a search for near pairs walks past the groups of other bundles."""
+    tree = tree_of(spark, bundles(np.random.default_rng(2), 400, 8, 4, 0.01))
+    near = lambda a, b, between, reach, bars: (cones.highest(between, reach) >= 0.999) & (b[None, :] >= a[:, None])
+    n = tree.blocks.count()
+    assert pair_count(cones.block_pairs(tree, near)) < n * (n + 1) / 4
+    assert pair_count(cones.block_pairs(tree, lambda a, b, *_: b[None, :] >= a[:, None])) == n * (n + 1) / 2
+
+
+def brute_neighbours(vectors, k):
+    out = {}
+    for q, v in vectors.items():
+        scored = sorted((-round(float(np.dot(v, w)), 9), e) for e, w in vectors.items() if np.dot(v, w) > 1e-12)
+        out[q] = [(e, r) for r, (_, e) in enumerate(scored[:k], 1)]
+    return out
+
+
+def neighbour_lists(got):
+    out = {}
+    for r in sorted(got.collect(), key=lambda r: (r["query"], r["rank"])):
+        out.setdefault(r["query"], []).append((r["entity"], r["rank"]))
+    return out
+
+
+@pytest.mark.parametrize("block_rows,group_blocks,n,k", [(8, 3, 200, 7), (1000, 32, 50, 60), (4, 2, 3, 2)])
+def test_all_neighbours_equal_brute_force(spark, block_rows, group_blocks, n, k):
+    vectors = bundles(np.random.default_rng(n), n, 6, 4, 0.5)
+    got = sm.all_entity_neighbours(frame(spark, vectors).repartition(3), k, block_rows, group_blocks)
+    assert neighbour_lists(got) == brute_neighbours(vectors, k)
+
+
+def test_all_neighbours_with_many_copies_and_text_ids(spark):
+    rng = np.random.default_rng(5)
+    copy = unit(rng.normal(size=4))
+    vectors = {f"e{i:03}": copy if i % 3 == 0 else unit(rng.normal(size=4)) for i in range(120)}
+    got = sm.all_entity_neighbours(frame(spark, vectors, "string"), 6, 8, 2)
+    assert neighbour_lists(got) == brute_neighbours(vectors, 6)
+    assert sm.all_entity_neighbours(frame(spark, vectors, "string").limit(0), 6).count() == 0
 
 
 PANEL = [(1, 5.0, 1.0, 2.0), (2, 9.0, 3.0, 2.0), (3, 1.0, 2.0, 2.0), (4, 7.0, 5.0, 2.0)]
