@@ -374,6 +374,8 @@ SELECT COUNT(o_totalprice) AS n, round(AVG(o_totalprice), 4) AS mean, round(stdd
     "support_filter": f'WITH {SUPPORTED} SELECT "user", item, rating FROM supported',
     "item_neighbours": f"WITH {NEIGHBOURS} SELECT target, item, round(similarity, 6) AS similarity, rank FROM neighbours",
     "item_neighbours_other": f"""WITH {NEIGHBOURS.replace("WHERE nt.norm", "WHERE dots.item <> target AND nt.norm")}
+SELECT target, item, round(similarity, 6) AS similarity, rank FROM neighbours""",
+    "all_item_neighbours": f"""WITH {NEIGHBOURS.replace("ORDER BY item LIMIT 2", "")}
 SELECT target, item, round(similarity, 6) AS similarity, rank FROM neighbours""",
     "predict_ratings": f"""WITH {NEIGHBOURS},
 sums AS (

@@ -163,6 +163,10 @@ def item_neighbours_other(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(recommend.item_neighbours(ratings, i.target_items(ratings), include_self=False))
 
 
+def all_item_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(recommend.all_item_neighbours(i.supported_ratings(spark, folder)))
+
+
 def predict_ratings(spark: SparkSession, folder: str) -> DataFrame:
     ratings = i.supported_ratings(spark, folder)
     neighbours = recommend.item_neighbours(ratings, i.target_items(ratings))
@@ -422,6 +426,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         support_filter,
         item_neighbours,
         item_neighbours_other,
+        all_item_neighbours,
         predict_ratings,
         clean_numeric,
         null_ratios,

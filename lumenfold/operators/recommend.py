@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +15,10 @@ from lumenfold.plans import salted_join, stage
 
 # Users an item needs, items a user needs, neighbours kept.
 MIN_USERS, MIN_ITEMS, NEIGHBOURS = 25, 5, 50
+# Items of a block, and ratings a task of a block product holds at most on average.
+ITEM_BLOCK = 512
+UNIT_RATINGS = 2_000_000
+USERS_AT_ONCE = 2048
 
 
 def last_ratings(events: DataFrame, order_by: Sequence[str], rating: str = "rating") -> DataFrame:
@@ -87,6 +94,122 @@ def item_neighbours(
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def all_item_neighbours(
+    ratings: DataFrame,
+    k: int = NEIGHBOURS,
+    min_common: int = 2,
+    include_self: bool = True,
+    item_block: int = ITEM_BLOCK,
+    unit_ratings: int = UNIT_RATINGS,
+) -> DataFrame:
+    """(target, item, similarity, rank): the ``k`` items most similar to every item. Exact.
+
+    The same rows as ``item_neighbours`` with all items as targets. Items are dealt into blocks, and the product of the
+    rating matrix with itself is made block pair by block pair, over slices of the users. So the pairs of a user's
+    items are split into a triangle of small pieces, each combined with those of other users where it is made,
+    and no task sees all items of a user or all users of an item.
+
+    First each block is multiplied with itself, which gives items a k-th similarity to beat. For two other blocks only
+    the users with items in both count. The norm of an item over those users, as a share of its whole norm, bounds its
+    cosine with any item of the other block; block pairs whose bounds cannot beat the items' k-th similarities are left out.
+
+    ``ratings`` should be staged; it is read three times.
+    """
+    moments = stage(item_moments(ratings), "item-moments")
+    items = moments.count()
+    blocks = max(1, math.ceil(items / item_block))
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks))
+    per_item = ratings.groupBy("item").agg(F.count("*").alias("rows"))
+    centred = salted_join(ratings, moments.where(F.col("norm") > 0), "item", per_item, ["user"])
+    rows = centred.select("user", "item", block.alias("block"), (F.col("rating") - F.col("mean")).alias("d"), "norm")
+    rows = stage(rows, "centred-ratings")
+    alone = rows.select(F.col("block").alias("a"), F.col("block").alias("b"), "user", "item", "d", F.lit(0).alias("side"))
+    inside = stage(_similar(_block_products(alone, unit_ratings), moments, min_common), "inside-blocks")
+    found = inside
+    if blocks > 1:
+        found = inside.unionByName(_across_blocks(rows, inside, moments, k, min_common, unit_ratings))
+    both = found.unionByName(found.where("target <> item").select(F.col("item").alias("target"), F.col("target").alias("item"), "similarity"))
+    if not include_self:
+        both = both.where("item <> target")
+    order = Window.partitionBy("target").orderBy(F.round("similarity", 9).desc(), "item")
+    return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _across_blocks(rows: DataFrame, inside: DataFrame, moments: DataFrame, k: int, min_common: int, unit_ratings: int) -> DataFrame:
+    """Similar pairs of items in different blocks, as far as they can matter."""
+    per_user = rows.groupBy("user").agg(F.collect_set("block").alias("others"), F.count("*").alias("rows"))
+    per_user = stage(per_user.where(F.size("others") > 1), "user-blocks")
+    met = salted_join(rows, per_user.select("user", "others"), "user", per_user.select("user", "rows"), ["item"])
+    met = met.select("user", "item", "block", "d", "norm", F.explode("others").alias("other")).where("block <> other")
+
+    # The largest share of an item's norm that lies on users with items of the other block.
+    part = met.groupBy("block", "other", "item").agg((F.sqrt(F.sum(F.col("d") * F.col("d"))) / F.first("norm")).alias("share"))
+    shares = stage(part, "norm-shares")
+    largest = shares.groupBy("block", "other").agg(F.max("share").alias("largest"))
+    twice = inside.select("target", "similarity").unionAll(inside.where("item <> target").select("item", "similarity"))
+    place = F.row_number().over(Window.partitionBy("target").orderBy(F.desc("similarity")))
+    kth = twice.withColumn("_place", place).where(F.col("_place") == k).select(F.col("target").alias("item"), F.col("similarity").alias("kth"))
+    facing = largest.select(F.col("block").alias("other"), F.col("other").alias("block"), F.col("largest").alias("facing"))
+    bound = F.col("share") * F.col("facing") + 1e-9
+    wanted = shares.join(kth, "item", "left").join(facing, ["block", "other"]).where(bound >= F.coalesce("kth", F.lit(0.0)))
+    pairs = wanted.select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")).distinct()
+    pairs = stage(pairs, "open-block-pairs")
+
+    placed = met.select(
+        F.least("block", "other").alias("a"),
+        F.greatest("block", "other").alias("b"),
+        "user",
+        "item",
+        "d",
+        (F.col("block") > F.col("other")).cast("int").alias("side"),
+    )
+    return _similar(_block_products(placed.join(pairs, ["a", "b"], "left_semi"), unit_ratings), moments, min_common)
+
+
+def _block_products(placed: DataFrame, unit_ratings: int) -> DataFrame:
+    """(i, j, dot, n) of pairs of items with common users, from (a, b, user, item, d, side). Side 0 holds the items of block a."""
+    staged = stage(placed, "block-ratings")
+    sizes = staged.groupBy("a", "b").agg(F.count("*").alias("rows"))
+    slices = sizes.select("a", "b", F.ceil(F.col("rows") / F.lit(unit_ratings)).alias("slices"))
+    unit = staged.join(slices, ["a", "b"]).withColumn("slice", F.pmod(F.xxhash64("user"), F.col("slices")))
+    item_type = placed.schema["item"].dataType.simpleString()
+
+    def multiply(frame: pd.DataFrame) -> pd.DataFrame:
+        users = pd.factorize(frame["user"])[0]
+        side = frame["side"].to_numpy()
+        alone = frame["a"].iloc[0] == frame["b"].iloc[0]
+        halves = []
+        for s in (0, 1):
+            mine = side == (0 if alone else s)
+            codes, names = pd.factorize(frame["item"][mine], sort=True)
+            halves.append((users[mine], codes, frame["d"].to_numpy()[mine], np.asarray(names)))
+        (_, _, _, left), (_, _, _, right) = halves
+        dot, n = np.zeros((len(left), len(right))), np.zeros((len(left), len(right)))
+        for low in range(0, int(users.max()) + 1, USERS_AT_ONCE):
+            dense = []
+            for who, codes, d, names in halves:
+                at = (who >= low) & (who < low + USERS_AT_ONCE)
+                values, marks = np.zeros((2, USERS_AT_ONCE, len(names)))
+                values[who[at] - low, codes[at]], marks[who[at] - low, codes[at]] = d[at], 1
+                dense.append((values, marks))
+            dot += dense[0][0].T @ dense[1][0]
+            n += dense[0][1].T @ dense[1][1]
+        i, j = np.nonzero(np.triu(n) if alone else n)
+        return pd.DataFrame({"i": left[i], "j": right[j], "dot": dot[i, j], "n": n[i, j].astype(int)})
+
+    parts = unit.groupBy("a", "b", "slice").applyInPandas(multiply, f"i {item_type}, j {item_type}, dot double, n long")
+    return parts.groupBy("i", "j").agg(F.sum("dot").alias("dot"), F.sum("n").alias("n"))
+
+
+def _similar(products: DataFrame, moments: DataFrame, min_common: int) -> DataFrame:
+    """(target, item, similarity) of the positive cosines, each pair once."""
+    norm = lambda c: moments.select(F.col("item").alias(c), F.col("norm").alias(f"norm_{c}"))
+    joined = products.where(F.col("n") >= min_common).join(norm("i"), "i").join(norm("j"), "j")
+    similarity = F.try_divide(F.col("dot"), F.col("norm_i") * F.col("norm_j"))
+    scored = joined.select(F.col("i").alias("target"), F.col("j").alias("item"), similarity.alias("similarity"))
+    return scored.where((F.col("similarity") > ZERO) & ~F.isnan("similarity"))
+
+
 def predict_ratings(ratings: DataFrame, neighbours: DataFrame, min_neighbours: int = 2) -> DataFrame:
     """(target, user, rating, known) for users who rated enough neighbours of the target.
 

@@ -66,3 +66,50 @@ def test_neighbours_and_predictions(spark, hot_pieces, partitions):
     assert not [r for r in near.collect() if r["target"] == 99]
     others = recommend.item_neighbours(ratings, targets, k=4, include_self=False)
     assert not [r for r in others.collect() if r["target"] == r["item"]]
+
+
+def neighbour_lists(rows):
+    out = {}
+    for r in sorted(rows.collect(), key=lambda r: (r["target"], r["rank"])):
+        out.setdefault(r["target"], []).append((r["item"], pytest.approx(r["similarity"])))
+    return out
+
+
+@pytest.mark.parametrize("item_block,unit_ratings,partitions", [(3, 20, 6), (5, 10_000, 1), (100, 7, 2)])
+def test_neighbours_of_all_items(spark, hot_pieces, item_block, unit_ratings, partitions):
+    rng = np.random.default_rng(11)
+    matrix = np.where(rng.random((60, 20)) < 0.3, rng.integers(1, 6, (60, 20)).astype(float), np.nan)
+    matrix[0, :] = rng.integers(1, 6, 20)  # a user with every item
+    matrix[:, 4] = np.where(np.isnan(matrix[:, 4]), rng.integers(1, 6, 60), matrix[:, 4])  # an item of every user
+    matrix[:, 19] = np.where(np.isnan(matrix[:, 19]), np.nan, 3.0)  # an item of one rating value
+    data = [(u, i, float(matrix[u, i])) for u in range(60) for i in range(20) if not np.isnan(matrix[u, i])]
+    ratings = spark.createDataFrame(data, "user long, item long, rating double").repartition(partitions).cache()
+    got = neighbour_lists(recommend.all_item_neighbours(ratings, 4, item_block=item_block, unit_ratings=unit_ratings))
+    for target in range(20):
+        scores, _ = model(matrix, target, 4)
+        assert got.get(target, []) == list(scores.items())
+    others = recommend.all_item_neighbours(ratings, 4, include_self=False, item_block=item_block, unit_ratings=unit_ratings)
+    wanted = recommend.item_neighbours(ratings, ratings.select("item").distinct(), 4, include_self=False)
+    assert neighbour_lists(others) == neighbour_lists(wanted)
+
+
+def test_a_user_with_every_item_is_split_and_far_blocks_are_left_out(spark, monkeypatch):
+    """Items of users that never meet have no block pair; pieces of the greedy user are block by block."""
+    rows = [(u, i, float((u * 7 + i * 3) % 5 + 1)) for u in range(40) for i in range(24) if (u < 20) == (i < 12)]
+    rows += [(99, i, float(i % 5 + 1)) for i in range(24)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double").cache()
+    sizes, products = [], recommend._block_products
+
+    def watched(placed, unit):
+        counts = placed.groupBy("a", "b", "user").count().collect()
+        sizes.extend(r["count"] for r in counts)
+        return products(placed, unit)
+
+    monkeypatch.setattr(recommend, "_block_products", watched)
+    got = neighbour_lists(recommend.all_item_neighbours(ratings, 3, item_block=4))
+    wanted = neighbour_lists(recommend.item_neighbours(ratings, ratings.select("item").distinct(), 3))
+    assert got == wanted and max(sizes) < 24
+
+
+def test_all_items_of_no_ratings(spark):
+    assert recommend.all_item_neighbours(spark.createDataFrame([], "user long, item long, rating double")).count() == 0
