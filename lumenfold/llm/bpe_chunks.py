@@ -21,10 +21,14 @@ columns are ignored; an empty table gives an empty result. Special tokens of the
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
+import json
 import os
-from collections.abc import Iterator, Mapping
+import re
+import unicodedata
+from collections.abc import Generator, Iterator, Mapping
 from functools import cache
 from pathlib import Path
 
@@ -41,9 +45,36 @@ WINDOW = 32
 LEAST, MEAN, MOST = 512, 2048, 16_384
 BASE = 0x9E3779B97F4A7C15
 BLOCK = 1 << 20
-AT_ONCE = 64
-OUT_BYTES = 4 << 20
+AT_ONCE, AT_ONCE_CHARS = 64, 1 << 18
+OUT_CHARS = 1 << 20
 BLANKS = (0x20, 0x09, 0x0A, 0x0D)
+# Plain characters, words a dictionary holds at most, and the one plain capital whose lower case is longer.
+PLAIN, MOST_WORDS, DOTTED_I = 0x180, 1 << 19, "\u0130"
+# Normalizer and pre-tokenizer of the vocabularies whose words stand for themselves, and their pattern.
+WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+WORD_END = "</w>"
+PLAIN_SPACE = r"\t-\r\x20\x85\xa0"
+PLAIN_BLANK = np.isin(np.arange(PLAIN), (9, 10, 11, 12, 13, 0x20, 0x85, 0xA0))
+
+
+def plain_class(kind: str) -> str:
+    """The plain characters of a Unicode category as a character class."""
+    return "".join(f"\\u{c:04x}" for c in range(PLAIN) if unicodedata.category(chr(c)).startswith(kind))
+
+
+# ``WORDS`` for plain lower-case texts, with its classes spelled out.
+SPLIT = f"[{plain_class('L')}]+|[{plain_class('N')}]|'(?:s|t|re|ve|m|ll|d)|[^{PLAIN_SPACE}{plain_class('L')}{plain_class('N')}]+"
 
 
 def code_points(text: str) -> np.ndarray:
@@ -88,8 +119,19 @@ def chunk_starts(points: np.ndarray) -> list[int]:
     return starts
 
 
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    """``values`` with room for ``size``, doubled if need be."""
+    return values if size <= len(values) else np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)])
+
+
 class Codec:
-    """A tokenizer, from the JSON of its file, with its ids as arrays and the names of its tokens for decoding."""
+    """A tokenizer, from the JSON of its file, with its ids as arrays and the names of its tokens for decoding.
+
+    A vocabulary that splits words as ``WORDS`` does, after lower case, gives equal words equal ids wherever they stand. For
+    it, the words of plain texts are looked up in a dictionary, which the tokenizer itself fills; it is emptied
+    at ``MOST_WORDS``. Plain are characters below ``PLAIN`` without special tokens: there neither composition nor lower case
+    changes the number of characters. All other texts, and other vocabularies, go to the tokenizer as they are.
+    """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work over the cores
@@ -102,9 +144,24 @@ class Codec:
         self.names = [""] * (max(names.values(), default=-1) + 1)
         for name, i in names.items():
             self.names[i] = name
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(ids, first characters) of the tokens of each text."""
+        form = json.loads(spec)
+        self.by_word = form["normalizer"] == NORMALIZER and form["pre_tokenizer"] == PRE_TOKENIZER and form["post_processor"] is None
+        marks = [re.escape(t["content"]) for t in form["added_tokens"]]
+        self.odd = re.compile("|".join([f"[^\\x00-{chr(PLAIN - 1)}]", DOTTED_I, *marks]))
+        self.split = re.compile(SPLIT)
+        self.ends_word = np.array([name.endswith(WORD_END) for name in self.names])
+        self.sizes = np.array([len(name.removesuffix(WORD_END)) for name in self.names])
+        self.words: dict[str, int] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the dictionary: word k has the ids from ``ends[k]`` to ``ends[k + 1]``."""
+        self.words.clear()
+        self.ids, self.places = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint32)
+        self.ends = np.zeros(1 << 14, np.int64)
+
+    def whole(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, first characters) of the tokens of each text, by the tokenizer."""
         out = []
         for at in range(0, len(texts), AT_ONCE):
             for e in self.model.encode_batch(texts[at : at + AT_ONCE], add_special_tokens=False):
@@ -112,12 +169,77 @@ class Codec:
                 out.append((np.array(e.ids, np.uint32), places[::2]))
         return out
 
+    def learn(self, words: set[str]) -> None:
+        """Put new words into the dictionary. They are encoded as one text, in which a token with the end mark ends a word."""
+        new = list(words)
+        ids = np.array(self.model.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(new) or (len(ids) and ends[-1] != len(ids)):
+            raise ValueError("the vocabulary does not mark the ends of words")
+        # Tokens are bytes: the first byte of each, as a number of characters of its word.
+        raw = np.frombuffer("".join(new).encode(), np.uint8)
+        character = np.cumsum((raw & 0xC0) != 0x80) - 1
+        first_byte = np.cumsum(self.sizes[ids]) - self.sizes[ids]
+        begins = np.concatenate([[0], ends[:-1]])
+        places = character[first_byte] - np.repeat(character[first_byte[begins]], ends - begins)
+        old, known = int(self.ends[len(self.words)]), len(self.words)
+        self.ids, self.places = grown(self.ids, old + len(ids)), grown(self.places, old + len(ids))
+        self.ends = grown(self.ends, known + len(new) + 1)
+        self.ids[old : old + len(ids)], self.places[old : old + len(ids)] = ids, places
+        self.ends[known + 1 : known + len(new) + 1] = old + ends
+        self.words.update(zip(new, range(known, known + len(new)), strict=True))
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, first characters) of the tokens of each text."""
+        out: list = [None] * len(texts)
+        plain = [k for k, t in enumerate(texts) if self.by_word and not self.odd.search(t)]
+        rest = sorted(set(range(len(texts))) - set(plain))
+        for k, found in zip(rest, self.whole([texts[k] for k in rest]), strict=True):
+            out[k] = found
+        at = 0
+        while at < len(plain):
+            end, size = at, 0
+            while end < len(plain) and (end == at or size < AT_ONCE_CHARS):
+                size += len(texts[plain[end]])
+                end += 1
+            lowered = [texts[k].lower() for k in plain[at:end]]
+            for k, found in zip(plain[at:end], self.looked_up(lowered), strict=True):
+                out[k] = found
+            at = end
+        return out
+
+    def looked_up(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The ids and places of plain texts from their words, which hold all characters but the white space."""
+        together = "\n".join(texts)
+        words = self.split.findall(together)
+        if len(self.words) > MOST_WORDS:
+            self.forget()
+        if new := set(words).difference(self.words):
+            self.learn(new)
+        number = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        solid = np.flatnonzero(~PLAIN_BLANK[np.frombuffer(together.encode("utf-16-le"), "<u2")])
+        starts = solid[np.cumsum(lens) - lens]
+        low, size = self.ends[number], self.ends[number + 1] - self.ends[number]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        into = np.repeat(low - upto[:-1], size) + np.arange(upto[-1])
+        ids, places = self.ids[into], self.places[into] + np.repeat(starts, size)
+        offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        cuts = upto[np.searchsorted(starts, offsets)]
+        return [(ids[a:b], (places[a:b] - o).astype(np.uint32)) for a, b, o in zip(cuts, cuts[1:], offsets, strict=False)]
+
     def decode(self, ids: np.ndarray) -> str:
         if self.model.decoder is not None:
             return self.model.decode(ids.tolist(), skip_special_tokens=False)
         return " ".join(map(self.names.__getitem__, ids.tolist()))
 
 
+@cache
+def process_codec(spec: str) -> Codec:
+    """One codec for all tasks of a Python process, which so share its dictionary."""
+    return Codec(spec)
+
+
 def between(part: tuple[np.ndarray, np.ndarray], low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
     """Tokens that start in [low, high)."""
     ids, places = part
@@ -133,12 +255,35 @@ def agree(a: tuple[np.ndarray, np.ndarray], at_a: int, b: tuple[np.ndarray, np.n
 
 def encode_text(text: str, codec: Codec, given: Mapping[int, tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """The ids of a whole text from its chunks; ``given`` holds those that are encoded already."""
+    return encode_many([(text, given)], codec)[0]
+
+
+def encode_many(texts: list[tuple[str, Mapping]], codec: Codec) -> list[np.ndarray]:
+    """The ids of several texts; what they ask the codec for goes to it together."""
+    out: list = [None] * len(texts)
+    steps = {k: encoding(text, given) for k, (text, given) in enumerate(texts)}
+    answers = dict.fromkeys(steps)
+    while steps:
+        asked = {}
+        for k, step in list(steps.items()):
+            try:
+                asked[k] = step.send(answers[k])
+            except StopIteration as done:
+                out[k] = done.value
+                del steps[k]
+        found = iter(codec.encode([t for wanted in asked.values() for t in wanted]))
+        answers = {k: [next(found) for _ in wanted] for k, wanted in asked.items()}
+    return out
+
+
+def encoding(text: str, given: Mapping[int, tuple[np.ndarray, np.ndarray]]) -> Generator[list[str], list, np.ndarray]:
+    """Yields the parts it wants to have encoded, is sent their tokens, and returns the ids of the text."""
     points = code_points(text)
     starts = chunk_starts(points)
     if len(starts) == 1:
-        return given[0][0] if 0 in given else codec.encode([text])[0][0]
+        return given[0][0] if 0 in given else (yield [text])[0][0]
     n, joins = len(points), np.array(starts[1:])
-    blank = np.isin(points, BLANKS)
+    blank = functools.reduce(np.logical_or, [points == b for b in BLANKS])
     edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
     firsts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)  # word k is [firsts[k], ends[k])
     words = np.ones(len(joins), np.int64)
@@ -161,9 +306,10 @@ def encode_text(text: str, codec: Codec, given: Mapping[int, tuple[np.ndarray, n
         stay = [(c, low, high) for (c, low), (last, high) in zip(rest, limits, strict=True) if low < high and c == last]
         missing = [c for c, _, _ in stay if c not in chunks]
         bounds = [*starts, n]
-        chunks.update(zip(missing, codec.encode([text[bounds[c] : bounds[c + 1]] for c in missing]), strict=True))
         todo = [(a, b) for a, b, _, _ in windows if (a, b) not in done]
-        done.update(zip(todo, codec.encode([text[a:b] for a, b in todo]), strict=True))
+        found = yield [text[bounds[c] : bounds[c + 1]] for c in missing] + [text[a:b] for a, b in todo]
+        chunks.update(zip(missing, found[: len(missing)], strict=True))
+        done.update(zip(todo, found[len(missing) :], strict=True))
         kept = {c: (low, high) for c, low, high in stay}
         bad = []
         for a, b, first, last in windows:
@@ -216,7 +362,7 @@ def encode_representatives(texts: DataFrame, shared: DataFrame, spec: str) -> Da
             for text, asked in zip(batch.column("text"), batch.column("asked"), strict=True):
                 if not asked.is_valid:
                     continue
-                codec = codec or Codec(spec)
+                codec = codec or process_codec(spec)
                 whole, wanted = text.as_py(), asked.as_py()
                 bounds = [*chunk_starts(code_points(whole)), len(whole)]
                 for at in range(0, len(wanted), AT_ONCE):
@@ -244,23 +390,23 @@ def encode_texts(docs: DataFrame, tokenizer: str) -> DataFrame:
     given = sent.groupBy("text_key").agg(F.collect_list(F.struct("nth", "ids", "places")).alias("given"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(spec)
+        codec = process_codec(spec)
         for batch in batches:
-            out, size = [], 0
+            now, size = [], 0
             for key, text, given in zip(*(batch.column(c) for c in ("text_key", "text", "given")), strict=True):
                 parts = {
                     g["nth"].as_py(): tuple(np.frombuffer(g[c].as_py(), "<u4") for c in ("ids", "places")) for g in given.values or ()
                 } if given.is_valid else {}
-                ids = encode_text(text.as_py(), codec, parts)
-                out.append((key.as_py(), ids.astype("<u4").tobytes(), codec.decode(ids)))
-                size += 4 * len(ids) + len(out[-1][2])
-                if size > OUT_BYTES:
-                    yield table(out)
-                    out, size = [], 0
-            yield table(out)
-
-    def table(out: list) -> pa.RecordBatch:
-        columns = zip(*out, strict=True) if out else [[]] * 3
+                now.append((key.as_py(), text.as_py(), parts))
+                size += len(now[-1][1])
+                if size > OUT_CHARS:
+                    yield table(now, codec)
+                    now, size = [], 0
+            yield table(now, codec)
+
+    def table(now: list, codec: Codec) -> pa.RecordBatch:
+        ids = encode_many([(text, parts) for _, text, parts in now], codec)
+        columns = [[key for key, _, _ in now], [i.astype("<u4").tobytes() for i in ids], [codec.decode(i) for i in ids]]
         kinds = [pa.binary(), pa.binary(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["text_key", "ids", "decoded"])
 
