@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ def lower_all(token_array: Column) -> Column:
 
 
 def lower_text(text: Column) -> Column:
-    """The text in lower case, for counting a-z in it with :func:`occurrences`."""
+    """The text in lower case, for counting a-z in it with :func:`letter_counts`."""
     return F.lower(F.replace(text, F.lit(_DOTTED_I), F.lit("")))
 
 
@@ -45,9 +47,19 @@ def other_letters(text: Column) -> Column:
     return F.transform(letters, lambda c: F.lower(c))
 
 
-def occurrences(text: Column, letter: str) -> Column:
-    """How often an ASCII letter occurs, from byte lengths."""
-    return (F.octet_length(text) - F.octet_length(F.replace(text, F.lit(letter), F.lit("")))).cast("long")
+def letter_counts(text: Column) -> Column:
+    """How often each of a-z occurs, as an array in the order of the alphabet. Every byte is looked at once."""
+
+    @F.arrow_udf("array<bigint>")
+    def counts(texts: pa.Array) -> pa.Array:
+        flat = texts.cast(pa.large_binary())
+        _, offsets, data = flat.buffers()
+        ends = np.frombuffer(offsets, np.int64)[flat.offset : flat.offset + len(flat) + 1]
+        raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        rows = [np.bincount(raw[a:b], minlength=256)[97:123] for a, b in zip(ends, ends[1:], strict=False)]
+        return pa.array(rows, pa.list_(pa.int64()))
+
+    return counts(text)
 
 
 def run_lengths(values: Column) -> Column:
@@ -77,35 +89,6 @@ def run_lengths(values: Column) -> Column:
     return _bind(F.sort_array(values), measure)
 
 
-def token_runs(token_array: Column) -> Column:
-    """Array of (word, n, in_lower) for the distinct words among the tokens, in lower case.
-
-    ``in_lower`` says whether the word also stands there all in lower case. The tokens are sorted
-    by word, those in lower case last, and the runs are measured.
-    """
-
-    def measure(ordered: Column) -> Column:
-        size = F.size(ordered)
-        starts = F.filter(
-            F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))),
-            lambda i: (i < size) & ((i == 0) | (F.get(ordered, i)["word"] != F.get(ordered, i - 1)["word"])),
-        )
-
-        def run(first: Column, after: Column) -> Column:
-            end = F.coalesce(after, size)
-            return F.struct(
-                F.get(ordered, first)["word"].alias("word"),
-                (end - first).cast("long").alias("n"),
-                F.get(ordered, end - 1)["low"].alias("in_lower"),
-            )
-
-        return _bind(starts, lambda first: F.zip_with(first, F.slice(first, F.lit(2), F.greatest(F.size(first), F.lit(1))), run))
-
-    pairs = F.zip_with(lower_all(token_array), token_array, lambda w, t: F.struct(w.alias("word"), (w == t).alias("low")))
-    kept = F.filter(pairs, lambda p: p["low"].isNotNull() & (p["word"] != ""))
-    return _bind(F.sort_array(kept), measure)
-
-
 def _bind(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it many times inside ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -77,17 +77,14 @@ def fill_from_whole(df: DataFrame, fills: Mapping[str, Column]) -> DataFrame:
 def fill_group_mean(df: DataFrame, group: str, columns: Sequence[str], spread: Sequence[str]) -> DataFrame:
     """Fill nulls with the mean of the column within the group.
 
-    The means come from a pre-combined aggregate, staged with its row counts, and are joined back
-    with hot groups split by the ``spread`` columns; no group is held by a single task. Rows
-    without a group are a group of their own, whose means enter as one scalar.
+    The input is computed once and staged. The means come from one pre-combined aggregate, staged with its row counts, and are
+    joined back with hot groups split by the ``spread`` columns; no group is held by a single task. Rows
+    without a group are a group of their own, which is split like any other.
     """
+    key = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
+    rows = stage(df.withColumn("_group", key), "group_rows")
     means = [F.avg(c).alias(f"_mean_{c}") for c in columns]
-    grouped = stage(df.groupBy(group).agg(F.count("*").alias("rows"), *means), "group_means")
-    named = grouped.where(F.col(group).isNotNull())
-    rest = df.where(F.col(group).isNull())
-    whole = rest.withColumn("_all", rest.agg(F.struct(*means)).scalar())
-    whole = whole.withColumns({f"_mean_{c}": F.col(f"_all._mean_{c}") for c in columns}).drop("_all")
-    joined = salted_join(df.where(F.col(group).isNotNull()), named.drop("rows"), group, named.select(group, "rows"), spread)
-    joined = joined.unionByName(whole)
+    grouped = stage(rows.groupBy("_group").agg(F.count("*").alias("rows"), *means), "group_means")
+    joined = salted_join(rows, grouped.drop("rows"), "_group", grouped.select("_group", "rows"), spread)
     filled = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in columns})
     return filled.select(*df.columns)

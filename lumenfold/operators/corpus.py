@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.functions import text as tx
+from lumenfold.operators.frequent import most_frequent
+from lumenfold.plans.stage import stage
 
 # Fixed value: how many of the most frequent words are looked at.
 TOP = 1000
@@ -30,9 +35,8 @@ def letter_moments(docs: DataFrame, text: str = "text") -> DataFrame:
         tx.lower_text(F.coalesce(text, F.lit(""))).alias("plain"),
         tx.run_lengths(tx.other_letters(F.coalesce(text, F.lit("")))).alias("others"),
     )
-    plain = F.array(
-        *[F.struct(F.lit(c).alias("value"), tx.occurrences(F.col("plain"), c).alias("n")) for c in tx.LETTERS]
-    )
+    letters = F.array(*[F.lit(c) for c in tx.LETTERS])
+    plain = F.zip_with(letters, tx.letter_counts(F.col("plain")), lambda c, n: F.struct(c.alias("value"), n.alias("n")))
     counts = parts.select(F.explode(F.concat(plain, "others")).alias("c")).select(
         F.col("c.value").alias("letter"), F.col("c.n").cast("double").alias("n")
     )
@@ -54,24 +58,54 @@ def token_counts(reviews: DataFrame, text: str = "text") -> DataFrame:
 
 
 def top_tokens(reviews: DataFrame, k: int = TOP, text: str = "text") -> DataFrame:
-    """The ``k`` most frequent tokens; ties go to the smaller word."""
-    return token_counts(reviews, text).orderBy(F.desc("n"), "word").limit(k)
-
-
-def counted(reviews: DataFrame, text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """(carried columns, length, words): number of tokens, and (word, n, in_lower) of the distinct words of each row.
+    """The ``k`` most frequent tokens, in lower case; ties go to the smaller word.
 
-    Counting happens inside the row, so rows need no id and nothing is shuffled.
+    Found by summaries of bounded size, so the vocabulary is not shuffled.
     """
-    token_rows = reviews.select(*carry, tx.tokens(F.col(text)).alias("tokens"))
-    return token_rows.select(*carry, F.size("tokens").alias("length"), tx.token_runs(F.col("tokens")).alias("words"))
+    lowered = reviews.select(tx.lower_all(tx.tokens(F.col(text))).alias("words"))
+    return most_frequent(lowered.select(F.filter("words", lambda w: w != "").alias("words")), "words", k)
 
 
-def top_words(rows: DataFrame, k: int = TOP) -> DataFrame:
-    """The ``k`` most frequent words of counted rows; ties go to the smaller word."""
-    # The outer form, or Spark would count every row once more to see whether it has words.
-    words = rows.select(F.explode_outer("words").alias("w")).where("w IS NOT NULL").groupBy("w.word").agg(F.sum("w.n").alias("n"))
-    return words.orderBy(F.desc("n"), "word").limit(k)
+def counted(reviews: DataFrame, words: Sequence[str], text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(carried columns, length, words): number of tokens, and (word, n, in_lower) of the given words in each row.
+
+    ``in_lower`` says whether the word also stands there all in lower case. Counting happens inside the row, batch by
+    batch, so rows need no id and nothing is shuffled; other words leave no trace. ``words`` is a short list.
+    """
+    chosen = sorted(set(words))
+    rows = reviews.select(*carry, tx.tokens(F.col(text)).alias("tokens")).withColumn("length", F.size("tokens"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(chosen, pa.string())
+        for batch in batches:
+            tokens = batch.column("tokens")
+            flat = tokens.flatten()
+            row = np.repeat(np.arange(len(batch)), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy())
+            low = pc.ascii_lower(flat)
+            code = pc.fill_null(pc.index_in(low, value_set=known), -1).to_numpy()
+            there = code >= 0
+            key = row[there] * max(len(chosen), 1) + code[there]
+            same = pc.fill_null(pc.equal(low, flat), False).to_numpy(zero_copy_only=False)[there]
+            keys, place, n = np.unique(key, return_inverse=True, return_counts=True)
+            in_lower = np.bincount(place, weights=same, minlength=len(keys)) > 0
+            of_row, of_word = np.divmod(keys, max(len(chosen), 1))
+            offsets = np.searchsorted(of_row, np.arange(len(batch) + 1)).astype(np.int32)
+            values = pa.StructArray.from_arrays(
+                [known.take(pa.array(of_word, pa.int64())), pa.array(n, pa.int64()), pa.array(in_lower, pa.bool_())],
+                names=["word", "n", "in_lower"],
+            )
+            columns = [*(batch.column(c) for c in carry), batch.column("length"), pa.ListArray.from_arrays(offsets, values)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*carry, "length", "words"])
+
+    kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*carry, "length"])
+    return rows.mapInArrow(run, f"{kept}, words array<struct<word:string,n:bigint,in_lower:boolean>>")
+
+
+def counted_top(reviews: DataFrame, k: int = TOP, text: str = "text", carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The ``k`` most frequent words, and the rows counted for them, both staged."""
+    words = stage(top_tokens(reviews, k, text), "words")
+    chosen = [r["word"] for r in words.select("word").collect()]
+    return words, stage(counted(reviews, chosen, text, carry), "counted")
 
 
 def counted_frequencies(rows: DataFrame, words: DataFrame, carry: Sequence[str] = (), case_fold: bool = False) -> DataFrame:
@@ -89,8 +123,9 @@ def counted_frequencies(rows: DataFrame, words: DataFrame, carry: Sequence[str]
 def word_frequencies(
     reviews: DataFrame, words: DataFrame, doc: str = "doc_id", text: str = "text", case_fold: bool = False
 ) -> DataFrame:
-    """(doc, word, frequency) for the given words, each row of ``reviews`` by itself."""
-    found = counted_frequencies(counted(reviews, text, [doc]), words, [doc], case_fold)
+    """(doc, word, frequency) for the given words, each row of ``reviews`` by itself. ``words`` is a short list."""
+    chosen = [r["word"] for r in words.select("word").distinct().collect()]
+    found = counted_frequencies(counted(reviews, chosen, text, [doc]), words, [doc], case_fold)
     return found.select(doc, "word", "frequency")
 
 

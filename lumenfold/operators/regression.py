@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.functions.stats import correlation, two_sided_p
-from lumenfold.operators.corpus import TOP, counted, counted_frequencies, top_words
+from lumenfold.operators.corpus import TOP, counted, counted_frequencies, top_tokens
 from lumenfold.plans import stage
 
 
@@ -36,17 +36,18 @@ def word_regressions(
 
     ``words`` (column ``word``) replaces the top tokens; the number of tests is then theirs.
 
-    The text is read once: the words of each row are counted inside it, and only these counts are
+    The wanted words (a short list) are counted inside each row, and only these counts are
     staged. Only non-zero frequencies become rows, and combine per word before the shuffle; the
     moments of those rows are merged with the zero rows in closed form. Rows need no id.
     """
     marked = _marked_rows(reviews, text, target, control, required, missing)
-    rows = stage(counted(marked, text, ["whole", "y", "c"]), "counted")
     if words is None:
-        words, number = stage(top_words(rows, top), "words"), top
+        words, number = stage(top_tokens(reviews, top, text), "words"), top
     else:
         words = stage(words.select("word").distinct(), "words")
         number = words.count()
+    chosen = [r["word"] for r in words.select("word").collect()]
+    rows = stage(counted(marked, chosen, text, ["whole", "y", "c"]), "counted")
     kept = rows.where("whole") if missing == "drop" else rows
     found = counted_frequencies(kept.where("whole"), words, ["y", "c"], case_fold)
     everything = kept.select("y", "c", F.lit("").alias("word"), F.lit(0.0).alias("frequency"))
@@ -158,17 +159,23 @@ def feature_regressions(
     the target as one of the features (slope 1, p 0). p is not adjusted.
     """
     names = [f for f in features if f != target] + ([target] if include_target else [])
-    values = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in names])
-    long = panel.select(F.col(target).cast("double").alias("y"), F.explode(values).alias("v")).select(
-        "y", "v.feature", "v.x"
-    )
-    both = long.where("x IS NOT NULL AND y IS NOT NULL")
-    moments = both.groupBy("feature").agg(
-        F.count("*").alias("n"),
-        F.stddev_pop("x").alias("std_x"),
-        F.stddev_pop("y").alias("std_y"),
-        F.covar_pop("x", "y").alias("cov_xy"),
-    )
+    y = F.col(target).cast("double")
+
+    def of(name: str) -> Column:
+        x = F.col(name).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        own, other = F.when(both, x), F.when(both, y)
+        return F.struct(
+            F.lit(name).alias("feature"),
+            F.count(own).alias("n"),
+            F.stddev_pop(own).alias("std_x"),
+            F.stddev_pop(other).alias("std_y"),
+            F.covar_pop(own, other).alias("cov_xy"),
+        )
+
+    # One row with the moments of every feature, turned into a row per feature: no row of the panel is repeated.
+    whole = panel.groupBy(F.lit("all")).agg(F.array(*[of(f) for f in names]).alias("features"))
+    moments = whole.select(F.inline("features")).where("n > 0")
     r = correlation(F.col("cov_xy"), F.col("std_x"), F.col("std_y"))
     if include_target:
         r = F.when(F.col("feature") == target, F.nvl2(r, F.lit(1.0), F.lit(None).cast("double"))).otherwise(r)
