@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.functions.clean import bin_number, code_prefix, code_text
-from lumenfold.plans import salted_join
+from lumenfold.plans import grid_join, salted_join
 
 
 def of_year(panel: DataFrame, year: int, column: str = "year") -> DataFrame:
@@ -46,6 +46,14 @@ def join_on_entity(a: DataFrame, b: DataFrame, entity: str, spread: Sequence[str
     return salted_join(a, b, entity, rows, spread)
 
 
+def join_on_entity_grid(
+    a: DataFrame, b: DataFrame, entity: str, spread_a: Sequence[str], spread_b: Sequence[str], piece_rows: int | None = None
+) -> DataFrame:
+    """The same where an entity can be hot on both sides: its product is dealt out cell by cell."""
+    sizes = [side.groupBy(entity).agg(F.count("*").alias("rows")) for side in (a, b)]
+    return grid_join(a, b, entity, *sizes, spread_a, spread_b, piece_rows)
+
+
 def join_zip_map(
     rows: DataFrame, zip_map: DataFrame, zip_text: str, spread: Sequence[str], length: int = 5, piece_rows: int | None = None
 ) -> DataFrame:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenfold.functions.text import key_bucket, key_digest
+from lumenfold.plans.stage import stage
+
+# Hexadecimal digits of a digest, digits per step of the selection, and keys that one task sorts.
+DIGEST_DIGITS = 32
+RADIX = 4
+SORTED_KEYS = 100_000
 
 
 def distinct_keys(rows: DataFrame, key: str) -> DataFrame:
@@ -15,44 +22,54 @@ def distinct_keys(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key).where(F.col(key).isNotNull()).distinct()
 
 
-def key_cutoff(rows: DataFrame, key: str, share: float, salt: str = "") -> DataFrame:
-    """One row, or none: the largest digest among the first floor(n * share) keys.
+def key_cutoff(keys: DataFrame, key: str, share: float, salt: str = "") -> str | None:
+    """The largest digest among the first floor(n * share) of distinct keys; None if there is none.
 
-    A histogram over the leading 16 bits of the digest (at most 65,536 rows) shows
-    in which bucket the cutoff falls, and only that bucket is sorted. So an exact
-    share of any number of keys is found without a global sort or a collected list.
+    Radix selection: a histogram over the next ``RADIX`` hexadecimal digits of the digests (at most 65,536
+    rows) shows in which bucket the cutoff falls, and only that bucket is looked at next, until
+    it is short enough to be sorted by one task. So an exact share of any number of keys is found
+    without a global sort or a collected list. ``keys`` should be staged; each step reads it.
     """
-    digests = distinct_keys(rows, key).select(key_digest(F.col(key), salt).alias("digest"))
-    digests = digests.withColumn("head", F.substring("digest", 1, 4))
-    sizes = digests.groupBy("head").agg(F.count("*").alias("n"))
-    everything = Window.partitionBy(F.lit(0))
-    upto = everything.orderBy("head").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = sizes.select(
-        "head",
-        "n",
-        F.sum("n").over(upto).alias("reached"),
-        F.floor(F.sum("n").over(everything) * F.lit(float(share))).alias("wanted"),
-    )
-    edge = filled.where("reached >= wanted AND reached - n < wanted").select(
-        "head", (F.col("wanted") - F.col("reached") + F.col("n")).alias("take")
-    )
-    place = F.row_number().over(Window.partitionBy("head").orderBy("digest"))
-    return digests.join(F.broadcast(edge), "head").withColumn("place", place).where("place = take").select("digest")
-
-
-def in_key_sample(rows: DataFrame, key: str, share: float, salt: str = "") -> Column:
-    """Condition on ``rows``: the key belongs to the sampled share of the keys.
+    digests = keys.select(key_digest(F.col(key), salt).alias("digest"))
+    wanted = math.floor(digests.count() * float(share))
+    prefix = ""
+    while wanted > 0 and len(prefix) < DIGEST_DIGITS:
+        inside = digests.where(F.col("digest").startswith(prefix))
+        sizes = inside.groupBy(F.substring("digest", len(prefix) + 1, RADIX).alias("head")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("head").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        edge = sizes.withColumn("reached", upto).where(F.col("reached") >= wanted).orderBy("head").first()
+        prefix += edge["head"]
+        wanted -= edge["reached"] - edge["n"]
+        if edge["n"] <= SORTED_KEYS:
+            bucket = digests.where(F.col("digest").startswith(prefix))
+            place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("digest"))
+            return bucket.withColumn("place", place).where(F.col("place") == wanted).first()["digest"]
+    return prefix or None
+
+
+def staged_keys(rows: DataFrame, key: str) -> DataFrame:
+    """The distinct keys, shuffled and written once."""
+    return stage(distinct_keys(rows, key), "distinct-keys")
+
+
+def in_sample(key: str, cutoff: str | None, salt: str = "") -> Column:
+    """Condition: the key belongs to the sampled share of the keys.
 
     Membership is one comparison with the cutoff, so no key list is joined and a hot
     key costs nothing.
     """
-    cutoff = key_cutoff(rows, key, share, salt)
-    return key_digest(F.col(key), salt) <= cutoff.agg(F.max("digest")).scalar()
+    return F.lit(False) if cutoff is None else key_digest(F.col(key), salt) <= cutoff
 
 
 def sampled_keys(rows: DataFrame, key: str, share: float, salt: str = "") -> DataFrame:
     """A repeatable random subset of floor(n * share) of the distinct keys."""
-    return distinct_keys(rows, key).where(in_key_sample(rows, key, share, salt))
+    keys = staged_keys(rows, key)
+    return keys.where(in_sample(key, key_cutoff(keys, key, share, salt), salt))
+
+
+def in_key_sample(rows: DataFrame, key: str, share: float, salt: str = "") -> Column:
+    """Condition on ``rows``: the key belongs to the sampled share of the keys."""
+    return in_sample(key, key_cutoff(staged_keys(rows, key), key, share, salt), salt)
 
 
 def sampled_rows(rows: DataFrame, key: str, share: float, salt: str = "") -> DataFrame:

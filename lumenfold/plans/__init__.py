@@ -1,6 +1,6 @@
 """Helpers that shape physical plans: shared staging and skew splitting."""
 
-from lumenfold.plans.skew import salted_join
+from lumenfold.plans.skew import grid_join, salted_join
 from lumenfold.plans.stage import clear_stage, shared_dir, stage
 
-__all__ = ["clear_stage", "salted_join", "shared_dir", "stage"]
+__all__ = ["clear_stage", "grid_join", "salted_join", "shared_dir", "stage"]

@@ -1,4 +1,4 @@
-"""Equi-join that splits hot keys of the left side over many tasks."""
+"""Equi-joins that split hot keys over many tasks."""
 
 from __future__ import annotations
 
@@ -51,6 +51,47 @@ def salted_join(
     return cut_left.join(cut_right, [on, "_piece"], how).drop("_piece")
 
 
+def grid_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    left_weights: DataFrame,
+    right_weights: DataFrame,
+    left_spread: Sequence[str],
+    right_spread: Sequence[str],
+    piece_rows: int | None = None,
+) -> DataFrame:
+    """Inner join on ``on``, for keys that may be hot on both sides.
+
+    The rows of a hot key are cut in pieces on either side, and each cell (left piece, right piece) is joined
+    by itself: a left row is repeated once per right piece and the other way round. So no task reads a
+    whole side of a key, and the product of the two sides is spread over all cells. Weights, spread and pieces are
+    as in :func:`salted_join`, for each side.
+    """
+    cells = {"_row": hot_keys(left_weights, on, piece_rows), "_column": hot_keys(right_weights, on, piece_rows)}
+    if not any(hot is not None for hot in cells.values()):
+        return left.join(right, on)
+    return grid_side(left, on, cells, "_row", left_spread).join(
+        grid_side(right, on, cells, "_column", right_spread), [on, "_row", "_column"]
+    ).drop("_row", "_column")
+
+
+def grid_side(rows: DataFrame, on: str, cells: dict[str, DataFrame | None], own: str, spread: Sequence[str]) -> DataFrame:
+    """``rows`` with their place in the grid: by hash along their ``own`` axis, repeated along the other."""
+    for axis, hot in cells.items():
+        if hot is None:
+            rows = rows.withColumn(axis, F.lit(0).cast("long"))
+            continue
+        marked = rows.join(hot, on, "left")
+        pieces = F.coalesce("_pieces", F.lit(1))
+        if axis == own:
+            place = F.pmod(F.xxhash64(*spread), pieces)
+        else:
+            place = F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))
+        rows = marked.withColumn(axis, place).drop("_pieces")
+    return rows
+
+
 def hot_keys(weights: DataFrame, on: str, piece_rows: int | None = None) -> DataFrame | None:
     """(key, ``_pieces``) of the keys above the share limit, for broadcast; None if there are none.
 

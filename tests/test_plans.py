@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from lumenfold.catalog import inputs, queries
 from lumenfold.plans import panel as panel_plan
-from lumenfold.plans import salted_join
+from lumenfold.plans import grid_join, salted_join
 from lumenfold.plans import stage as real_stage
-from lumenfold.operators import corpus, recommend, regression, sampling, similarity
+from lumenfold.operators import corpus, panel, recommend, regression, sampling, similarity
+from lumenfold.plans.skew import grid_side, hot_keys
 from lumenfold.sources import table
 
 stage_module = sys.modules["lumenfold.plans.stage"]
@@ -97,3 +98,35 @@ def test_no_count_before_a_join_that_broadcasts(spark):
     rows = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
     broken = rows.groupBy("k").agg(F.raise_error("counted").alias("rows"))
     assert salted_join(rows, small, "k", broken, ["id"]).count() == 1000
+
+
+def hot_sides(spark):
+    left = spark.range(600).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).alias("k"), F.col("id").alias("a"))
+    right = spark.range(500).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 45).alias("k"), F.col("id").alias("b"))
+    return left, right
+
+
+def sizes(df):
+    return df.groupBy("k").agg(F.count("*").alias("rows"))
+
+
+@pytest.mark.parametrize("piece_rows", [None, 1, 20, 10_000])
+def test_grid_join_equals_the_plain_join(spark, piece_rows):
+    left, right = hot_sides(spark)
+    got = grid_join(left, right, "k", sizes(left), sizes(right), ["a"], ["b"], piece_rows)
+    assert sorted(map(tuple, got.select("k", "a", "b").collect())) == sorted(map(tuple, left.join(right, "k").select("k", "a", "b").collect()))
+
+
+def test_no_cell_of_the_grid_reads_a_whole_side(spark):
+    left, right = hot_sides(spark)
+    cells = {"_row": hot_keys(sizes(left), "k", 20), "_column": hot_keys(sizes(right), "k", 20)}
+    sides = grid_side(left, "k", cells, "_row", ["a"]), grid_side(right, "k", cells, "_column", ["b"])
+    most = [s.groupBy("k", "_row", "_column").count().agg({"count": "max"}).first()[0] for s in sides]
+    whole = [sizes(s).agg({"rows": "max"}).first()[0] for s in (left, right)]
+    assert max(most) <= 45 and min(whole) >= 160
+
+
+def test_entities_hot_on_both_sides(spark):
+    left, right = hot_sides(spark)
+    got = panel.join_on_entity_grid(left, right, "k", ["a"], ["b"], 25)
+    assert got.count() == panel.join_on_entity(left, right, "k", ["a"]).count()

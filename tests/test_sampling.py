@@ -75,3 +75,24 @@ def test_digest_is_md5(spark):
     row = spark.range(1).select(key_digest(F.lit(42)), key_bucket(F.lit(42), 50)).first()
     digest = hashlib.md5(b"42").hexdigest()
     assert tuple(row) == (digest, int(digest[:8], 16) % 50)
+
+
+@pytest.mark.parametrize("sorted_keys", [1, 3, 50])
+def test_radix_steps_find_the_same_cutoff(spark, rows, monkeypatch, sorted_keys):
+    monkeypatch.setattr(sampling, "SORTED_KEYS", sorted_keys)
+    monkeypatch.setattr(sampling, "RADIX", 1)
+    ordered = sorted({r[0] for r in rows.select("user").distinct().collect()}, key=lambda k: hashlib.md5(k.encode()).hexdigest())
+    for share in (0.01, 0.3, 1.0):
+        got = {r[0] for r in sampling.sampled_keys(rows, "user", share).collect()}
+        assert got == set(ordered[: math.floor(len(ordered) * share)])
+
+
+def test_the_keys_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """Counting, both levels of the selection and the result read the written keys, not the rows."""
+    rows = spark.range(500).select((F.col("id") % 50).cast("string").alias("user"))
+    staged = []
+    real = sampling.stage
+    monkeypatch.setattr(sampling, "stage", lambda df, name: staged.append(name) or real(df, name))
+    keys = sampling.sampled_keys(rows, "user", 0.2)
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert staged == ["distinct-keys"] and "Exchange" not in plan and "Range" not in plan and keys.count() == 10
