@@ -341,6 +341,17 @@ ZIP_JOIN = f"""WITH {PLACES}, {ZIP_MAP} SELECT place, line, year, zip_text, zip,
 FROM (SELECT *, TRY_CAST(substr(zip_text, 1, 9) AS BIGINT) AS code FROM places) p JOIN zip_map m ON p.code = m.zip
 WHERE year >= 1997"""
 
+QUARANTINE = """
+SELECT CASE WHEN e > 2 THEN id END AS transaction_id, CASE WHEN e > 2 THEN event_type END AS moment,
+       CASE WHEN e > 2 THEN u END AS user_id, CASE WHEN e > 2 THEN value END AS amount,
+       CASE e WHEN 0 THEN concat_ws(',', id, event_type, u, 'n/a') WHEN 1 THEN concat_ws(',', id, event_type)
+              WHEN 2 THEN concat_ws(',', id, event_type, u, '') END AS line,
+       CASE WHEN e < 2 THEN 'unreadable' WHEN e = 2 THEN 'no amount' END AS reason
+FROM (SELECT *, event_id % 10 AS e, CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS u FROM events)"""
+
+ENTITY_JOIN = f"""WITH {CELLS} SELECT a.entity, a.year, round(a.completions, 6) AS completions,
+b.year AS other_year, round(b.unemployment, 6) AS unemployment FROM cells a JOIN cells b ON a.entity = b.entity"""
+
 ALL: dict[str, str] = {
     "word_count": f"""
 SELECT word, COUNT(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '{SPACE}')) AS word FROM documents)
@@ -411,8 +422,8 @@ round(AVG(l_quantity), 6) AS l_quantity, round(AVG(l_extendedprice), 6) AS l_ext
 {', '.join(f'round(AVG({c}), 6) AS {c}' for c in FEATURES)} FROM cells GROUP BY entity""",
     "panel_join": f"""WITH {EXTERNAL} SELECT entity, year,
 {_rounded(['unemployment', 'high_school', 'bachelor', 'population'])} FROM joined""",
-    "entity_join": f"""WITH {CELLS} SELECT a.entity, a.year, round(a.completions, 6) AS completions,
-b.year AS other_year, round(b.unemployment, 6) AS unemployment FROM cells a JOIN cells b ON a.entity = b.entity""",
+    "entity_join": ENTITY_JOIN,
+    "entity_join_grid": ENTITY_JOIN,
     "prepared_by_year": PREPARED_BY_YEAR,
     "prepared_by_entity": PREPARED_BY_ENTITY,
     "composite_index": f"""WITH {CELLS} SELECT entity, year, round({OPEN_SHARE}, 6) AS share,
@@ -443,4 +454,18 @@ CAST(n_chars AS DOUBLE) AS overall, lang = 'en' AS verified FROM documents""",
 {_rounded([*FEATURES, 'share', 'index'])} FROM indexed""",
     "header_csv_scan": f"""WITH {PLACES} SELECT CAST(place AS VARCHAR) AS place, CAST(line AS VARCHAR) AS line,
 CAST(year AS VARCHAR) AS year, zip_text, completions, nullif(tuition, '') AS tuition, loans, rare FROM places""",
+    "txn_csv_quarantine": QUARANTINE,
+    "txn_csv_quarantine_stream": QUARANTINE,
+    "json_quarantine": """
+SELECT CASE WHEN reason IS NULL THEN CAST(doc_id AS VARCHAR) END AS "reviewerID", CASE WHEN reason IS NULL THEN source END AS asin,
+       CASE WHEN reason IS NULL THEN CAST(n_chars AS DOUBLE) END AS overall, reason,
+       CASE WHEN reason = 'unreadable' THEN '{"reviewerID":"' || CAST(doc_id AS VARCHAR) END AS line
+FROM (SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'unreadable' WHEN doc_id % 5 = 0 OR n_chars IS NULL THEN 'no overall' END AS reason
+      FROM documents)""",
+    "hash_sample_durable": HASH_SAMPLE,
+    "panel_join_laid_out": f"""WITH {CELLS} SELECT entity, year, round(completions, 6) AS completions,
+round(unemployment, 6) AS unemployment FROM cells WHERE year BETWEEN 1995 AND 1997 AND (entity + year) % 3 <> 0""",
+    "panel_mean_laid_out": """SELECT l_suppkey AS entity, CAST(year(l_shipdate) AS BIGINT) AS year,
+round(AVG(l_quantity), 6) AS l_quantity, round(AVG(l_extendedprice), 6) AS l_extendedprice FROM lineitem
+WHERE year(l_shipdate) BETWEEN 1995 AND 1997 GROUP BY 1, 2""",
 }

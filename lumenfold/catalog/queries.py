@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,25 @@ from lumenfold.operators import cleaning, corpus, panel, recommend, regression,
 from lumenfold.plans.panel import ENTITY_RULES, PANEL_RULES, add_index, prepared_panel
 from lumenfold.plans.stage import scratch_path, stage
 from lumenfold.sources import (
+    check_reviews,
+    check_transactions,
+    checked_transaction_stream,
+    join_laid_out,
+    mean_laid_out,
     read_header_csv,
     read_numeric_csv,
+    read_panel,
     read_reviews,
     read_transactions,
     stream_transactions,
     table,
     write_csv,
+    write_panel,
     write_tuples,
 )
+from lumenfold.sources.files import TRANSACTIONS
 from lumenfold.sources.tables import stream_table
-from lumenfold.streaming import run_to_end, stream_hash_sample
+from lumenfold.streaming import durable_hash_sample, run_to_end, stream_hash_sample, write_checked
 
 SHARE, BUCKET, SALT = 0.02, 7, "s1|"
 TARGET_QUERIES = [0, 3, 7]
@@ -73,8 +82,8 @@ def top_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_frequencies(spark: SparkSession, folder: str) -> DataFrame:
-    rows = stage(corpus.counted(i.documents(spark, folder), carry=["doc_id"]), "counted")
-    found = corpus.counted_frequencies(rows, stage(corpus.top_words(rows), "words"), ["doc_id"])
+    words, rows = corpus.counted_top(i.documents(spark, folder), carry=["doc_id"])
+    found = corpus.counted_frequencies(rows, words, ["doc_id"])
     return rounded(found.select("doc_id", "word", "frequency"), 9)
 
 
@@ -255,6 +264,14 @@ def entity_join(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(panel.join_on_entity(left, right, "entity", ["year"]))
 
 
+def entity_join_grid(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a low limit, so that entities are cut on both sides."""
+    cells = i.staged_cells(spark, folder)
+    left = cells.select("entity", "year", "completions")
+    right = cells.select("entity", F.col("year").alias("other_year"), "unemployment")
+    return rounded(panel.join_on_entity_grid(left, right, "entity", ["year"], ["other_year"], 3))
+
+
 def prepared_by_year(spark: SparkSession, folder: str) -> DataFrame:
     return _prepared(spark, folder, PANEL_RULES)
 
@@ -400,6 +417,89 @@ def header_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_header_csv(spark, path, places.columns)
 
 
+def txn_csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions with broken lines among them: every line is a good row or a bad line."""
+    return _accounted(check_transactions(spark, _events_with_bad_lines(spark, folder)))
+
+
+def txn_csv_quarantine_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as a stream, one file per batch, with two outputs that stay."""
+    stream = checked_transaction_stream(spark, _events_with_bad_lines(spark, folder), files_per_batch=1)
+    return _accounted(write_checked(stream, TRANSACTIONS.names, scratch_path(spark, "checked"), scratch_path(spark, "state")))
+
+
+def _accounted(found) -> DataFrame:
+    return found.good.unionByName(found.bad.select("line", "reason"), allowMissingColumns=True)
+
+
+def _events_with_bad_lines(spark: SparkSession, folder: str) -> str:
+    """Lines whose number ends in 0, 1 and 2 have a word for the amount, two fields, and no amount."""
+    path = scratch_path(spark, "lines")
+    id, end = F.col("event_id").cast("string"), F.col("event_id") % 10
+    fields = F.concat_ws(",", id, "event_type", F.col("user_id").cast("string"))
+    line = F.when(end == 0, F.concat(fields, F.lit(",n/a"))).when(end == 1, F.concat_ws(",", id, "event_type"))
+    line = line.when(end == 2, F.concat(fields, F.lit(","))).otherwise(F.concat_ws(",", fields, F.col("value").cast("string")))
+    table(spark, folder, "events").repartition(3, "event_id").select(line.alias("value")).write.text(path)
+    return path
+
+
+def json_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews as JSON lines; every seventh is cut off in the middle, and those without a rating are bad, too."""
+    path = scratch_path(spark, "json-lines")
+    docs = table(spark, folder, "documents").select(
+        "doc_id",
+        F.to_json(
+            F.struct(
+                F.col("doc_id").cast("string").alias("reviewerID"),
+                F.col("source").alias("asin"),
+                F.when(F.col("doc_id") % 5 != 0, F.col("n_chars").cast("double")).alias("overall"),
+            )
+        ).alias("whole"),
+    )
+    line = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit('{"reviewerID":"'), F.col("doc_id").cast("string"))).otherwise(F.col("whole"))
+    docs.select(line.alias("value")).write.option("compression", "gzip").text(path)
+    found = check_reviews(spark, path, required=["overall"])
+    good = found.good.select("reviewerID", "asin", "overall")
+    # The text of a line without a rating depends on the writer; its reason does not.
+    bad = found.bad.select("reason", F.when(F.col("reason") == "unreadable", F.col("line")).alias("line"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def hash_sample_durable(spark: SparkSession, folder: str) -> DataFrame:
+    """The one-pass sample of a stream of several files, from a result that outlives the driver."""
+    path = scratch_path(spark, "event-files")
+    events = table(spark, folder, "events").select("user_id", "value")
+    events.repartition(4, "user_id").write.parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out, state = scratch_path(spark, "moments"), scratch_path(spark, "state")
+    return rounded(durable_hash_sample(stream, "user_id", "value", out, state, SHARE, BUCKET))
+
+
+LAID_YEARS = (1995, 1997)
+
+
+def _laid_out(spark: SparkSession, panel: DataFrame) -> DataFrame:
+    name = f"panel_{uuid.uuid4().hex}"
+    write_panel(panel, name, buckets=8)
+    return read_panel(spark, name, LAID_YEARS)
+
+
+def panel_join_laid_out(spark: SparkSession, folder: str) -> DataFrame:
+    """Some years of two panels, from tables by year and entity, joined without an exchange."""
+    cells = i.staged_cells(spark, folder)
+    left = _laid_out(spark, cells.select("entity", "year", "completions"))
+    right = _laid_out(spark, cells.where("(entity + year) % 3 <> 0").select("entity", "year", "unemployment"))
+    return rounded(join_laid_out(left, right).select("entity", "year", "completions", "unemployment"))
+
+
+def panel_mean_laid_out(spark: SparkSession, folder: str) -> DataFrame:
+    """Means per entity over some years of line items that are laid out by year and entity."""
+    rows = table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("entity"), F.year("l_shipdate").cast("long").alias("year"), "l_quantity", "l_extendedprice"
+    )
+    return rounded(mean_laid_out(_laid_out(spark, rows), ["l_quantity", "l_extendedprice"]))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -442,6 +542,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         entity_mean,
         panel_join,
         entity_join,
+        entity_join_grid,
         prepared_by_year,
         prepared_by_entity,
         composite_index,
@@ -462,5 +563,11 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         panel_file_regression,
         panel_file_pairs,
         header_csv_scan,
+        txn_csv_quarantine,
+        txn_csv_quarantine_stream,
+        json_quarantine,
+        hash_sample_durable,
+        panel_join_laid_out,
+        panel_mean_laid_out,
     )
 }
