@@ -62,8 +62,7 @@ def top_tokens(reviews: DataFrame, k: int = TOP, text: str = "text") -> DataFram
 
     Found by summaries of bounded size, so the vocabulary is not shuffled.
     """
-    lowered = reviews.select(tx.lower_all(tx.tokens(F.col(text))).alias("words"))
-    return most_frequent(lowered.select(F.filter("words", lambda w: w != "").alias("words")), "words", k)
+    return most_frequent(reviews, F.array_remove(tx.lower_all(tx.tokens(F.col(text))), ""), k)
 
 
 def counted(reviews: DataFrame, words: Sequence[str], text: str = "text", carry: Sequence[str] = ()) -> DataFrame:

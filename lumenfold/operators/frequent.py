@@ -1,78 +1,58 @@
-"""The most frequent words by summaries that merge, proved by their error bounds."""
+"""The most frequent words from guessed words and hashed counters, proved by the counters' upper bounds."""
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.plans.stage import stage
 
-# Counters of a task's summary for each wanted word, and how much more it gets when a proof fails.
-COUNTERS_PER_WORD = 32
-GROWTH = 8
-
+# Counters for words that are not counted by name, guessed words per wanted word, and rows the guess looks at on average.
+BUCKETS = 1 << 16
+MARGIN = 4
+SAMPLE_ROWS = 1000
 
-def cut_counters(counters: Counter, size: int) -> int:
-    """Keep at most ``size`` counters: the next largest count is taken off all. Returns that count."""
-    if len(counters) <= size:
-        return 0
-    off = counters.most_common(size + 1)[-1][1]
-    for word, n in list(counters.items()):
-        if n > off:
-            counters[word] = n - off
-        else:
-            del counters[word]
-    return off
 
+def bucket(word: Column, buckets: int) -> Column:
+    """The counter of a word."""
+    return F.pmod(F.xxhash64(word), F.lit(buckets))
 
-def summaries(rows: DataFrame, words: str, size: int) -> DataFrame:
-    """(word, n): per task at most ``size`` counters, and one row without a word whose n is the task's error.
-
-    ``words`` is an array of words. A word's counters sum to at most its count, and miss at most the sum of all errors.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters, error = Counter(), 0
-        for batch in batches:
-            for pair in pc.value_counts(batch.column(0).flatten().drop_null()).to_pylist():
-                counters[pair["values"]] += pair["counts"]
-            if len(counters) > 2 * size:
-                error += cut_counters(counters, size)
-        error += cut_counters(counters, size)
-        words, counts = [None, *counters], [error, *counters.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], names=["word", "n"])
+def guessed_words(spread: DataFrame, wanted: int) -> DataFrame:
+    """(word): the ``wanted`` most frequent words of a sample. A guess only saves work; the result does not depend on it."""
+    counts = spread.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(wanted)
+    return stage(counts.select("word"), "guessed-words")
 
-    return rows.select(words).mapInArrow(run, "word string, n long")
 
+def counters(spread: DataFrame, guessed: DataFrame, buckets: int) -> DataFrame:
+    """(word, bucket, n): the count of every guessed word by name, and of all other words together per counter."""
+    marked = spread.join(F.broadcast(guessed.select(F.col("word").alias("name"))), F.col("word") == F.col("name"), "left")
+    place = F.when(F.col("name").isNull(), bucket(F.col("word"), buckets)).alias("bucket")
+    return marked.select("name", place).groupBy(F.col("name").alias("word"), "bucket").agg(F.count("*").alias("n"))
 
-def most_frequent(rows: DataFrame, words: str, k: int, size: int | None = None) -> DataFrame:
-    """(word, n): the ``k`` most frequent elements of the array column ``words``, exact; ties go to the smaller word.
 
-    Each task keeps a summary of bounded size, and only summaries are shuffled. A word's lower bound is the sum of its
-    counters; its upper bound adds the errors of all tasks. The k-th largest lower bound is a count that k words reach,
-    so words whose upper bound is below it are out. If the error alone is below it, words that are in no summary are out
-    too, and the rest are counted exactly. If not, the summaries get more counters, until the proof holds or nothing
-    has been cut off. No word is ever guessed.
+def most_frequent(rows: DataFrame, words: Column | str, k: int, buckets: int = BUCKETS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(word, n): the ``k`` most frequent elements of the arrays ``words``, a column or expression of ``rows``, exact; ties go to the smaller word.
 
-    ``rows`` is read once per summary and once for the counting, which is left out if nothing was cut off.
+    One pass counts the words that are frequent in a sample by name, and all others by hash in ``buckets`` counters. These
+    counts add up over the tasks, so that at most ``buckets + MARGIN * k`` rows leave a task, however large the
+    vocabulary. A counter bounds the count of each of its words from above. If none reaches the k-th count by
+    name, no other word can be among the k best. Otherwise the words of the counters that reach it are counted by name,
+    which settles it.
     """
-    size = size or COUNTERS_PER_WORD * k
-    while True:
-        found = stage(summaries(rows, words, size), "frequent-summaries")
-        lower = stage(found.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "frequent-bounds")
-        error = found.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
-        best = lower.orderBy(F.desc("n"), "word").limit(k)
-        if not error:
-            return best
-        reached = best.agg(F.count("*").alias("found"), F.min("n").alias("least")).first()
-        if reached["found"] == k and error < reached["least"]:
-            break
-        size *= GROWTH
-    candidates = stage(lower.where(F.col("n") + error >= reached["least"]).select("word"), "frequent-candidates")
-    spread = rows.select(F.explode(words).alias("word")).join(candidates, "word", "left_semi")
-    return spread.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(k)
+    # The outer form, or Spark would make the words of every row once more to see whether it has any.
+    spread = lambda some: some.select(F.explode_outer(words).alias("word")).where(F.col("word").isNotNull())
+    share = min(1.0, sample_rows / max(rows.count(), 1))
+    some = rows if share == 1.0 else rows.sample(share, seed=1)
+    guessed = guessed_words(spread(some), MARGIN * k)
+    counted = stage(counters(spread(rows), guessed, buckets), "word-counters")
+    named = counted.where(F.col("word").isNotNull()).select("word", "n")
+    best = named.orderBy(F.desc("n"), "word").limit(k)
+    reached = best.agg(F.count("*").alias("words"), F.min("n").alias("least")).first()
+    least = reached["least"] if reached["words"] == k else 0
+    full = stage(counted.where(F.col("word").isNull() & (F.col("n") >= least)).select("bucket"), "full-counters")
+    if full.isEmpty():
+        return best
+    others = spread(rows).join(F.broadcast(guessed), "word", "left_anti").withColumn("bucket", bucket(F.col("word"), buckets))
+    more = others.join(full, "bucket", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    return named.unionByName(more).orderBy(F.desc("n"), "word").limit(k)

@@ -16,9 +16,9 @@ from lumenfold.plans import salted_join, stage
 # Users an item needs, items a user needs, neighbours kept.
 MIN_USERS, MIN_ITEMS, NEIGHBOURS = 25, 5, 50
 # Items of a block, and ratings a task of a block product holds at most on average.
-ITEM_BLOCK = 512
+ITEM_BLOCK = 2048
 UNIT_RATINGS = 2_000_000
-USERS_AT_ONCE = 2048
+PRODUCTS_AT_ONCE = 4_000_000
 
 
 def last_ratings(events: DataFrame, order_by: Sequence[str], rating: str = "rating") -> DataFrame:
@@ -180,20 +180,23 @@ def _block_products(placed: DataFrame, unit_ratings: int) -> DataFrame:
         alone = frame["a"].iloc[0] == frame["b"].iloc[0]
         halves = []
         for s in (0, 1):
-            mine = side == (0 if alone else s)
-            codes, names = pd.factorize(frame["item"][mine], sort=True)
+            mine = np.flatnonzero(side == (0 if alone else s))
+            mine = mine[np.argsort(users[mine], kind="stable")]
+            codes, names = pd.factorize(frame["item"].to_numpy()[mine], sort=True)
             halves.append((users[mine], codes, frame["d"].to_numpy()[mine], np.asarray(names)))
-        (_, _, _, left), (_, _, _, right) = halves
-        dot, n = np.zeros((len(left), len(right))), np.zeros((len(left), len(right)))
-        for low in range(0, int(users.max()) + 1, USERS_AT_ONCE):
-            dense = []
-            for who, codes, d, names in halves:
-                at = (who >= low) & (who < low + USERS_AT_ONCE)
-                values, marks = np.zeros((2, USERS_AT_ONCE, len(names)))
-                values[who[at] - low, codes[at]], marks[who[at] - low, codes[at]] = d[at], 1
-                dense.append((values, marks))
-            dot += dense[0][0].T @ dense[1][0]
-            n += dense[0][1].T @ dense[1][1]
+        (who, code_l, d_l, left), (whose, code_r, d_r, right) = halves
+        # Every rating of the left block meets those of the same user in the right one, some products at a time.
+        low, size = np.searchsorted(whose, who), np.searchsorted(whose, who, side="right") - np.searchsorted(whose, who)
+        dot, n = np.zeros(len(left) * len(right)), np.zeros(len(left) * len(right))
+        upto = np.concatenate([[0], np.cumsum(size)])
+        cuts = np.unique(np.searchsorted(upto, np.arange(0, upto[-1] + PRODUCTS_AT_ONCE, PRODUCTS_AT_ONCE)).clip(0, len(size)))
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            at = np.repeat(np.arange(x, y), size[x:y])
+            other = np.repeat(low[x:y] - upto[x:y], size[x:y]) + np.arange(upto[x], upto[y])
+            cell = code_l[at] * len(right) + code_r[other]
+            dot += np.bincount(cell, d_l[at] * d_r[other], len(dot))
+            n += np.bincount(cell, minlength=len(n))
+        dot, n = dot.reshape(len(left), -1), n.reshape(len(left), -1)
         i, j = np.nonzero(np.triu(n) if alone else n)
         return pd.DataFrame({"i": left[i], "j": right[j], "dot": dot[i, j], "n": n[i, j].astype(int)})
 

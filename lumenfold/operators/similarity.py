@@ -223,10 +223,13 @@ def extreme_pairs(vectors: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS,
         better = (cones.highest(between, reach) >= top) | (-cones.lowest(between, reach) >= bottom)
         return better & (ids_r[None, :] >= ids_l[:, None])
 
-    rest = _best_of_blocks(tree, cones.block_pairs(tree, open_pairs), k, bar)
-    once = rest.unionAll(seeds).groupBy("side", "a", "b").agg(F.max("score").alias("score"))
+    every = seeds
+    if len(tree.blocks.select("block").take(2)) == 2:
+        rest = _best_of_blocks(tree, cones.block_pairs(tree, open_pairs), k, bar)
+        once = rest.unionAll(seeds).groupBy("side", "a", "b").agg(F.max("score").alias("score"))
+        every = _k_best(once, k)
     sign = F.when(F.col("side") == "top", 1.0).otherwise(-1.0)
-    return _k_best(once, k).select("side", "a", "b", (F.col("score") * sign).alias("similarity"))
+    return every.select("side", "a", "b", (F.col("score") * sign).alias("similarity"))
 
 
 def _k_per_vector(vectors: DataFrame, k: int) -> DataFrame:
