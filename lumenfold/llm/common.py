@@ -25,6 +25,11 @@ def lower_ascii(text: Column) -> Column:
     )
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def digest(text: Column) -> Column:
     """16 bytes that stand for a text; equal texts share all results that depend on the text only."""
     return F.unhex(F.md5(text))

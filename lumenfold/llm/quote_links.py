@@ -4,7 +4,8 @@ A line belongs to the quote level that its leading '>' marks give. Neighbouring
 passage; those of level 0 are the message's own. Passages are normalised (lower case, letters
 and digits only, single blanks) and hashed. A quoted passage is joined to its original: the
 earliest earlier message of the conversation that has the passage as its own text, paragraph, passage or
-line; otherwise, if it has at least ``LEAST_WORDS`` words, the earliest such message of any other
+line; a passage without any, to an earlier message of the conversation that holds its lines or sentences in
+their order (``part_links``); before that, if it has at least ``LEAST_WORDS`` words, the earliest such message of any other
 conversation. A letter of a script without blanks counts as a word.
 
 A message replies to the first original in its own conversation that it quotes at the lowest level; one without such
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lumenfold.llm.common import let
 from lumenfold.plans.stage import stage
 
 LEAST_WORDS = 3
@@ -51,25 +53,47 @@ def long_enough(text: Column) -> Column:
 
 
 def with_passages(messages: DataFrame) -> DataFrame:
-    """Add ``passages``: (level, body) of every run of lines of one quote level."""
+    """Add ``passages``: (level, body) of every run of lines of one quote level.
+
+    The lines of a text and the places where its passages start are each made once and used by name.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     # A line without a mark has no first group, so its level is zero.
     level = lambda l: F.length(F.regexp_replace(F.regexp_extract(l, MARKS, 1), "[ \t]", ""))  # noqa: E731, E741
     line = lambda l: F.struct(level(l).alias("level"), F.regexp_replace(l, MARKS, "").alias("body"))  # noqa: E731, E741
-    lines = messages.withColumn("lines", F.transform(F.split(text, r"\r?\n", -1), line))
-    numbers = F.sequence(F.lit(0), F.size("lines") - 1)
-    opens = lambda i: (i == 0) | (F.get("lines", i)["level"] != F.get("lines", i - 1)["level"])
-    started = lines.withColumn("starts", F.filter(numbers, opens))
-
-    def passage(start: Column, k: Column) -> Column:
-        end = F.coalesce(F.get("starts", k + 1), F.size("lines"))
-        body = F.array_join(F.transform(F.slice("lines", start + 1, end - start), lambda x: x["body"]), "\n")
-        return F.struct(F.get("lines", start)["level"].alias("level"), body.alias("body"))
-
-    plain = F.when(text.rlike(r"(?m)^[ \t]*>"), F.transform("starts", passage)).otherwise(
-        F.array(F.struct(F.lit(0).alias("level"), text.alias("body")))
-    )
-    return started.withColumn("passages", plain).drop("lines", "starts")
+
+    def starts(lines: Column) -> Column:
+        opens = lambda i: (i == 0) | (F.get(lines, i)["level"] != F.get(lines, i - 1)["level"])
+        return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), opens)
+
+    def cut(lines: Column, first: Column) -> Column:
+        def passage(start: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(first, k + 1), F.size(lines))
+            body = F.array_join(F.transform(F.slice(lines, start + 1, end - start), lambda x: x["body"]), "\n")
+            return F.struct(F.get(lines, start)["level"].alias("level"), body.alias("body"))
+
+        return F.transform(first, passage)
+
+    quoted = let(F.transform(F.split(text, r"\r?\n", -1), line), lambda lines: let(starts(lines), lambda first: cut(lines, first)))
+    plain = F.array(F.struct(F.lit(0).alias("level"), text.alias("body")))
+    return messages.withColumn("passages", F.when(text.rlike(r"(?m)^[ \t]*>"), quoted).otherwise(plain))
+
+
+def units(body: Column) -> list[Column]:
+    """The normalised lines of a text, and its normalised sentences wherever its lines are broken."""
+    kept = lambda parts: F.filter(F.transform(parts, normal), lambda x: x != "")
+    sentences = F.split(F.regexp_replace(body, r"[ \t]*\n[ \t]*", " "), r"(?<=[.!?。！？])\s*(?=\S)", -1)
+    return [kept(F.split(body, r"\n", -1)), kept(sentences)]
+
+
+def chained(parts: Column) -> Column:
+    """Neighbouring units two by two, or the only one: what a text must hold to hold the units in their order."""
+    pairs = lambda u: F.transform(F.sequence(F.lit(1), F.size(u) - 1), lambda i: F.concat(F.get(u, i - 1), F.lit("\n"), F.get(u, i)))
+    return let(parts, lambda u: F.when(F.size(u) < 2, u).otherwise(pairs(u)))
+
+
+def hashed(parts: Column) -> Column:
+    return F.array_distinct(F.transform(parts, lambda x: F.unhex(F.md5(x))))
 
 
 def own_text(passages: Column) -> Column:
@@ -114,6 +138,47 @@ def links(messages: DataFrame, short: bool = False) -> DataFrame:
     )
 
 
+def part_links(messages: DataFrame, linked: DataFrame) -> DataFrame:
+    """``linked`` with originals in the same conversation for passages without any that quote parts of a message.
+
+    A message holds a passage if it holds all its neighbouring lines in pairs, or all its neighbouring sentences. The
+    candidate is the earlier message where the last of these pairs first appears: no earlier message can hold
+    them all. It is the original if it holds all of them. So a passage has one candidate per kind, however frequent its lines are.
+    """
+    open_ones = stage(linked.where("to_conv IS NULL").select("conv_id", "turn", "nth"), "open-quotes")
+    if open_ones.isEmpty():
+        return linked
+    spread = messages.select("conv_id", "turn", F.posexplode("passages").alias("nth", "passage")).where("passage.level > 0")
+    wanted = spread.join(open_ones, ["conv_id", "turn", "nth"]).distinct()
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), hashed(chained(u)).alias("parts")) for k, u in enumerate(units(F.col("passage.body")))])
+    listed = wanted.select("conv_id", "turn", "nth", F.explode(kinds).alias("k")).select("conv_id", "turn", "nth", "k.kind", "k.parts")
+    asked = stage(listed.select("conv_id", "turn", "nth", "kind", F.size("parts").alias("size"), F.explode("parts").alias("part")), "quoted-parts")
+
+    known = messages.where("conv_id IS NOT NULL AND turn IS NOT NULL").join(open_ones.select("conv_id").distinct(), "conv_id", "left_semi")
+    own = own_text(F.col("passages"))
+    singles = [F.concat(u, chained(u)) for u in units(own)]
+    parts = known.select("conv_id", F.col("turn").alias("at"), F.explode(F.array_distinct(F.concat(*[hashed(p) for p in singles]))).alias("part"))
+    held = stage(parts.join(asked.select("conv_id", "part").distinct(), ["conv_id", "part"], "left_semi").distinct(), "held-parts")
+    first = held.groupBy("conv_id", "part").agg(F.min("at").alias("first"))
+    key = ["conv_id", "turn", "nth", "kind"]
+    candidates = asked.join(first, ["conv_id", "part"]).groupBy(*key, "size").agg(F.max("first").alias("at"), F.count("*").alias("found"))
+    candidates = stage(candidates.where("found = size AND at < turn").drop("found"), "quote-candidates")
+    checked = asked.drop("size").join(candidates, key).join(held, ["conv_id", "at", "part"])
+    whole = checked.groupBy(*key, "size", "at").agg(F.count("*").alias("found")).where("found = size")
+    best = whole.groupBy("conv_id", "turn", "nth").agg(F.min("at").alias("part_turn"))
+    joined = linked.join(best, ["conv_id", "turn", "nth"], "left")
+    mine = F.col("to_conv").isNull() & F.col("part_turn").isNotNull()
+    return joined.select(
+        "conv_id",
+        "turn",
+        "level",
+        "nth",
+        "hash",
+        F.when(mine, F.col("conv_id")).otherwise(F.col("to_conv")).alias("to_conv"),
+        F.when(mine, F.col("part_turn")).otherwise(F.col("to_turn")).alias("to_turn"),
+    )
+
+
 def threads(linked: DataFrame) -> DataFrame:
     """(conv_id, turn, parent, root, depth) of every message that replies to one of its own conversation."""
     inner = linked.where(F.col("to_conv") == F.col("conv_id"))
@@ -156,7 +221,7 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     """Per message: conv_id, turn, role, position, thread, depth, parent, n_quotes, n_linked, max_level, content."""
     plain = conversations.select("conv_id", "turn", "role", F.col("text").cast("string").alias("text"))
     messages = with_passages(plain)
-    linked = stage(links(messages, short=True), "quote-links")
+    linked = stage(part_links(messages, stage(links(messages, short=True), "whole-links")), "quote-links")
     counts = linked.groupBy("conv_id", "turn").agg(F.count("to_turn").alias("n_linked"))
     quoted = F.filter("passages", lambda p: p["level"] > 0)
     rows = messages.select(

@@ -116,3 +116,80 @@ def test_short_and_unspaced_quotes(spark):
     assert rows[1, 2]["parent"] == 0 and rows[1, 4]["parent"] == 3
     # Short passages of other conversations are no originals; long ones are, without blanks as well.
     assert [rows[2, 0][k] for k in ("n_quotes", "n_linked", "parent")] == [3, 1, None]
+
+
+def test_parts_of_paragraphs_and_rewrapped_sentences(spark):
+    original = "The first line is here.\nA second line follows it.\nThen the third one comes.\nAnd the last line ends."
+    messages = [
+        (1, 0, "u", original),
+        (1, 1, "a", "The first line is here.\nA second line follows it."),
+        (1, 2, "u", "> A second line follows it.\n> Then the third one comes.\nmiddle lines"),
+        (1, 3, "u", "> A second line follows\n> it. Then the third\n> one comes.\nwrapped anew"),
+        (1, 4, "u", "> Then the third one comes.\n> A second line follows it.\nout of order"),
+        (1, 5, "u", "> Then the third one comes.\n> Something else altogether.\nhalf known"),
+        (1, 6, "u", "> And the last line ends.\none line"),
+        (2, 0, "u", "> A second line follows it.\n> Then the third one comes.\nanother conversation"),
+        (1, 7, "u", "> A second line follows it.\n> Then the third one comes.\n>> And the last line ends.\n> The first line is here.\n> A second line follows it.\nthree quotes"),
+    ]
+    rows = {(r["conv_id"], r["turn"]): r for r in run(spark, messages).collect()}
+    assert [rows[1, t]["parent"] for t in (2, 3, 4, 5, 6)] == [0, 0, None, None, 0]
+    assert rows[2, 0]["n_linked"] == 0 and rows[1, 7]["n_linked"] == 3
+    at = sorted((r["position"], r["turn"]) for r in rows.values() if r["conv_id"] == 1)
+    assert [t for _, t in at].index(2) > [t for _, t in at].index(0)
+
+
+def brute_part(messages, conv, turn, body):
+    """The message where the last pair of units first appears, if it holds all of them."""
+    plain = lambda x: re.sub(r"[\W_]+", " ", x.lower()).strip(" ")
+    kinds = [lambda b: b.split("\n"), lambda b: re.split(r"(?<=[.!?])\s*(?=\S)", re.sub(r"[ \t]*\n[ \t]*", " ", b))]
+    best = []
+    for units in kinds:
+        mine = [plain(u) for u in units(body) if plain(u)]
+        need = {(a, b) for a, b in zip(mine, mine[1:], strict=False)} or {(u,) for u in mine}
+        held = {}
+        for c, t, _, text in messages:
+            if c == conv and t is not None:
+                own = "\n".join(b for level, b in passages(text) if level == 0).strip(" ")
+                for every in kinds:
+                    u = [plain(x) for x in every(own) if plain(x)]
+                    held.setdefault(t, set()).update([(x,) for x in u], zip(u, u[1:], strict=False))
+        firsts = [min((t for t, h in held.items() if n in h), default=None) for n in need]
+        if need and None not in firsts and max(firsts) < turn and need <= held[max(firsts)]:
+            best.append(max(firsts))
+    return min(best, default=None)
+
+
+def test_part_links_equal_brute_force(spark):
+    rng = random.Random(6)
+    said = ["the red fox ran.", "over a hill it went", "into deep woods today!", "no reply at all?", "short", "and so on", "that is it."]
+    made = []
+    for c in range(10):
+        for t in range(7):
+            marks = ["", "", "", ""] if t < 3 else ["", "> ", "> ", ">> "]
+            at = [rng.randrange(len(said)) for _ in range(4)]
+            lines = [f"{rng.choice(marks)}{said[(k + j) % 7]} {c}" for k in at[:2] for j in range(rng.randrange(1, 4))]
+            made.append((c, t, "u", "\n".join(lines)))
+    messages = quote_links.with_passages(spark.createDataFrame([(*m, "p", "q") for m in made], SCHEMA))
+    whole = quote_links.links(messages, short=True)
+    before = {tuple(r)[:4]: tuple(r)[5:] for r in whole.collect()}
+    after = {tuple(r)[:4]: tuple(r)[5:] for r in quote_links.part_links(messages, whole).collect()}
+    texts = {(c, t): passages(text) for c, t, _, text in made}
+    new = 0
+    for (c, t, level, nth), target in before.items():
+        want = target
+        if target[0] is None and (part := brute_part(made, c, t, texts[c, t][nth][1])) is not None:
+            want, new = (c, part), new + 1
+        assert after[c, t, level, nth] == want
+    assert new > 5
+
+
+def test_thousands_of_quoted_lines(spark):
+    """Answers between the lines of a long message, and a long quote of half of it."""
+    lines = [f"line number {k} of the long message" for k in range(5000)]
+    between = "\n".join(f"> {x}\nanswer {k}" for k, x in enumerate(lines))
+    half = "\n".join(f"> {x}" for x in lines[1000:3500]) + "\nthat is it"
+    messages = [(1, 0, "u", "\n".join(lines)), (1, 1, "a", between), (1, 2, "u", half), (1, 3, "u", "> same line\n" * 5000)]
+    rows = {r["turn"]: r for r in run(spark, messages).collect()}
+    assert rows[1]["n_linked"] == 5000 and rows[1]["parent"] == 0
+    assert rows[2]["n_linked"] == 1 and rows[2]["parent"] == 0
+    assert rows[3]["n_linked"] == 0
