@@ -19,6 +19,7 @@ TEXTS = [
     "Donaudampfschifffahrtsgesellschaftskapitaen antidisestablishmentarianism",
     "your_api_secret_example_0123456789abcdef",
     "ſecret: abcdefgh toKen:abcdefgh",
+    "a/b/Zx81kQ0vPw37LmTt9RbYc2Hd/sample/Rk9Xw2Lm8Vt5Bn3Hc6Jd1Fs0Gy7/end=AAAAAAAAAAq7Zp4Rk9Xw2Lm8Vt5Bn3Hc6Jd1",
 ]
 
 
@@ -29,22 +30,34 @@ def base(text):
     return sorted(found)
 
 
+def under_windows(run, chars, window):
+    """Merged windows, each counted anew."""
+    out = []
+    for i in range(len(run) - window + 1):
+        counts = Counter(run[i : i + window]).values()
+        if -sum(c / window * math.log2(c / window) for c in counts) >= chars.least_bits - 1e-9:
+            if out and out[-1][1] >= i:
+                out[-1][1] = i + window
+            else:
+                out.append([i, i + window])
+    return out
+
+
 def entropy(text, rank, window=secret_scan.WINDOW):
-    """Windows counted anew at every place."""
-    chars, out = secret_scan.CLASSES[rank - 3], []
+    """Spans over the pieces under merged windows, without listed ones at either end."""
+    chars, out = secret_scan.CLASSES[rank - 3], set()
+    listed = lambda patterns, t: any(re.search(p, t) for p in patterns)
     for m in re.finditer(f"{chars.pattern}{{{window},}}", text):
-        if any(re.search(p, m[0]) for p in secret_scan.ALLOWED):
-            continue
-        run = m[0].lower() if chars.fold else m[0]
-        for i in range(len(run) - window + 1):
-            counts = Counter(run[i : i + window]).values()
-            if -sum(c / window * math.log2(c / window) for c in counts) >= chars.least_bits - 1e-9:
-                start, end = m.start() + i, m.start() + i + window
-                if out and out[-1][2] >= start:
-                    out[-1] = (out[-1][0], rank, end, chars.kind)
-                else:
-                    out.append((start, rank, end, chars.kind))
-    return out
+        run = m[0]
+        for a, b in under_windows(run.lower() if chars.fold else run, chars, window):
+            kept = []
+            for p in re.finditer("[^/=]+", run):
+                x, y = max(p.start(), a), min(p.end(), b)
+                if x < y and not listed(secret_scan.PLAIN_PIECES, p[0]) and not listed(secret_scan.PLACEHOLDERS, run[x:y]):
+                    kept.append(p)
+            if kept:
+                out.add((m.start() + kept[0].start(), rank, m.start() + kept[-1].end(), chars.kind))
+    return sorted(out)
 
 
 def expected(text):
@@ -89,3 +102,49 @@ def test_odd_rows(spark, odd, none):
     assert secret_scan.scan(odd).count() == 12
     assert secret_scan.scan(none).count() == 0
     assert secret_scan.redact(none).columns == none.columns
+
+
+SECRET = "q7Zp4Rk9Xw2Lm8Vt5Bn3Hc6Jd1Fs0Gy7Ka4Qe9Uz2Ti8Or5Pw3Mx6Nv1Bl"
+
+
+def test_a_listed_piece_does_not_hide_the_rest(spark):
+    """Words, placeholders and paths beside a random text; all of it goes, and the words around stay."""
+    texts = [f"see AAAAAAAA{SECRET} end", f"see your_secret_key={SECRET} end", f"see assets/sample/{SECRET} end", f"see {SECRET[:33]}/{SECRET[33:]} end"]
+    rows = {r["doc_id"]: r["text"] for r in secret_scan.redact(make(spark, texts)).collect()}
+    assert not any(SECRET[:12] in t or SECRET[-12:] in t for t in rows.values())
+    assert rows[1] in ("see your_secret_key=[SECRET] end", "see your_[SECRET] end") and rows[2] == "see assets/sample/[SECRET] end"
+    assert all(t.startswith("see ") and t.endswith("[SECRET] end") for t in rows.values())
+
+
+def test_plain_names_stay(spark):
+    texts = [
+        "src/main/java/org/apache/commons/lang/StringUtilities",
+        "https://example/path/to/some/SomeVeryLongFileNameHere",
+        "thisVeryLongCamelCaseIdentifierName and ALLCAPITALWORDSTOGETHERHERE",
+        "a-long-list-of-words-with-dashes-between and words_with_underscores_between",
+        "123e4567-e89b-12d3-a456-426614174000",
+    ]
+    rows = {r["doc_id"]: r["n_entropy"] for r in secret_scan.scan(make(spark, texts)).collect()}
+    assert set(rows.values()) == {0}
+
+
+def test_planted_random_tokens_are_found(spark):
+    import random
+
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    tokens = ["".join(rng.choice(letters) for _ in range(rng.randrange(32, 64))) for _ in range(200)]
+    docs = make(spark, [f"the value was {t} in the log" for t in tokens])
+    found = [r["text"] for r in secret_scan.redact(docs).collect()]
+    whole = sum(t == "the value was [SECRET] in the log" for t in found)
+    assert whole >= 190
+
+
+def test_long_texts_take_linear_time(spark):
+    import time
+
+    texts = ["x", "token=abcdef1 " * 40_000, SECRET * 1_700, (SECRET[:30] + "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa") * 1_700]
+    begin = time.time()
+    rows = {r["doc_id"]: r for r in secret_scan.scan(make(spark, texts).repartition(4)).collect()}
+    assert rows[1]["n_assign"] == 40_000 and rows[2]["n_entropy"] == 1
+    assert time.time() - begin < 60
