@@ -6,15 +6,15 @@ fingerprints are one node. Two nodes link at ``TAU`` or fewer differing bits.
 The 64 bits are a ring of ``SEGMENTS`` segments. If two fingerprints differ in at most TAU bits,
 some segment starts a chain whose first l segments together differ in at most
 l * TAU / SEGMENTS bits, for every l. With four segments and two bits: equal in the first, at
-most one bit over the first two and three, two over all. So nodes meet under (place, value)
-of an equal segment, a pair must pass the chain from there, and only then is
-the full distance counted.
+most one bit over the first two and three, two over all. The index is on chains of two segments: a node stands under
+its own value of them, and looks under that value and the sixteen that differ from it in one bit of the second segment.
+Pairs that meet there must pass the rest of the chain, and only then is the full distance counted.
 
-A bucket of more than ``BUCKET`` nodes is not paired up. Each of its nodes names its own
-other bits and all that differ from them in one; two nodes share such a name exactly if they
-differ in two bits or fewer, and at most 49 nodes share one, so that links to the
-smallest of them keep every connection. There are at most 4 * 65,536 buckets, so the list
-of full ones is short enough to broadcast, whatever the data.
+Nodes that differ little crowd under one value of 32 bits. If more than ``BUCKET`` stand under a value, those who stand or look
+there are not paired up. Each names its own other bits and all that differ from them in one; two nodes of equal first
+segment share such a name exactly if they differ in two bits or fewer, and at most 49 nodes share one, so that links to the
+smallest of them keep every connection. Distinct fingerprints that are not near copies do not crowd: four billion
+values for each of the four places.
 
 Links between distinct fingerprints make components by label propagation with pointer jumping,
 one written table per round. Rows: a null text has no words, so its fingerprint is zero. Rows with
@@ -72,10 +72,6 @@ def with_fingerprint(docs: DataFrame, text: str, into: str, shingle: int = SHING
     return docs.withColumn(into, prints(F.col(text).cast("string")))
 
 
-def segment(fp: Column, place: Column) -> Column:
-    return F.call_function("shiftrightunsigned", fp, (place * WIDTH).cast("int")).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int")
-
-
 def turned(fp: Column, place: Column) -> Column:
     """The fingerprint turned so that the segment at ``place`` comes first (lowest)."""
     by = (place * WIDTH).cast("int")
@@ -96,21 +92,27 @@ def passes_chain(difference: Column, tau: int = TAU) -> Column:
 def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(a, b) between distinct fingerprints ``fp``: connected exactly as by all links of two bits or fewer."""
     places = prints.select("fp", F.explode(F.array(*[F.lit(p) for p in range(SEGMENTS)])).alias("place"))
-    rows = places.withColumn("value", segment(F.col("fp"), F.col("place")))
-    full = rows.groupBy("place", "value").agg(F.count("*").alias("n")).where(F.col("n") > bucket)
-    marked = rows.join(F.broadcast(full.select("place", "value", F.lit(True).alias("full"))), ["place", "value"], "left")
-    marked = stage(marked, "ring-places")
-
-    small = marked.where("full IS NULL").select("place", "value", "fp")
-    other = small.select("place", "value", F.col("fp").alias("fp2"))
+    two = turned(F.col("fp"), F.col("place")).bitwiseAND(F.lit((1 << 2 * WIDTH) - 1))
+    stands = stage(places.select("place", two.alias("value"), "fp"), "ring-places")
+    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b).cast("long") for b in range(WIDTH, 2 * WIDTH)])
+    looks = stands.select("place", F.explode(flips).alias("flip"), "value", F.col("fp").alias("fp2"))
+    looks = looks.select("place", F.col("value").bitwiseXOR(F.col("flip")).alias("value"), "fp2")
+
+    crowds = stands.groupBy("place", "value").agg(F.count("*").alias("n")).where(F.col("n") > bucket)
+    crowds = stage(crowds.select("place", "value", F.lit(True).alias("crowd")), "crowds")
+    some = not crowds.isEmpty()
+    alone = stands.join(crowds, ["place", "value"], "left_anti") if some else stands
     difference = turned(F.col("fp").bitwiseXOR(F.col("fp2")), F.col("place"))
-    paired = small.join(other, ["place", "value"]).where((F.col("fp") < F.col("fp2")) & passes_chain(difference))
+    paired = alone.join(looks, ["place", "value"]).where((F.col("fp") < F.col("fp2")) & passes_chain(difference))
     direct = paired.select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
+    if not some:
+        return direct.distinct()
 
+    crowded = looks.join(crowds, ["place", "value"], "left_semi").select("place", F.col("fp2").alias("fp")).distinct()
     one_bit = F.array(F.lit(0).cast("long"), *[F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(WIDTH, 64)])
-    names = marked.where("full").select(
-        "place", "fp", F.explode(one_bit).alias("flip")
-    ).select("place", turned(F.col("fp"), F.col("place")).bitwiseXOR(F.col("flip")).alias("name"), "fp")
+    names = crowded.select("place", "fp", F.explode(one_bit).alias("flip")).select(
+        "place", turned(F.col("fp"), F.col("place")).bitwiseXOR(F.col("flip")).alias("name"), "fp"
+    )
     shared = names.groupBy("place", "name").agg(F.collect_set("fp").alias("members")).where(F.size("members") > 1)
     starred = shared.select(F.array_min("members").alias("a"), F.explode("members").alias("b")).where("a <> b")
     return direct.unionAll(starred).distinct()
