@@ -34,9 +34,10 @@ MIN_DOCS = 5
 PENALTY = 0.028
 STEPS = 250
 GRADES = 3
-# A text is toxic from the severity that all but so small a share of the clean sample stays below,
-# and not below the least limit, which is higher for small samples: LEAST_LIMIT + SMALL_SAMPLE / sqrt(rows).
-FALSE_ALARMS, LEAST_LIMIT, SMALL_SAMPLE = 0.002, 0.12, 3.0
+# The limit of severity is chosen on rows that the model judging them has not seen: FOLDS fits, each without a part of the
+# sample. It makes recall - ALARM_WEIGHT * (share of clean texts at or above it) as large as possible. Without toxic or clean
+# rows it is DEFAULT_LIMIT.
+FOLDS, ALARM_WEIGHT, DEFAULT_LIMIT = 3, 4.0, 0.5
 WORDS = re.compile(r"[^\W\d_]+")
 STEM = 6
 
@@ -51,7 +52,7 @@ def features(text: str | None) -> set[str]:
 class Model:
     weights: dict[str, float]
     thresholds: tuple[float, ...]
-    limit: float = LEAST_LIMIT
+    limit: float = DEFAULT_LIMIT
 
     def score(self, text: str | None) -> float:
         return sum(map(self.weights.__getitem__, self.weights.keys() & features(text)))
@@ -107,15 +108,45 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int
     def numbered(texts: pa.Array) -> pa.Array:
         return pa.array([[number[w] for w in features(t.as_py()) if w in number] for t in texts], pa.list_(pa.int32()))
 
-    found = rows.select("grade", numbered(text).alias("ids")).toArrow().combine_chunks()
-    y, ids = found.column("grade").to_numpy(), found.column("ids").combine_chunks()
+    fold = F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(FOLDS)).cast("int")
+    found = rows.select("grade", fold.alias("fold"), numbered(text).alias("ids")).toArrow().combine_chunks()
+    y, folds, ids = found.column("grade").to_numpy(), found.column("fold").to_numpy(), found.column("ids").combine_chunks()
     if not len(y) or y.min() > 0 or y.max() < 1:
         return Model({}, tuple([np.inf] * (GRADES - 1)))
-    weights, thresholds = ordinal_fit(ids.offsets.to_numpy(), ids.values.to_numpy(), y, len(words), penalty / np.sqrt(len(y)))
+    offsets, col = ids.offsets.to_numpy(), ids.values.to_numpy()
+    offsets, col = offsets - offsets[0], col[offsets[0] : offsets[-1]]
+    weights, thresholds = ordinal_fit(offsets, col, y, len(words), penalty / np.sqrt(len(y)))
     model = Model({w: float(v) for w, v in zip(words, weights, strict=True) if v}, tuple(map(float, thresholds)))
-    least_limit = LEAST_LIMIT + SMALL_SAMPLE / np.sqrt(len(y))
-    clean = model.expected(segment_sums(weights[ids.values.to_numpy()], ids.offsets.to_numpy())[y == 0])
-    return replace(model, limit=max(least_limit, float(np.quantile(clean, 1 - FALSE_ALARMS))))
+    return replace(model, limit=best_limit(unseen_severity(offsets, col, y, folds, len(words), penalty), y > 0))
+
+
+def unseen_severity(offsets: np.ndarray, col: np.ndarray, y: np.ndarray, folds: np.ndarray, width: int, penalty: float) -> np.ndarray:
+    """The severity of every row by a model fitted to the rows of the other folds; NaN if those have one grade only."""
+    severity = np.full(len(y), np.nan)
+    of_row = np.repeat(folds, np.diff(offsets))
+    for f in range(FOLDS):
+        rest, mine = folds != f, folds == f
+        if not mine.any() or not rest.any() or y[rest].min() > 0 or y[rest].max() < 1:
+            continue
+        starts = np.concatenate([[0], np.cumsum(np.diff(offsets)[rest])])
+        weights, thresholds = ordinal_fit(starts, col[of_row != f], y[rest], width, penalty / np.sqrt(rest.sum()))
+        scores = segment_sums(weights[col], offsets)[mine]
+        severity[mine] = Model({}, tuple(map(float, thresholds))).expected(scores)
+    return severity
+
+
+def best_limit(severity: np.ndarray, toxic: np.ndarray) -> float:
+    """The middle of the best range of limits for unseen rows."""
+    seen = ~np.isnan(severity)
+    high, low = np.sort(severity[seen & toxic]), np.sort(severity[seen & ~toxic])
+    if not len(high) or not len(low):
+        return DEFAULT_LIMIT
+    limits = np.unique(np.concatenate([high, low, [low[-1] + 1e-6]]))
+    recall = 1 - np.searchsorted(high, limits) / len(high)
+    alarms = 1 - np.searchsorted(low, limits) / len(low)
+    best = int(np.argmax(recall - ALARM_WEIGHT * alarms))
+    below = limits[best - 1] if best else limits[best]
+    return float((limits[best] + below) / 2)
 
 
 def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
