@@ -49,6 +49,8 @@ SLICE = 1 << 19
 TEXTS_AT_ONCE = 256
 BUCKET_BYTES = 16 << 20
 LOCATION = np.dtype([("digest", "S16"), ("pos", "<i8"), ("lo", "<i2"), ("hi", "<i2")])
+# Text whose places one task judges: about a million places.
+PLACE_BYTES = 128 << 20
 PLACE_BITS = np.uint64((1 << 24) - 1)
 
 
@@ -367,13 +369,20 @@ def with_heat(found: DataFrame, docs: DataFrame, text: str, hot: int, sample: fl
     return both.withColumn("hot", F.coalesce("hot_ctx", "hot_gram", F.lit(0))).drop("hot_ctx", "hot_gram")
 
 
+def place_partitions(texts: DataFrame) -> int:
+    """How many tasks judge the places: one for ``PLACE_BYTES`` of text, and no fewer than the session's usual number."""
+    size = texts.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()["bytes"] or 0
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PLACE_BYTES))
+
+
 def repeats(docs: DataFrame, text: str = "text", hot: int = HOT, sample: float = SAMPLE) -> DataFrame:
     """(digest, n_bytes, n_removed, n_spans, kept_sha256, spans) per distinct text."""
     texts = named_texts(docs, text)
     found = texts.mapInArrow(find_places, "gram long, ctx long, loc binary")
     heated = with_heat(found, docs, text, hot, sample)
     dealt = F.when(F.col("hot") > 0, F.col("ctx")).otherwise(0), F.when(F.col("hot") > 1, F.xxhash64("loc")).otherwise(0)
-    judged = stage(heated.repartition("gram", *dealt).mapInArrow(judge_places, JUDGED), "judged-places")
+    parts = place_partitions(texts)
+    judged = stage(heated.repartition(parts, "gram", *dealt).mapInArrow(judge_places, JUDGED), "judged-places")
 
     once = texts.mapInArrow(zip_texts, "digest binary, ztext binary").dropDuplicates(["digest"])
     wanted = judged.where("gram IS NOT NULL")
@@ -397,7 +406,8 @@ def repeats(docs: DataFrame, text: str = "text", hot: int = HOT, sample: float =
 
 
 def deduplicate(docs: DataFrame, hot: int = HOT, sample: float = SAMPLE) -> DataFrame:
-    """Per document row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """Per document row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, has_repeats (some bytes were removed)."""
     found = repeats(docs, "text", hot, sample).drop("spans")
     rows = docs.select("doc_id", digest(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("digest"))
-    return rows.join(found, "digest").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    has_repeats = (F.col("n_removed") > 0).alias("has_repeats")
+    return rows.join(found, "digest").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", has_repeats)

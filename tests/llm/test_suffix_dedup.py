@@ -74,3 +74,42 @@ def test_odd_rows(spark, odd, none):
     assert by_id[5]["n_removed"] == by_id[6]["n_removed"] == len(LONG)
     assert by_id[8]["n_removed"] == 1000 and by_id[9]["n_removed"] == 150_000 and by_id[3]["n_removed"] == 0
     assert suffix_dedup.deduplicate(none).count() == 0
+
+
+def window_sums(data, base):
+    """A polynomial hash of every window of LENGTH bytes, from running sums modulo 2^64."""
+    n = suffix_dedup.LENGTH
+    if len(data) < n:
+        return np.zeros(0, np.uint64)
+    power = np.full(len(data), base, np.uint64)
+    power[0] = 1
+    power = np.cumprod(power)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(7)) * power)])
+    back = np.full(len(data), pow(base, -1, 1 << 64), np.uint64)
+    back[0] = 1
+    return (sums[n:] - sums[:-n]) * np.cumprod(back)[: len(data) - n + 1]
+
+
+def test_a_whole_table_equals_brute_force(spark):
+    """All documents of a data folder against hashes of all their windows."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    texts = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
+    data = [np.frombuffer(t, np.uint8) for _, t in texts]
+    parts = [[window_sums(d, b) for d in data] for b in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
+    both = np.concatenate(parts[0]) ^ (np.concatenate(parts[1]) * np.uint64(0xFF51AFD7ED558CCD))
+    _, place, n = np.unique(both, return_inverse=True, return_counts=True)
+    again = n[place] > 1
+    want, at = {}, 0
+    for (doc, text), d in zip(texts, data, strict=True):
+        size = max(0, len(d) - suffix_dedup.LENGTH + 1)
+        edges = np.zeros(len(d) + 1, np.int64)
+        hits = np.flatnonzero(again[at : at + size])
+        np.add.at(edges, hits, 1)
+        np.add.at(edges, hits + suffix_dedup.LENGTH, -1)
+        at += size
+        gone = np.cumsum(edges)[:-1] > 0
+        runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        want[doc] = (len(text), int(gone.sum()), runs, hashlib.sha256(d[~gone].tobytes()).hexdigest(), bool(gone.any()))
+    rows = suffix_dedup.deduplicate(docs).collect()
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], r["has_repeats"]) for r in rows}
+    assert len(rows) == len(texts) and got == want
