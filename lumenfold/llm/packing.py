@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -31,10 +33,8 @@ from lumenfold.plans.stage import stage
 
 CAPACITY = 2048
 CLOSING_ID = 0
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
-RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-# Fixed value: the pattern that splits text before the merges of the rank file.
-SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PORTIONS = 16
 RANK_SPACE = 1 << 44
 
@@ -45,19 +45,18 @@ def cut_points(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n, capacity))]
 
 
-def encoder(tokenizer: str, ranks: str):
-    """Text to ids. The rank file holds the same vocabulary and gives the same ids several times
+def encoder(spec: str, rank_lines: bytes, split: str = public_tokenizers.PATTERN):
+    """Text to ids, from the contents of the two files. The ranks are the same vocabulary and give the same ids several times
     faster; texts that hold a special token go to the tokenizer itself."""
     import base64
 
     import tiktoken
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(tokenizer)
+    slow = Tokenizer.from_str(spec)
     special = [t.content for t in slow.get_added_tokens_decoder().values()]
-    with open(ranks, "rb") as lines:
-        merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=merges, special_tokens={})
+    merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_lines.splitlines())}
+    fast = tiktoken.Encoding("ranks", pat_str=split, mergeable_ranks=merges, special_tokens={})
 
     def ids(text: str) -> list[int]:
         if any(s in text for s in special):
@@ -80,9 +79,11 @@ def pieces(
     ``nth`` counts the pieces of the same length that the task ``part`` has made before.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    # The contents, a few MB, go to the tasks: executors need no file.
+    spec, rank_lines = Path(tokenizer).read_text(), Path(ranks).read_bytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = encoder(tokenizer, ranks), np.zeros(capacity + 1, np.int64)
+        encode, seen = encoder(spec, rank_lines), np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
         for batch in batches:
             row, out, ids = [], [], []
