@@ -21,11 +21,29 @@ WITH item AS (
     SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(pos, pos + n - 1)) AS p FROM found) GROUP BY r
 ), listed AS (
     SELECT r, list(item ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+), word AS (
+    SELECT r, unnest(w) AS term, unnest(generate_series(0, len(w) - 1)) AS pos FROM doc
+), used AS (
+    SELECT DISTINCT phrase, unnest(string_split(phrase, ' ')) AS term, unnest(generate_series(0, n - 1)) AS off FROM phrase
+), ranked AS (
+    SELECT phrase, term, off, coalesce(n, 0) AS n,
+           row_number() OVER (PARTITION BY phrase ORDER BY coalesce(n, 0), term, off) AS k
+    FROM used LEFT JOIN (SELECT term, count(*) AS n FROM word GROUP BY term) USING (term)
+), rarest AS (
+    SELECT a.phrase, a.term AS term1, a.off AS off1, coalesce(b.term, a.term) AS term2, coalesce(b.off, a.off) AS off2
+    FROM ranked a LEFT JOIN ranked b ON a.phrase = b.phrase AND b.k = 2 WHERE a.k = 1 AND a.n > 0
+), close AS (
+    SELECT DISTINCT x.r, phrase.item FROM rarest
+    JOIN word x ON x.term = term1 JOIN word y ON y.r = x.r AND y.term = term2 JOIN phrase ON phrase.phrase = rarest.phrase
+    WHERE abs((x.pos - off1) - (y.pos - off2)) <= 3
+), n_close AS (
+    SELECT r, count(*) AS n_near FROM close ANTI JOIN (SELECT DISTINCT r, item FROM found) USING (r, item) GROUP BY r
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
-       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0) AS n_near
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN listed USING (r) LEFT JOIN n_close USING (r)
 """
 
 TOPK = """

@@ -63,8 +63,7 @@ def op9_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    hits = decontaminate.document_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
-    return hits.drop("n_near")
+    return decontaminate.document_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
