@@ -17,6 +17,7 @@ import time
 
 from lumenfold.catalog import inputs
 from lumenfold.catalog import queries as catalog
+from lumenfold.plans import clear_stage
 from lumenfold.session import local_session
 
 HEADLINE = (
@@ -43,6 +44,7 @@ def main() -> None:
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": times, "sf": float(scale)}))
+    clear_stage(spark)
     spark.stop()
 
 
