@@ -114,6 +114,13 @@ CC = {
     "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
 }
 
+# Identifiers of licences in source files.
+SPDX = (
+    "MIT MIT-0 ISC 0BSD BSD-2-Clause BSD-3-Clause Zlib Unlicense Apache-2.0 MPL-2.0 EPL-2.0 BSL-1.0 CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 "
+    "GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later "
+    "AGPL-3.0-only AGPL-3.0-or-later"
+).split()
+
 # Common notices in a short wording, the headers that licences ask for, and whole texts of the
 # short licences. The openings find texts that break off.
 TEMPLATES = {
@@ -164,6 +171,9 @@ TEMPLATES = {
         "commercial or non-commercial, and by any means."
     ),
     **{f"{k}-or-later": gnu_header(*v) for k, v in GNU.items()},
+    **{f"{k}-short-notice": f"GNU {name} License v{v if '.' in v else v + '.0'}" for k, (name, v) in GNU.items()},
+    **{f"gpl-{v}-plain-notice": f"GNU General Public License, version {v}." for v in ("2", "3")},
+    **{f"spdx-{i.lower()}": f"SPDX-License-Identifier: {i}" for i in SPDX},
 }
 
 
@@ -172,7 +182,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def telling(word: str) -> bool:
-    return word in TELLING or word.isdecimal()
+    return word in TELLING or word.removeprefix("v").isdecimal()
 
 
 def increasing(values: Sequence[int]) -> list[int]:

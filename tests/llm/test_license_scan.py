@@ -84,3 +84,20 @@ def test_tells_neighbouring_licences_apart():
         **{license_scan.TEMPLATES[n]: {n} for n in ("bsd-2-clause", "bsd-3-clause", "mit", "mit-0", "isc", "0bsd", "mit-opening", "zlib")},
     }.items():
         assert names(text) == expected, text
+
+
+def test_identifiers_and_short_versions():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    names = lambda text: {f[2] for f in scanner.scan(text)}
+    for i in license_scan.SPDX:
+        assert names(f"# SPDX-License-Identifier: {i}\nimport os") == {f"spdx-{i.lower()}"}, i
+    for text, expected in {
+        "GNU General Public License v3.0": "gpl-3-short-notice",
+        "the GNU General Public License v2.0 applies": "gpl-2-short-notice",
+        "GNU Lesser General Public License v2.1": "lgpl-2.1-short-notice",
+        "GNU Affero General Public License v3.0": "agpl-3-short-notice",
+        "see the GNU General Public License, version 2": "gpl-2-plain-notice",
+        "see the GNU Lesser General Public License, version 3": "lgpl-3-notice",
+    }.items():
+        assert names(text) == {expected}, (text, names(text))
+    assert names("SPDX-License-Identifier: Custom") == set()
