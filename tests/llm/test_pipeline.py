@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     assert {*queries.ALL, "pipeline"} <= entry.queries().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.ALL) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.ALL) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(oracle.ALL))
