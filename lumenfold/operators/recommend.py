@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,10 +19,15 @@ from lumenfold.plans import salted_join, stage
 
 # Users an item needs, items a user needs, neighbours kept.
 MIN_USERS, MIN_ITEMS, NEIGHBOURS = 25, 5, 50
-# Items of a block, and ratings a task of a block product holds at most on average.
-ITEM_BLOCK = 2048
-UNIT_RATINGS = 2_000_000
-PRODUCTS_AT_ONCE = 4_000_000
+# Ratings a task of a block product holds on average, and what it handles at once: products, pairs that wait, rows of a result.
+UNIT_RATINGS = 10_000_000
+PRODUCTS_AT_ONCE = 1_000_000
+PAIRS_AT_ONCE = 2_000_000
+ROWS_AT_ONCE = 500_000
+PACK_ROWS = 500_000
+# Ten block pairs at least, also of a small table.
+LEAST_BLOCKS = 4
+UNIT = ["a", "b", "slices", "slice"]
 
 
 def last_ratings(events: DataFrame, order_by: Sequence[str], rating: str = "rating") -> DataFrame:
@@ -43,9 +52,9 @@ def support_filter(ratings: DataFrame, min_users: int = MIN_USERS, min_items: in
 
 
 def item_moments(ratings: DataFrame) -> DataFrame:
-    """(item, mean, norm): mean rating and length of the centred rating vector."""
+    """(item, mean, norm, raters): mean rating, length of the centred rating vector, number of ratings."""
     return ratings.groupBy("item").agg(
-        F.avg("rating").alias("mean"), F.sqrt(F.var_pop("rating") * F.count("*")).alias("norm")
+        F.avg("rating").alias("mean"), F.sqrt(F.var_pop("rating") * F.count("*")).alias("norm"), F.count("*").alias("raters")
     )
 
 
@@ -99,109 +108,265 @@ def all_item_neighbours(
     k: int = NEIGHBOURS,
     min_common: int = 2,
     include_self: bool = True,
-    item_block: int = ITEM_BLOCK,
+    item_block: int | None = None,
     unit_ratings: int = UNIT_RATINGS,
 ) -> DataFrame:
     """(target, item, similarity, rank): the ``k`` items most similar to every item. Exact.
 
-    The same rows as ``item_neighbours`` with all items as targets. Items are dealt into blocks, and the product of the
-    rating matrix with itself is made block pair by block pair, over slices of the users. So the pairs of a user's
-    items are split into a triangle of small pieces, each combined with those of other users where it is made,
-    and no task sees all items of a user or all users of an item.
+    The same rows as ``item_neighbours`` with all items as targets. Items are dealt into blocks, by default four or as many
+    as leave two blocks about ``unit_ratings`` ratings, and the product of the rating matrix with itself is made block pair by
+    block pair. So the pairs of a user's items are split into a triangle of pieces, each combined with those of other users
+    where it is made. A block pair with many more ratings, as that of a very frequent item has, is cut in slices of
+    users, so no task sees all items of a user or all users of such an item.
 
-    First each block is multiplied with itself, which gives items a k-th similarity to beat. For two other blocks only
-    the users with items in both count. The norm of an item over those users, as a share of its whole norm, bounds its
-    cosine with any item of the other block; block pairs whose bounds cannot beat the items' k-th similarities are left out.
+    A rating goes once to every block pair of its block, packed with others: a few bytes, and no row. A task that
+    holds a whole block pair knows all common users of its items, so only the ``k`` best of each item leave it. The products
+    of slices are added up by pairs of items first.
 
-    ``ratings`` should be staged; it is read three times.
+    ``ratings`` should be staged; it is read twice. Ratings without user or item meet no others.
     """
+    ratings = ratings.where(F.col("user").isNotNull() & F.col("item").isNotNull())
     moments = stage(item_moments(ratings), "item-moments")
-    items = moments.count()
-    blocks = max(1, math.ceil(items / item_block))
-    block = F.pmod(F.xxhash64("item"), F.lit(blocks))
-    per_item = ratings.groupBy("item").agg(F.count("*").alias("rows"))
-    centred = salted_join(ratings, moments.where(F.col("norm") > 0), "item", per_item, ["user"])
-    rows = centred.select("user", "item", block.alias("block"), (F.col("rating") - F.col("mean")).alias("d"), "norm")
-    rows = stage(rows, "centred-ratings")
-    alone = rows.select(F.col("block").alias("a"), F.col("block").alias("b"), "user", "item", "d", F.lit(0).alias("side"))
-    inside = stage(_similar(_block_products(alone, unit_ratings), moments, min_common), "inside-blocks")
-    found = inside
-    if blocks > 1:
-        found = inside.unionByName(_across_blocks(rows, inside, moments, k, min_common, unit_ratings))
-    both = found.unionByName(found.where("target <> item").select(F.col("item").alias("target"), F.col("target").alias("item"), "similarity"))
-    if not include_self:
-        both = both.where("item <> target")
-    order = Window.partitionBy("target").orderBy(F.round("similarity", 9).desc(), "item")
-    return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-def _across_blocks(rows: DataFrame, inside: DataFrame, moments: DataFrame, k: int, min_common: int, unit_ratings: int) -> DataFrame:
-    """Similar pairs of items in different blocks, as far as they can matter."""
-    per_user = rows.groupBy("user").agg(F.collect_set("block").alias("others"), F.count("*").alias("rows"))
-    per_user = stage(per_user.where(F.size("others") > 1), "user-blocks")
-    met = salted_join(rows, per_user.select("user", "others"), "user", per_user.select("user", "rows"), ["item"])
-    met = met.select("user", "item", "block", "d", "norm", F.explode("others").alias("other")).where("block <> other")
-
-    # The largest share of an item's norm that lies on users with items of the other block.
-    part = met.groupBy("block", "other", "item").agg((F.sqrt(F.sum(F.col("d") * F.col("d"))) / F.first("norm")).alias("share"))
-    shares = stage(part, "norm-shares")
-    largest = shares.groupBy("block", "other").agg(F.max("share").alias("largest"))
-    twice = inside.select("target", "similarity").unionAll(inside.where("item <> target").select("item", "similarity"))
-    place = F.row_number().over(Window.partitionBy("target").orderBy(F.desc("similarity")))
-    kth = twice.withColumn("_place", place).where(F.col("_place") == k).select(F.col("target").alias("item"), F.col("similarity").alias("kth"))
-    facing = largest.select(F.col("block").alias("other"), F.col("other").alias("block"), F.col("largest").alias("facing"))
-    bound = F.col("share") * F.col("facing") + 1e-9
-    wanted = shares.join(kth, "item", "left").join(facing, ["block", "other"]).where(bound >= F.coalesce("kth", F.lit(0.0)))
-    pairs = wanted.select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")).distinct()
-    pairs = stage(pairs, "open-block-pairs")
-
+    size = moments.agg(F.count("*").alias("items"), F.sum("raters").alias("ratings")).first()
+    wanted = size["items"] / item_block if item_block else max(LEAST_BLOCKS, 2 * (size["ratings"] or 0) / unit_ratings)
+    blocks = max(1, min(math.ceil(wanted), size["items"]))
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block")
+    sizes = stage(moments.groupBy(block).agg(F.sum("raters").alias("rows")), "block-sizes")
+    largest = [r["rows"] for r in sizes.orderBy(F.desc("rows")).limit(2).collect()]
+
+    # Rows without a user tell the mean and the norm of an item.
+    rows = ratings.select("user", "item", F.col("rating").cast("double").alias("value"), F.lit(None).cast("double").alias("norm"), block)
+    of_items = moments.where("norm > 0").select(F.lit(None).cast(ratings.schema["user"].dataType).alias("user"), "item", F.col("mean").alias("value"), "norm", block)
+    listed = sizes.agg(F.collect_list(F.struct("block", "rows"))).scalar()
+    met = rows.unionByName(of_items).join(F.broadcast(sizes), "block").select("*", F.explode(listed).alias("other"))
+    other = F.col("other.block")
     placed = met.select(
-        F.least("block", "other").alias("a"),
-        F.greatest("block", "other").alias("b"),
+        F.least("block", other).alias("a"),
+        F.greatest("block", other).alias("b"),
+        (F.col("block") > other).cast("int").alias("side"),
         "user",
         "item",
-        "d",
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
+        "value",
+        "norm",
+        F.when(F.col("block") == other, F.col("rows")).otherwise(F.col("rows") + F.col("other.rows")).alias("rows"),
     )
-    return _similar(_block_products(placed.join(pairs, ["a", "b"], "left_semi"), unit_ratings), moments, min_common)
-
-
-def _block_products(placed: DataFrame, unit_ratings: int) -> DataFrame:
-    """(i, j, dot, n) of pairs of items with common users, from (a, b, user, item, d, side). Side 0 holds the items of block a."""
-    staged = stage(placed, "block-ratings")
-    sizes = staged.groupBy("a", "b").agg(F.count("*").alias("rows"))
-    slices = sizes.select("a", "b", F.ceil(F.col("rows") / F.lit(unit_ratings)).alias("slices"))
-    unit = staged.join(slices, ["a", "b"]).withColumn("slice", F.pmod(F.xxhash64("user"), F.col("slices")))
-    item_type = placed.schema["item"].dataType.simpleString()
-
-    def multiply(frame: pd.DataFrame) -> pd.DataFrame:
-        users = pd.factorize(frame["user"])[0]
-        side = frame["side"].to_numpy()
-        alone = frame["a"].iloc[0] == frame["b"].iloc[0]
-        halves = []
-        for s in (0, 1):
-            mine = np.flatnonzero(side == (0 if alone else s))
-            mine = mine[np.argsort(users[mine], kind="stable")]
-            codes, names = pd.factorize(frame["item"].to_numpy()[mine], sort=True)
-            halves.append((users[mine], codes, frame["d"].to_numpy()[mine], np.asarray(names)))
-        (who, code_l, d_l, left), (whose, code_r, d_r, right) = halves
-        # Every rating of the left block meets those of the same user in the right one, some products at a time.
-        low, size = np.searchsorted(whose, who), np.searchsorted(whose, who, side="right") - np.searchsorted(whose, who)
-        dot, n = np.zeros(len(left) * len(right)), np.zeros(len(left) * len(right))
-        upto = np.concatenate([[0], np.cumsum(size)])
-        cuts = np.unique(np.searchsorted(upto, np.arange(0, upto[-1] + PRODUCTS_AT_ONCE, PRODUCTS_AT_ONCE)).clip(0, len(size)))
-        for x, y in zip(cuts, cuts[1:], strict=False):
-            at = np.repeat(np.arange(x, y), size[x:y])
-            other = np.repeat(low[x:y] - upto[x:y], size[x:y]) + np.arange(upto[x], upto[y])
-            cell = code_l[at] * len(right) + code_r[other]
-            dot += np.bincount(cell, d_l[at] * d_r[other], len(dot))
-            n += np.bincount(cell, minlength=len(n))
-        dot, n = dot.reshape(len(left), -1), n.reshape(len(left), -1)
-        i, j = np.nonzero(np.triu(n) if alone else n)
-        return pd.DataFrame({"i": left[i], "j": right[j], "dot": dot[i, j], "n": n[i, j].astype(int)})
-
-    parts = unit.groupBy("a", "b", "slice").applyInPandas(multiply, f"i {item_type}, j {item_type}, dot double, n long")
-    return parts.groupBy("i", "j").agg(F.sum("dot").alias("dot"), F.sum("n").alias("n"))
+    found = _block_products(placed, Limits(unit_ratings, k, min_common))
+    if sum(largest) > 2 * unit_ratings:
+        found = stage(found, "block-products")
+        parts = found.where("n IS NOT NULL").groupBy("target", "item").agg(F.sum("dot").alias("dot"), F.sum("n").alias("n"))
+        once = _similar(parts.select(F.col("target").alias("i"), F.col("item").alias("j"), "dot", "n"), moments, min_common)
+        turned = once.where("target <> item").select(F.col("item").alias("target"), F.col("target").alias("item"), "similarity")
+        found = found.where("n IS NULL").select("target", "item", "similarity").unionByName(once).unionByName(turned)
+    if not include_self:
+        found = found.where("item <> target")
+    order = Window.partitionBy("target").orderBy(F.round("similarity", 9).desc(), "item")
+    best = found.select("target", "item", "similarity").withColumn("rank", F.row_number().over(order))
+    return best.where(F.col("rank") <= k)
+
+
+@dataclass
+class Limits:
+    """Ratings a task holds on average, and what is kept of a block pair."""
+
+    unit_ratings: int
+    k: int
+    min_common: int
+
+
+def _block_products(placed: DataFrame, limits: Limits) -> DataFrame:
+    """(target, item, similarity, dot, n) of pairs of items with common users, from (a, b, side, user, item, value, norm, rows).
+
+    Side 0 holds the items of block a; ``rows`` is the number of ratings of the block pair. A whole block pair gives the
+    similarities of the best items of each target, a slice of one gives products with ``n``, each pair once.
+    """
+    slices = F.when(F.col("rows") <= 2 * limits.unit_ratings, 1).otherwise(F.ceil(F.col("rows") / F.lit(limits.unit_ratings))).cast("int")
+    own = F.array(F.pmod(F.xxhash64("user"), F.col("slices")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("slices") - 1)
+    unit = placed.withColumn("slices", slices).drop("rows")
+    unit = unit.withColumn("slice", F.explode(F.when(F.col("user").isNull(), every).otherwise(own)))
+    kind = {c: placed.schema[c].dataType.simpleString() for c in ("user", "item")}
+    packed = unit.select(*UNIT, "side", "user", "item", "value", "norm").mapInArrow(_pack, ", ".join(f"{c} int" for c in [*UNIT, "side"]) + ", data binary")
+    schema = f"target {kind['item']}, item {kind['item']}, similarity double, dot double, n long"
+
+    def multiply(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b, slices, _ = (c.as_py() for c in key)
+        left, right, held = _unpack(batches, a == b)
+        if left is None or right is None:
+            return
+        # The ratings of side b by user, those of side a by item.
+        count = np.bincount(right.users, minlength=held)
+        start = np.concatenate([[0], np.cumsum(count)])
+        order = np.argsort(right.users, kind="stable")
+        code_r, d_r = right.codes[order], right.values[order]
+        order = np.argsort(left.codes, kind="stable")
+        code_l, d_l, who = left.codes[order], left.values[order], left.users[order]
+        del order
+        left, right = left._replace(users=None, codes=None, values=None), right._replace(users=None, codes=None, values=None)
+        upto, wide = np.concatenate([[0], np.cumsum(count[who])]), len(right.norms)
+        ends = np.append(np.flatnonzero(np.diff(code_l)) + 1, len(code_l))
+
+        def products(x: int, y: int) -> tuple[np.ndarray, np.ndarray]:
+            """Cells and products of the ratings x to y of side a with those of the same users on side b."""
+            size = count[who[x:y]]
+            at = np.repeat(np.arange(x, y), size)
+            other = np.repeat(start[who[x:y]] - upto[x:y], size) + np.arange(upto[x], upto[y])
+            cell, product = code_l[at].astype(np.int64) * wide + code_r[other], d_l[at] * d_r[other]
+            if a != b:
+                return cell, product
+            once = code_r[other] >= code_l[at]
+            return cell[once], product[once]
+
+        def sums() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+            """(i, j, dot, n) of some items of side a after the other, each with all its pairs."""
+            x = 0
+            while x < len(code_l):
+                fits = np.searchsorted(upto[ends], upto[x] + PRODUCTS_AT_ONCE, side="right")
+                y = int(ends[fits - 1]) if fits and ends[fits - 1] > x else 0
+                if y:
+                    cell, product = products(x, y)
+                    order = np.argsort(cell, kind="stable")
+                    cell, product = cell[order], product[order]
+                    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, int)
+                    i, j = np.divmod(cell[first], wide)
+                    yield i, j, np.add.reduceat(product, first) if len(first) else product, np.diff(np.append(first, len(cell)))
+                else:
+                    # One item with very many products: some at a time into a whole row of the product.
+                    y = int(ends[np.searchsorted(ends, x, side="right")])
+                    dot, n = np.zeros(wide), np.zeros(wide, np.int64)
+                    cuts = np.searchsorted(upto[x : y + 1], np.arange(upto[x], upto[y] + PRODUCTS_AT_ONCE, PRODUCTS_AT_ONCE)).clip(0, y - x)
+                    for c, e in zip(cuts, np.append(cuts[1:], y - x), strict=True):
+                        cell, product = products(x + int(c), x + int(e))
+                        dot += np.bincount(cell % wide, product, wide)
+                        n += np.bincount(cell % wide, minlength=wide)
+                    j = np.flatnonzero(n)
+                    yield np.full(len(j), code_l[x]), j, dot[j], n[j]
+                x = y
+
+        def rows(target: pa.Array, item: pa.Array, similarity=None, dot=None, n=None) -> pa.RecordBatch:
+            numbers = [pa.nulls(len(target), t) if v is None else pa.array(v, t) for v, t in ((similarity, pa.float64()), (dot, pa.float64()), (n, pa.int64()))]
+            return pa.RecordBatch.from_arrays([target, item, *numbers], names=["target", "item", "similarity", "dot", "n"])
+
+        turned: list[tuple[np.ndarray, ...]] = []
+        waiting, full = 0, PAIRS_AT_ONCE
+        for i, j, dot, n in sums():
+            if slices > 1:
+                yield rows(left.names.take(pa.array(i)), right.names.take(pa.array(j)), dot=dot, n=n)
+                continue
+            similarity = dot / (left.norms[i] * right.norms[j])
+            good = (n >= limits.min_common) & (similarity > ZERO)
+            i, j, similarity = i[good], j[good], similarity[good]
+            kept = _k_best(i, j, similarity, limits.k)
+            yield rows(left.names.take(pa.array(i[kept])), right.names.take(pa.array(j[kept])), similarity[kept])
+            back = slice(None) if a != b else i != j
+            turned.append((j[back].astype(np.int32), i[back].astype(np.int32), similarity[back]))
+            waiting += len(turned[-1][0])
+            if waiting > full:
+                turned = [_best_of(turned, limits.k)]
+                waiting = len(turned[0][0])
+                full = max(PAIRS_AT_ONCE, 2 * waiting)
+        if turned:
+            j, i, similarity = _best_of(turned, limits.k)
+            for at in range(0, len(j), ROWS_AT_ONCE):
+                some = slice(at, at + ROWS_AT_ONCE)
+                yield rows(right.names.take(pa.array(j[some])), left.names.take(pa.array(i[some])), similarity[some])
+
+    return packed.groupBy(*UNIT).applyInArrow(multiply, schema)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, slices, slice, side, data): the rows of a side of a unit, some at a time as a compressed table."""
+
+    def cut(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        places = [table.column(c).to_numpy() for c in [*UNIT, "side"]]
+        key = np.zeros(len(table), np.int64)
+        for place in places:
+            key = key * (int(place.max()) + 1) + place
+        order = np.argsort(key, kind="stable")
+        key, table = key[order], table.select(["user", "item", "value", "norm"]).take(pa.array(order))
+        firsts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        data = []
+        whole = [c for c in ("user", "item") if pa.types.is_integer(table.schema.field(c).type)]
+        plain = [c for c in table.column_names if c not in whole]
+        for x, y in zip(firsts, np.append(firsts[1:], len(key)), strict=True):
+            out = pa.BufferOutputStream()
+            pq.write_table(table.slice(x, y - x), out, compression="zstd", use_dictionary=plain, column_encoding={c: "DELTA_BINARY_PACKED" for c in whole} or None, write_statistics=False, store_schema=False)
+            data.append(out.getvalue().to_pybytes())
+        columns = [*(pa.array(place[order[firsts]], pa.int32()) for place in places), pa.array(data, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=[*UNIT, "side", "data"])
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= PACK_ROWS:
+            yield cut(held)
+            held, size = [], 0
+    if held:
+        yield cut(held)
+
+
+class _Side(NamedTuple):
+    """Items in ascending order with their norms, and per rating the user's and item's number and the centred value."""
+
+    names: pa.Array
+    norms: np.ndarray
+    users: np.ndarray
+    codes: np.ndarray
+    values: np.ndarray
+
+
+def _unpack(batches: Iterator[pa.RecordBatch], alone: bool) -> tuple[_Side | None, _Side | None, int]:
+    """Both sides of a unit and the number of users. ``alone``: a block with itself, whose sides are the same."""
+    # Users and items as numbers from the start, so that a rating takes 16 bytes.
+    raters: tuple[list, list] = ([], [])
+    of_items: tuple[list, list] = ([], [])
+    for batch in batches:
+        for side, data in zip(batch.column("side").to_pylist(), batch.column("data"), strict=True):
+            table = pq.read_table(pa.BufferReader(data.as_buffer()), use_threads=False)
+            told = pc.is_null(table.column("user"))
+            of_items[side].append(table.filter(told).drop_columns("user"))
+            ratings = table.filter(pc.invert(told)).combine_chunks()
+            values = pc.fill_null(ratings.column("value"), math.nan).to_numpy()
+            raters[side].append((*(ratings.column(c).combine_chunks().dictionary_encode() for c in ("user", "item")), values))
+    if not raters[0] or not (alone or raters[1]):
+        return None, None, 0
+    chosen = raters[:1] if alone else raters
+    users = pa.chunked_array([r[0] for side in chosen for r in side]).unify_dictionaries()
+    count = len(users.chunk(0).dictionary)
+    user_numbers = iter([c.indices.to_numpy() for c in users.chunks])
+    sides = []
+    for side, told in zip(chosen, of_items, strict=False):
+        items = pa.concat_tables(told).sort_by("item")
+        names, mean, norm = items.column("item").combine_chunks(), items.column("value").to_numpy(), items.column("norm").to_numpy()
+        parts = []
+        while side:
+            _, item, values = side.pop(0)
+            code = pc.fill_null(pc.index_in(item.dictionary, value_set=names), -1).to_numpy()[item.indices.to_numpy()].astype(np.int32)
+            there = code >= 0
+            parts.append((next(user_numbers)[there], code[there], values[there] - mean[code[there]]))
+        sides.append(_Side(names, norm, *(np.concatenate(c) for c in zip(*parts, strict=True))))
+    return sides[0], sides[-1], count
+
+
+def _k_best(target: np.ndarray, item: np.ndarray, similarity: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` best rows of each target. Rows whose similarity lies on the border of two roundings are kept and not counted."""
+    scaled = similarity * 1e9
+    sure = np.flatnonzero(np.abs(scaled % 1 - 0.5) > 1e-4)
+    order = sure[np.lexsort((item[sure], -np.rint(scaled[sure]), target[sure]))]
+    sorted_target = target[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_target[1:] != sorted_target[:-1]])) if len(order) else np.zeros(0, int)
+    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    kept = np.abs(scaled % 1 - 0.5) <= 1e-4
+    kept[order[rank < k]] = True
+    return np.flatnonzero(kept)
+
+
+def _best_of(parts: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    target, item, similarity = (np.concatenate(c) for c in zip(*parts, strict=True))
+    kept = _k_best(target, item, similarity, k)
+    return target[kept], item[kept], similarity[kept]
 
 
 def _similar(products: DataFrame, moments: DataFrame, min_common: int) -> DataFrame:

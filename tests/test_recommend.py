@@ -113,3 +113,34 @@ def test_a_user_with_every_item_is_split_and_far_blocks_are_left_out(spark, monk
 
 def test_all_items_of_no_ratings(spark):
     assert recommend.all_item_neighbours(spark.createDataFrame([], "user long, item long, rating double")).count() == 0
+
+
+def test_a_block_pair_sends_each_rating_once_per_block(spark, monkeypatch):
+    """A rating goes to a few block pairs in a few bytes; only the best pairs of items leave."""
+    rng = np.random.default_rng(2)
+    rows = {(int(u), int(i)) for u, i in zip(rng.integers(0, 2_000, 60_000), rng.integers(0, 4_000, 60_000))}
+    rows = [(u, i, float(v)) for (u, i), v in zip(sorted(rows), rng.integers(1, 51, len(rows)))]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double").coalesce(1).cache()
+    packed, best = [], recommend._block_products
+
+    def watched(placed, limits):
+        packed.append(placed.where("user IS NOT NULL").count())
+        found = best(placed, limits).cache()
+        packed.append(found.count())
+        return found
+
+    monkeypatch.setattr(recommend, "_block_products", watched)
+    got = recommend.all_item_neighbours(ratings, 5).cache()
+    assert got.groupBy("target").count().where("count > 5").isEmpty()
+    assert packed[0] <= recommend.LEAST_BLOCKS * len(rows)
+    assert packed[1] <= 2 * 5 * recommend.LEAST_BLOCKS * 4_000
+    some = spark.createDataFrame([(7,), (1_234,), (3_999,)], "item long")
+    wanted = neighbour_lists(recommend.item_neighbours(ratings, some, 5))
+    assert {t: v for t, v in neighbour_lists(got.join(some.withColumnRenamed("item", "target"), "target")).items()} == wanted
+
+
+def test_ratings_without_user_or_item_meet_no_others(spark):
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(1, 9) for i in range(1, 5)] + [(None, 1, 5.0), (None, 2, 5.0), (None, 3, 1.0), (3, None, 2.0), (4, None, 4.0)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double").cache()
+    whole = ratings.where("user IS NOT NULL AND item IS NOT NULL")
+    assert neighbour_lists(recommend.all_item_neighbours(ratings, 3)) == neighbour_lists(recommend.all_item_neighbours(whole, 3))
