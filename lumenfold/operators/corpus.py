@@ -16,6 +16,8 @@ from lumenfold.plans.stage import stage
 
 # Fixed value: how many of the most frequent words are looked at.
 TOP = 1000
+# Tokens of a batch that are handled at once, so that memory does not grow with rows and texts.
+TOKENS_AT_ONCE = 100_000
 
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -65,6 +67,41 @@ def top_tokens(reviews: DataFrame, k: int = TOP, text: str = "text") -> DataFram
     return most_frequent(reviews, F.array_remove(tx.lower_all(tx.tokens(F.col(text))), ""), k)
 
 
+def portions(batch: pa.RecordBatch, column: str, elements: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in order, with at most about ``elements`` elements of the lists ``column`` at a time, and one row at least."""
+    upto = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(batch):
+        before = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, before + elements, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def count_chosen(batches: Iterator[pa.RecordBatch], chosen: Sequence[str], carry: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """The counts of :func:`counted` for rows with ``tokens`` and ``length``, some rows at a time."""
+    known = pa.array(chosen, pa.string())
+    for batch in (part for whole in batches for part in portions(whole, "tokens", TOKENS_AT_ONCE)):
+        tokens = batch.column("tokens")
+        flat = tokens.flatten()
+        row = np.repeat(np.arange(len(batch)), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy())
+        low = pc.ascii_lower(flat)
+        code = pc.fill_null(pc.index_in(low, value_set=known), -1).to_numpy()
+        there = code >= 0
+        key = row[there] * max(len(chosen), 1) + code[there]
+        same = pc.fill_null(pc.equal(low, flat), False).to_numpy(zero_copy_only=False)[there]
+        keys, place, n = np.unique(key, return_inverse=True, return_counts=True)
+        in_lower = np.bincount(place, weights=same, minlength=len(keys)) > 0
+        of_row, of_word = np.divmod(keys, max(len(chosen), 1))
+        offsets = np.searchsorted(of_row, np.arange(len(batch) + 1)).astype(np.int32)
+        values = pa.StructArray.from_arrays(
+            [known.take(pa.array(of_word, pa.int64())), pa.array(n, pa.int64()), pa.array(in_lower, pa.bool_())],
+            names=["word", "n", "in_lower"],
+        )
+        columns = [*(batch.column(c) for c in carry), batch.column("length"), pa.ListArray.from_arrays(offsets, values)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*carry, "length", "words"])
+
+
 def counted(reviews: DataFrame, words: Sequence[str], text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """(carried columns, length, words): number of tokens, and (word, n, in_lower) of the given words in each row.
 
@@ -74,30 +111,8 @@ def counted(reviews: DataFrame, words: Sequence[str], text: str = "text", carry:
     chosen = sorted(set(words))
     rows = reviews.select(*carry, tx.tokens(F.col(text)).alias("tokens")).withColumn("length", F.size("tokens"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(chosen, pa.string())
-        for batch in batches:
-            tokens = batch.column("tokens")
-            flat = tokens.flatten()
-            row = np.repeat(np.arange(len(batch)), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy())
-            low = pc.ascii_lower(flat)
-            code = pc.fill_null(pc.index_in(low, value_set=known), -1).to_numpy()
-            there = code >= 0
-            key = row[there] * max(len(chosen), 1) + code[there]
-            same = pc.fill_null(pc.equal(low, flat), False).to_numpy(zero_copy_only=False)[there]
-            keys, place, n = np.unique(key, return_inverse=True, return_counts=True)
-            in_lower = np.bincount(place, weights=same, minlength=len(keys)) > 0
-            of_row, of_word = np.divmod(keys, max(len(chosen), 1))
-            offsets = np.searchsorted(of_row, np.arange(len(batch) + 1)).astype(np.int32)
-            values = pa.StructArray.from_arrays(
-                [known.take(pa.array(of_word, pa.int64())), pa.array(n, pa.int64()), pa.array(in_lower, pa.bool_())],
-                names=["word", "n", "in_lower"],
-            )
-            columns = [*(batch.column(c) for c in carry), batch.column("length"), pa.ListArray.from_arrays(offsets, values)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*carry, "length", "words"])
-
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*carry, "length"])
-    return rows.mapInArrow(run, f"{kept}, words array<struct<word:string,n:bigint,in_lower:boolean>>")
+    return rows.mapInArrow(lambda batches: count_chosen(batches, chosen, carry), f"{kept}, words array<struct<word:string,n:bigint,in_lower:boolean>>")
 
 
 def counted_top(reviews: DataFrame, k: int = TOP, text: str = "text", carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:

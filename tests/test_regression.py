@@ -1,13 +1,15 @@
 import math
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lumenfold.functions.stats import two_sided_p
 from lumenfold.functions.text import TOKEN
-from lumenfold.operators import regression
+from lumenfold.operators import corpus, regression
 from lumenfold.sources import read_reviews
 
 
@@ -155,3 +157,18 @@ def test_regression_of_a_review_file(spark, tmp_path):
     reviews = read_reviews(spark, str(tmp_path / "r.json"))
     rows = regression.word_regressions(reviews, text="reviewText", target="overall", control="verified").collect()
     assert {r["n"] for r in rows} == {21}
+
+
+def test_counting_takes_memory_by_portions_not_by_batches():
+    rows = [["good", "Bad", "other", "good"] * 100] * 5_000 + [None, [], ["bad"] * 300_000]
+    batch = pa.RecordBatch.from_pydict({"tokens": rows, "length": pa.array([len(r or []) for r in rows], pa.int32())})
+    tracemalloc.start()
+    parts = list(corpus.count_chosen(iter([batch]), ["bad", "good"], []))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = pa.Table.from_batches(parts).to_pylist()
+    assert [r["length"] for r in found] == [len(r or []) for r in rows]
+    wanted = [{"word": "bad", "n": 100, "in_lower": False}, {"word": "good", "n": 200, "in_lower": True}]
+    assert all(r["words"] == wanted for r in found[:5_000])
+    assert [r["words"] for r in found[5_000:]] == [[], [], [{"word": "bad", "n": 300_000, "in_lower": True}]]
+    assert peak < 40e6
