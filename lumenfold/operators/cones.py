@@ -25,6 +25,7 @@ from lumenfold.plans.stage import stage
 
 PIVOTS = 1024
 NEAREST_PIVOTS = 3
+VECTORS_AT_ONCE = 512
 BLOCK_ROWS = 1024
 GROUP_BLOCKS = 32
 TILE_PARTS = 1024
@@ -59,6 +60,16 @@ def angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(a @ b.T, -1, 1))
 
 
+def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest pivots of every vector, and the angle to the first; some vectors at a time."""
+    ranks, angle = [], []
+    for at in range(0, len(vectors), VECTORS_AT_ONCE):
+        cosines = vectors[at : at + VECTORS_AT_ONCE] @ pivots.T
+        ranks.append(np.argsort(-cosines, axis=1, kind="stable")[:, :NEAREST_PIVOTS].copy())
+        angle.append(np.arccos(np.clip(cosines.max(axis=1), -1, 1)))
+    return np.concatenate(ranks), np.concatenate(angle)
+
+
 def build_tree(vectors: DataFrame, block_rows: int = BLOCK_ROWS, group_blocks: int = GROUP_BLOCKS) -> ConeTree:
     """The tree over (entity, first, vector). ``first`` is carried along."""
     staged = stage(vectors.select("entity", "first", "vector"), "vectors")
@@ -73,10 +84,9 @@ def build_tree(vectors: DataFrame, block_rows: int = BLOCK_ROWS, group_blocks: i
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                cosines = np.stack(batch["vector"].to_list()) @ pivots.T
-                ranks = np.argsort(-cosines, axis=1, kind="stable")[:, :NEAREST_PIVOTS]
+                ranks, angle = nearest_pivots(np.stack(batch["vector"].to_list()), pivots)
                 near = {c: ranks[:, min(n, ranks.shape[1] - 1)] for n, c in enumerate(order)}
-                yield batch.assign(**near, angle=np.arccos(np.clip(cosines.max(axis=1), -1, 1)))
+                yield batch.assign(**near, angle=angle)
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext

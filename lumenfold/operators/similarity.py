@@ -270,9 +270,9 @@ def _best_of_blocks(tree: ConeTree, pairs: DataFrame, k: int, bar: dict[str, flo
             usable = score > -np.inf
             i, j = np.divmod(kept[usable], len(ids_r))
             a, b = ids_l[i], ids_r[j]
-            found = pd.DataFrame(
-                {"side": side, "score": np.round(score[usable], digits), "a": np.where(a < b, a, b), "b": np.where(a < b, b, a)}
-            )
+            place, a, b = np.round(score[usable], digits), np.where(a < b, a, b), np.where(a < b, b, a)
+            first = np.lexsort((b, a, -place))[:k]  # of very many ties, too
+            found = pd.DataFrame({"side": side, "score": place[first], "a": a[first], "b": b[first]})
             if len(found):
                 merged = found if best[side] is None else pd.concat([best[side], found]).drop_duplicates(["a", "b"])
                 best[side] = merged.sort_values(["score", "a", "b"], ascending=[False, True, True]).head(k)

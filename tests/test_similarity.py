@@ -1,4 +1,5 @@
 import itertools
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -171,3 +172,16 @@ def test_gaps_are_an_error_unless_an_option_says_otherwise(spark):
     assert {r["entity"] for r in sm.unit_vectors(scaled, ["x", "y"], missing="drop").collect()} == {2, 3}
     zero = {r["entity"]: r["vector"] for r in sm.unit_vectors(scaled, ["x", "y"], missing="zero").collect()}
     assert set(zero) == {2, 3, 4} and zero[4] == [1.0, 0.0]
+
+
+def test_nearest_pivots_take_memory_by_portions():
+    rng = np.random.default_rng(5)
+    vectors, pivots = rng.normal(size=(10_000, 6)), rng.normal(size=(1024, 6))
+    tracemalloc.start()
+    ranks, angle = cones.nearest_pivots(vectors, pivots)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    cosines = vectors @ pivots.T
+    assert (ranks[:, 0] == cosines.argmax(axis=1)).all()
+    assert angle == pytest.approx(np.arccos(np.clip(cosines.max(axis=1), -1, 1)))
+    assert peak < 40e6
