@@ -1,8 +1,11 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from lumenfold.llm import suffix_dedup
 from tests.llm.conftest import LONG, make
@@ -66,6 +69,61 @@ def test_multikey_quicksort():
     assert [tuple(words[i]) for i in order] == sorted(map(tuple, words))
 
 
+def bucket(n):
+    """Suffixes of n // 4 grams, each beside one of two random texts on either side."""
+    rng = np.random.default_rng(3)
+    side = [rng.bytes(suffix_dedup.SIDE) for _ in range(n // 2)]
+    gram = rng.integers(0, n // 4, n)
+    hi = rng.integers(0, suffix_dedup.SIDE + 1, n)
+    lo = rng.integers(0, hi + 1)
+    left = [side[2 * g + v][:h] for g, v, h in zip(gram, rng.integers(0, 2, n), hi, strict=True)]
+    right = [side[2 * g + v][: suffix_dedup.SIDE - k] for g, v, k in zip(gram, rng.integers(0, 2, n), lo, strict=True)]
+    names = pa.array([b"%016d" % i for i in range(n)])
+    columns = [pa.array(gram), names, pa.array(np.full(n, 1000)), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(left), pa.array(right)]
+    return pa.RecordBatch.from_arrays(columns, names=["gram", "digest", "pos", "lo", "hi", "left", "right"])
+
+
+def spans_of(batches):
+    return sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+
+
+def test_a_bucket_in_portions(monkeypatch):
+    """A bucket's arrays are a portion's, not the bucket's; portions part no gram and lose no window."""
+    rows = bucket(24_000)
+    tracemalloc.start()
+    for _ in suffix_dedup.sort_bucket(iter([rows])):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * rows.nbytes
+    some = bucket(400)
+    want = set()
+    for r in (found := some.to_pylist()):
+        for d in range(r["lo"], r["hi"] + 1):
+            window = lambda x, d=d: (x["gram"], x["left"][:d], x["right"][: suffix_dedup.SIDE - d])
+            if any(x is not r and x["gram"] == r["gram"] and x["lo"] <= d <= x["hi"] and window(x) == window(r) for x in found):
+                want.add((r["digest"], 1000 - d))
+    for portion in (suffix_dedup.ROWS_AT_ONCE, 3):
+        monkeypatch.setattr(suffix_dedup, "ROWS_AT_ONCE", portion)
+        got = spans_of(suffix_dedup.sort_bucket(iter([some])))
+        assert {(name, a) for name, start, end in got for a in range(start, end - suffix_dedup.LENGTH + 1)} == want and want
+
+
+def test_contexts_and_windows_in_portions():
+    """Long texts with many places give batches of few rows, and the windows of hot grams need one worker only."""
+    rng = np.random.default_rng(5)
+    texts = [rng.bytes(20_000) for _ in range(12)]
+    places = [{"gram": 1, "pos": p, "lo": 0, "hi": 9} for p in range(100, 19_000, 20)]
+    squeeze = zstandard.ZstdCompressor()
+    columns = [pa.array([b"%016d" % i for i in range(12)]), pa.array([squeeze.compress(t) for t in texts]), pa.array([places] * 12)]
+    rows = pa.RecordBatch.from_arrays(columns, names=["digest", "ztext", "wanted"])
+    cut = list(suffix_dedup.cut_contexts(iter([rows])))
+    assert sum(b.num_rows for b in cut) == 12 * len(places) and max(b.num_rows for b in cut) <= suffix_dedup.ROWS_AT_ONCE
+    single = list(suffix_dedup.single_windows(iter([rows])))
+    assert sum(b.num_rows for b in single) == 120 * len(places) and max(b.num_rows for b in single) <= suffix_dedup.ROWS_AT_ONCE + suffix_dedup.SIDE
+    assert len(set().union(*(b.column("window").to_pylist() for b in single))) == 12 * (18_900 // 20) * 10
+
+
 def test_odd_rows(spark, odd, none):
     rows = suffix_dedup.deduplicate(odd).collect()
     assert len(rows) == 12
