@@ -50,6 +50,25 @@ def test_equals_brute_force(spark, hot):
     assert got == dict(enumerate(brute(texts)))
 
 
+@pytest.mark.parametrize("listed", [suffix_dedup.LISTED, 0])
+def test_hot_grams_take_only_their_texts(spark, monkeypatch, listed):
+    """The texts with places of hot grams are picked by a broadcast list, or by the join if there are too many."""
+    monkeypatch.setattr(suffix_dedup, "LISTED", listed)
+    sent = []
+    plain = suffix_dedup.stage
+    monkeypatch.setattr(suffix_dedup, "stage", lambda df, name: plain(sent.append((name, df)) or df, name))
+    rng = random.Random(4)
+    passage, filler = ("".join(rng.choices("abcdefgh ", k=k)) for k in (600, 40_000))
+    texts = [filler[i * 500 : i * 500 + 50] + passage + filler[i * 500 + 50 : i * 500 + 200] for i in range(20)]
+    texts += [filler[10_000 + i * 500 : 10_500 + i * 500] for i in range(40)]
+    rows = suffix_dedup.deduplicate(make(spark, texts), hot=5, sample=1.0).collect()
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows}
+    assert got == dict(enumerate(brute(texts)))
+    plan = next(df for name, df in sent if name == "hot-windows")._jdf.queryExecution().optimizedPlan().toString()
+    assert ("LeftSemi" in plan) == (listed > 0)
+    assert plan.count("MapInArrow") == 2  # zip_texts and single_windows
+
+
 def test_long_texts_in_slices(spark, monkeypatch):
     texts = texts_with_repeats(8, 12)
     found = [list(suffix_dedup.slices(iter([(b"x" * 16, t.encode())]))) for t in texts if t]
