@@ -17,7 +17,8 @@ smallest of them keep every connection. Distinct fingerprints that are not near
 values for each of the four places.
 
 Links between distinct fingerprints make components by label propagation with pointer jumping,
-one written table per round. Rows: a null text has no words, so its fingerprint is zero. Rows with
+one written table per round. No table that grows with the documents is broadcast: Spark takes the size of a table from its
+compressed files and does not see that an explode makes seventeen rows of one. Rows: a null text has no words, so its fingerprint is zero. Rows with
 equal ids keep one row each; null ids do not count as smallest unless there is no other.
 """
 
@@ -41,6 +42,8 @@ WIDTH = 64 // SEGMENTS
 BUCKET = 64
 SEED = 42
 SLICE = 1 << 15
+# Crowded values are broadcast up to so many, about 12 MB; at most one in BUCKET / SEGMENTS fingerprints makes one.
+CROWDS = 100_000
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -89,6 +92,11 @@ def passes_chain(difference: Column, tau: int = TAU) -> Column:
     return reduce(lambda a, b: a & b, checks) & (F.bit_count(difference) <= tau)
 
 
+def sorted_side(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that shuffles and sorts both, whatever Spark takes for its size."""
+    return df.hint("merge")
+
+
 def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(a, b) between distinct fingerprints ``fp``: connected exactly as by all links of two bits or fewer."""
     places = prints.select("fp", F.explode(F.array(*[F.lit(p) for p in range(SEGMENTS)])).alias("place"))
@@ -100,10 +108,11 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
     crowds = stands.groupBy("place", "value").agg(F.count("*").alias("n")).where(F.col("n") > bucket)
     crowds = stage(crowds.select("place", "value", F.lit(True).alias("crowd")), "crowds")
-    some = not crowds.isEmpty()
+    number = crowds.count()
+    some, crowds = number > 0, F.broadcast(crowds) if number <= CROWDS else sorted_side(crowds)
     alone = stands.join(crowds, ["place", "value"], "left_anti") if some else stands
     difference = turned(F.col("fp").bitwiseXOR(F.col("fp2")), F.col("place"))
-    paired = alone.join(looks, ["place", "value"]).where((F.col("fp") < F.col("fp2")) & passes_chain(difference))
+    paired = alone.join(sorted_side(looks), ["place", "value"]).where((F.col("fp") < F.col("fp2")) & passes_chain(difference))
     direct = paired.select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
     if not some:
         return direct.distinct()
@@ -123,12 +132,12 @@ def components(edges: DataFrame) -> DataFrame:
     both = stage(edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, labels["node"] == near["a"]).select(
+        near = both.join(sorted_side(labels), both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
+        lower = labels.join(sorted_side(near), labels["node"] == near["a"]).select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
         above = labels.select(F.col("node").alias("label"), F.col("label").alias("jump"))
-        after = lower.join(above, "label", "left").select("node", "old", F.least("label", "jump").alias("label"))
+        after = lower.join(sorted_side(above), "label", "left").select("node", "old", F.least("label", "jump").alias("label"))
         after = stage(after, "labels")
         moved = after.where("label <> old").limit(1).count()
         labels = after.select("node", "label")
@@ -140,17 +149,17 @@ def classes(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(fp, label, component_id) for every fingerprint of ``rows`` (doc, fp)."""
     prints = stage(rows.groupBy("fp").agg(F.min("doc").alias("first")), "fingerprints")
     labels = components(links(prints.select("fp"), bucket))
-    named = prints.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    named = prints.join(sorted_side(labels.withColumnRenamed("node", "fp")), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     named = stage(named, "labelled-fingerprints")
     least = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    return named.join(least, "label").select("fp", "label", "component_id")
+    return named.join(sorted_side(least), "label").select("fp", "label", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
     """Per document row: doc_id, fingerprint (16 hex digits), component_id."""
     rows = with_fingerprint(docs.select(F.col("doc_id").alias("doc"), "text"), "text", "fp", shingle).select("doc", "fp")
     rows = stage(rows, "document-fingerprints")
-    joined = rows.join(classes(rows, bucket), "fp")
+    joined = rows.join(sorted_side(classes(rows, bucket)), "fp")
     return joined.select(F.col("doc").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -163,7 +172,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET) -> D
     marked = docs.withColumn(row, F.monotonically_increasing_id())
     marked = stage(with_fingerprint(marked, "text", fp, shingle), "fingerprinted")
     rows = marked.select(F.col("doc_id").alias("doc"), F.col(fp).alias("fp"), F.col(row).alias("row"))
-    named = rows.join(classes(rows, bucket).select("fp", "label"), "fp")
+    named = rows.join(sorted_side(classes(rows, bucket).select("fp", "label")), "fp")
     order = F.struct(F.col("doc").isNull().alias("missing"), "doc", "row")
     kept = named.groupBy("label").agg(F.min(order).alias("best")).select(F.col("best.row").alias(row))
     return marked.join(kept, row, "left_semi").drop(row, fp)

@@ -80,3 +80,22 @@ def test_keep_one(spark, odd, none):
     assert simhash.keep_one(none).count() == 0 and simhash.near_duplicates(none).count() == 0
     same = simhash.near_duplicates(odd).where("doc_id IN (0, 1, 2)").select("fingerprint", "component_id").distinct().collect()
     assert [tuple(r) for r in same] == [("0" * 16, 0)]
+
+
+@pytest.mark.parametrize("crowds", [simhash.CROWDS, 0])
+def test_no_table_that_grows_with_the_documents_is_broadcast(spark, monkeypatch, crowds):
+    """Spark's own sizes are too low after an explode, so even small tables show whether it is left to choose."""
+    plans, write = [], simhash.stage
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "stage", watched)
+    monkeypatch.setattr(simhash, "CROWDS", crowds)
+    found = simhash.near_duplicates(make(spark, near_texts()))
+    plans.append(found._jdf.queryExecution().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 4 and not [p for p in plans if "BroadcastExchange" in p]
+    few = simhash.near_duplicates(make(spark, near_texts()), bucket=2)
+    assert sorted(few.collect()) == sorted(found.collect())
+    assert any("BroadcastExchange" in p for p in plans) == (crowds > 0)
