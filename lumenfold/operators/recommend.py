@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +26,9 @@ ROWS_AT_ONCE = 500_000
 PACK_ROWS = 500_000
 # Ten block pairs at least, also of a small table.
 LEAST_BLOCKS = 4
-UNIT = ["a", "b", "slices", "slice"]
+# A task takes up to so many blocks one after another for the block that it holds, but of few blocks only a sixth of them.
+SPAN, SPANS = 16, 6
+UNIT = ["a", "span", "slices", "slice"]
 
 
 def last_ratings(events: DataFrame, order_by: Sequence[str], rating: str = "rating") -> DataFrame:
@@ -116,12 +117,13 @@ def all_item_neighbours(
     The same rows as ``item_neighbours`` with all items as targets. Items are dealt into blocks, by default four or as many
     as leave two blocks about ``unit_ratings`` ratings, and the product of the rating matrix with itself is made block pair by
     block pair. So the pairs of a user's items are split into a triangle of pieces, each combined with those of other users
-    where it is made. A block pair with many more ratings, as that of a very frequent item has, is cut in slices of
-    users, so no task sees all items of a user or all users of such an item.
+    where it is made. A task holds one block and takes a span of others, one after another. If two of these blocks have many more
+    ratings, as one with a very frequent item has, its span is cut in slices of users, so no task sees all items of a user
+    or all users of such an item.
 
-    A rating goes once to every block pair of its block, packed with others: a few bytes, and no row. A task that
-    holds a whole block pair knows all common users of its items, so only the ``k`` best of each item leave it. The products
-    of slices are added up by pairs of items first.
+    A rating is packed once, with others of its block, in a few bytes; the packed ratings go to every task that takes the
+    block. A task that holds a whole block pair knows all common users of its items, so only the ``k`` best of each item leave
+    it. The products of slices are added up by pairs of items first.
 
     ``ratings`` should be staged; it is read twice. Ratings without user or item meet no others.
     """
@@ -130,28 +132,24 @@ def all_item_neighbours(
     size = moments.agg(F.count("*").alias("items"), F.sum("raters").alias("ratings")).first()
     wanted = size["items"] / item_block if item_block else max(LEAST_BLOCKS, 2 * (size["ratings"] or 0) / unit_ratings)
     blocks = max(1, min(math.ceil(wanted), size["items"]))
-    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int").alias("block")
-    sizes = stage(moments.groupBy(block).agg(F.sum("raters").alias("rows")), "block-sizes")
-    largest = [r["rows"] for r in sizes.orderBy(F.desc("rows")).limit(2).collect()]
-
-    # Rows without a user tell the mean and the norm of an item.
-    rows = ratings.select("user", "item", F.col("rating").cast("double").alias("value"), F.lit(None).cast("double").alias("norm"), block)
-    of_items = moments.where("norm > 0").select(F.lit(None).cast(ratings.schema["user"].dataType).alias("user"), "item", F.col("mean").alias("value"), "norm", block)
-    listed = sizes.agg(F.collect_list(F.struct("block", "rows"))).scalar()
-    met = rows.unionByName(of_items).join(F.broadcast(sizes), "block").select("*", F.explode(listed).alias("other"))
-    other = F.col("other.block")
-    placed = met.select(
-        F.least("block", other).alias("a"),
-        F.greatest("block", other).alias("b"),
-        (F.col("block") > other).cast("int").alias("side"),
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
+    sizes = {r["block"]: r["rows"] for r in moments.groupBy(block.alias("block")).agg(F.sum("raters").alias("rows")).collect()}
+    routes = _routes(sizes, unit_ratings)
+    slices = max((way[2] for ways in routes.values() for way in ways), default=1)
+
+    # a is the block of the item, b the slice of the user. Rows without a user tell the mean and the norm of an item.
+    rows = ratings.select(
+        block.alias("a"),
+        F.pmod(F.xxhash64("user"), F.lit(slices)).cast("int").alias("b"),
         "user",
         "item",
-        "value",
-        "norm",
-        F.when(F.col("block") == other, F.col("rows")).otherwise(F.col("rows") + F.col("other.rows")).alias("rows"),
+        F.col("rating").cast("double").alias("value"),
+        F.lit(None).cast("double").alias("norm"),
     )
-    found = _block_products(placed, Limits(unit_ratings, k, min_common))
-    if sum(largest) > 2 * unit_ratings:
+    nobody = F.lit(None).cast(ratings.schema["user"].dataType).alias("user")
+    of_items = moments.where("norm > 0").select(block.alias("a"), F.lit(-1).alias("b"), nobody, "item", F.col("mean").alias("value"), "norm")
+    found = _block_products(rows.unionByName(of_items), Limits(unit_ratings, k, min_common, routes))
+    if slices > 1:
         found = stage(found, "block-products")
         parts = found.where("n IS NOT NULL").groupBy("target", "item").agg(F.sum("dot").alias("dot"), F.sum("n").alias("n"))
         once = _similar(parts.select(F.col("target").alias("i"), F.col("item").alias("j"), "dot", "n"), moments, min_common)
@@ -164,46 +162,68 @@ def all_item_neighbours(
     return best.where(F.col("rank") <= k)
 
 
+def _routes(sizes: dict[int, int], unit_ratings: int) -> dict[int, list[tuple[int, int, int, int]]]:
+    """The (held block, span, slices, turn) that each block goes to, from the ratings of the blocks. Turn -1 is the held block itself.
+
+    A span of a block is it and the blocks after it, some at a time. Its slices, a power of two, leave two
+    blocks about ``unit_ratings`` ratings, if they have more than twice as many.
+    """
+    names, routes = sorted(sizes), {name: [] for name in sizes}
+    width = min(SPAN, max(1, len(names) // SPANS))
+    for at, held in enumerate(names):
+        for span, first in enumerate(range(at, len(names), width)):
+            taken = [name for name in names[first : first + width] if name != held]
+            rows = sizes[held] + max((sizes[name] for name in taken), default=0)
+            slices = 1 if rows <= 2 * unit_ratings else 1 << math.ceil(math.log2(rows / unit_ratings))
+            for name in [held, *taken]:
+                routes[name].append((held, span, slices, -1 if name == held else name))
+    return routes
+
+
 @dataclass
 class Limits:
-    """Ratings a task holds on average, and what is kept of a block pair."""
+    """Ratings a task holds on average, what is kept of a block pair, and where each block goes."""
 
     unit_ratings: int
     k: int
     min_common: int
+    routes: dict[int, list[tuple[int, int, int, int]]] = field(default_factory=dict)
 
 
 def _block_products(placed: DataFrame, limits: Limits) -> DataFrame:
-    """(target, item, similarity, dot, n) of pairs of items with common users, from (a, b, side, user, item, value, norm, rows).
+    """(target, item, similarity, dot, n) of pairs of items with common users, from (a, b, user, item, value, norm).
 
-    Side 0 holds the items of block a; ``rows`` is the number of ratings of the block pair. A whole block pair gives the
-    similarities of the best items of each target, a slice of one gives products with ``n``, each pair once.
+    ``a`` is a block of items and ``b`` a slice of users. A whole block pair gives the similarities of the best items of each
+    target, a slice of one gives products with ``n``, each pair once.
     """
-    slices = F.when(F.col("rows") <= 2 * limits.unit_ratings, 1).otherwise(F.ceil(F.col("rows") / F.lit(limits.unit_ratings))).cast("int")
-    own = F.array(F.pmod(F.xxhash64("user"), F.col("slices")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("slices") - 1)
-    unit = placed.withColumn("slices", slices).drop("rows")
-    unit = unit.withColumn("slice", F.explode(F.when(F.col("user").isNull(), every).otherwise(own)))
     kind = {c: placed.schema[c].dataType.simpleString() for c in ("user", "item")}
-    packed = unit.select(*UNIT, "side", "user", "item", "value", "norm").mapInArrow(_pack, ", ".join(f"{c} int" for c in [*UNIT, "side"]) + ", data binary")
+    packed = placed.select("a", "b", "user", "item", "value", "norm").mapInArrow(_pack, "block int, part int, data binary")
+    ways = "block int, ways array<struct<a:int,span:int,slices:int,turn:int>>"
+    routes = placed.sparkSession.createDataFrame(list(limits.routes.items()), ways)
+    sent = packed.join(F.broadcast(routes), "block").select("part", F.explode("ways").alias("way"), "data").select("way.*", "part", "data")
+    # What is told of the items goes to every slice.
+    part = F.when(F.col("part") < 0, F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array(F.pmod("part", "slices")))
+    sent = sent.select("a", "span", "slices", F.explode(part).alias("slice"), "turn", "data")
+    units = sent.repartition(*UNIT).sortWithinPartitions(*UNIT, "turn")
     schema = f"target {kind['item']}, item {kind['item']}, similarity double, dot double, n long"
 
-    def multiply(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, slices, _ = (c.as_py() for c in key)
-        left, right, held = _unpack(batches, a == b)
-        if left is None or right is None:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for (_, span, slices, _), turn, data in _turns(batches):
+            if turn < 0:
+                held = None  # before the next is read
+                held = _held(*_unpacked(data))
+                if span == 0 and held:
+                    yield from multiply(held, _met(held, held.who, held.codes, held.values, held), True, slices)
+            elif held:
+                yield from multiply(held, _meet(data, held), False, slices)
+
+    def multiply(left: _Held, right: _Met | None, alone: bool, slices: int) -> Iterator[pa.RecordBatch]:
+        if right is None:
             return
-        # The ratings of side b by user, those of side a by item.
-        count = np.bincount(right.users, minlength=held)
-        start = np.concatenate([[0], np.cumsum(count)])
-        order = np.argsort(right.users, kind="stable")
-        code_r, d_r = right.codes[order], right.values[order]
-        order = np.argsort(left.codes, kind="stable")
-        code_l, d_l, who = left.codes[order], left.values[order], left.users[order]
-        del order
-        left, right = left._replace(users=None, codes=None, values=None), right._replace(users=None, codes=None, values=None)
+        code_l, d_l, who, ends = left.codes, left.values, left.who, left.ends
+        count, start, code_r, d_r = right.count, right.start, right.codes, right.values
         upto, wide = np.concatenate([[0], np.cumsum(count[who])]), len(right.norms)
-        ends = np.append(np.flatnonzero(np.diff(code_l)) + 1, len(code_l))
 
         def products(x: int, y: int) -> tuple[np.ndarray, np.ndarray]:
             """Cells and products of the ratings x to y of side a with those of the same users on side b."""
@@ -211,7 +231,7 @@ def _block_products(placed: DataFrame, limits: Limits) -> DataFrame:
             at = np.repeat(np.arange(x, y), size)
             other = np.repeat(start[who[x:y]] - upto[x:y], size) + np.arange(upto[x], upto[y])
             cell, product = code_l[at].astype(np.int64) * wide + code_r[other], d_l[at] * d_r[other]
-            if a != b:
+            if not alone:
                 return cell, product
             once = code_r[other] >= code_l[at]
             return cell[once], product[once]
@@ -257,7 +277,7 @@ def _block_products(placed: DataFrame, limits: Limits) -> DataFrame:
             i, j, similarity = i[good], j[good], similarity[good]
             kept = _k_best(i, j, similarity, limits.k)
             yield rows(left.names.take(pa.array(i[kept])), right.names.take(pa.array(j[kept])), similarity[kept])
-            back = slice(None) if a != b else i != j
+            back = i != j if alone else slice(None)
             turned.append((j[back].astype(np.int32), i[back].astype(np.int32), similarity[back]))
             waiting += len(turned[-1][0])
             if waiting > full:
@@ -270,30 +290,41 @@ def _block_products(placed: DataFrame, limits: Limits) -> DataFrame:
                 some = slice(at, at + ROWS_AT_ONCE)
                 yield rows(right.names.take(pa.array(j[some])), left.names.take(pa.array(i[some])), similarity[some])
 
-    return packed.groupBy(*UNIT).applyInArrow(multiply, schema)
+    return units.mapInArrow(run, schema)
+
+
+def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, ...], int, list[pa.Scalar]]]:
+    """(unit, turn, packed tables) of sorted rows, all of a turn together."""
+    last, data = None, []
+    for batch in batches:
+        places = [batch.column(c).to_pylist() for c in [*UNIT, "turn"]]
+        for *place, table in zip(*places, batch.column("data"), strict=True):
+            if place != last:
+                if data:
+                    yield tuple(last[:-1]), last[-1], data
+                last, data = place, []
+            # A copy: the batch is not kept for it.
+            data.append(table.as_py())
+    if data:
+        yield tuple(last[:-1]), last[-1], data
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, slices, slice, side, data): the rows of a side of a unit, some at a time as a compressed table."""
+    """(block, part, data): the rows of a block and a slice of users, some at a time as a compressed table, by user if they are numbers."""
 
     def cut(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
-        places = [table.column(c).to_numpy() for c in [*UNIT, "side"]]
-        key = np.zeros(len(table), np.int64)
-        for place in places:
-            key = key * (int(place.max()) + 1) + place
-        order = np.argsort(key, kind="stable")
+        a, b = (table.column(c).to_numpy() for c in ("a", "b"))
+        key = a.astype(np.int64) * (int(b.max()) + 2) + b + 1
+        if pa.types.is_integer(table.schema.field("user").type):
+            order = np.lexsort((pc.fill_null(table.column("user"), 0).to_numpy(), key))
+        else:
+            order = np.argsort(key, kind="stable")
         key, table = key[order], table.select(["user", "item", "value", "norm"]).take(pa.array(order))
         firsts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        data = []
-        whole = [c for c in ("user", "item") if pa.types.is_integer(table.schema.field(c).type)]
-        plain = [c for c in table.column_names if c not in whole]
-        for x, y in zip(firsts, np.append(firsts[1:], len(key)), strict=True):
-            out = pa.BufferOutputStream()
-            pq.write_table(table.slice(x, y - x), out, compression="zstd", use_dictionary=plain, column_encoding={c: "DELTA_BINARY_PACKED" for c in whole} or None, write_statistics=False, store_schema=False)
-            data.append(out.getvalue().to_pybytes())
-        columns = [*(pa.array(place[order[firsts]], pa.int32()) for place in places), pa.array(data, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=[*UNIT, "side", "data"])
+        data = [_written(table.slice(x, y - x)) for x, y in zip(firsts, np.append(firsts[1:], len(key)), strict=True)]
+        columns = [*(pa.array(place[order[firsts]], pa.int32()) for place in (a, b)), pa.array(data, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "part", "data"])
 
     held, size = [], 0
     for batch in batches:
@@ -307,47 +338,144 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield cut(held)
 
 
+def _written(table: pa.Table) -> bytes:
+    """A compressed table of few bytes a row. Whole numbers are steps from the one before (users, in order) or from the least (items)."""
+    columns, first = {}, {}
+    ratings = not table.column("user").null_count
+    for name in ("user", "item") if ratings else ("item",):
+        column = table.column(name).combine_chunks()
+        if ratings and pa.types.is_integer(column.type):
+            # Modulo 2 ** 64, so that no step overflows.
+            value = column.to_numpy().astype(np.uint64)
+            first[name] = str(int(value[0] if name == "user" else column.to_numpy().min().astype(np.uint64)))
+            steps = np.diff(value, prepend=value[:1]) if name == "user" else value - np.uint64(int(first[name]))
+            column = pa.array(steps.astype(np.min_scalar_type(steps.max())))
+        columns[name] = column
+    if ratings:
+        coded = pc.fill_null(table.column("value"), math.nan).combine_chunks().dictionary_encode()
+        kind = pa.int8() if len(coded.dictionary) < 128 else pa.int16() if len(coded.dictionary) < 32_768 else pa.int32()
+        columns["value"] = pa.DictionaryArray.from_arrays(coded.indices.cast(kind), coded.dictionary)
+    else:
+        columns |= {c: table.column(c).combine_chunks() for c in ("value", "norm")}
+    whole = pa.table(columns).replace_schema_metadata(first)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(whole)
+    return out.getvalue().to_pybytes()
+
+
+def _read(data: bytes) -> dict[str, pa.Array | np.ndarray]:
+    """The columns of such a table; whole numbers as a numpy array, of items without ratings as they are."""
+    table = pa.ipc.open_stream(pa.py_buffer(data)).read_all()
+    columns = {c: table.column(c).combine_chunks() for c in table.column_names}
+    for name, least in (table.schema.metadata or {}).items():
+        steps = columns[name.decode()].to_numpy()
+        steps = np.cumsum(steps, dtype=np.uint64) if name == b"user" else steps.astype(np.uint64)
+        columns[name.decode()] = (steps + np.uint64(int(least))).view(np.int64)
+    return columns
+
+
 class _Side(NamedTuple):
-    """Items in ascending order with their norms, and per rating the user's and item's number and the centred value."""
+    """The items of a block in ascending order with their norms."""
+
+    names: pa.Array
+    norms: np.ndarray
+
+
+class _Held(NamedTuple):
+    """The items of the held block, its users, and per rating, item by item, the numbers of user and item and the centred value."""
 
     names: pa.Array
     norms: np.ndarray
-    users: np.ndarray
+    known: np.ndarray | pa.Array
+    who: np.ndarray
     codes: np.ndarray
     values: np.ndarray
+    ends: np.ndarray
 
 
-def _unpack(batches: Iterator[pa.RecordBatch], alone: bool) -> tuple[_Side | None, _Side | None, int]:
-    """Both sides of a unit and the number of users. ``alone``: a block with itself, whose sides are the same."""
-    # Users and items as numbers from the start, so that a rating takes 16 bytes.
-    raters: tuple[list, list] = ([], [])
-    of_items: tuple[list, list] = ([], [])
-    for batch in batches:
-        for side, data in zip(batch.column("side").to_pylist(), batch.column("data"), strict=True):
-            table = pq.read_table(pa.BufferReader(data.as_buffer()), use_threads=False)
-            told = pc.is_null(table.column("user"))
-            of_items[side].append(table.filter(told).drop_columns("user"))
-            ratings = table.filter(pc.invert(told)).combine_chunks()
-            values = pc.fill_null(ratings.column("value"), math.nan).to_numpy()
-            raters[side].append((*(ratings.column(c).combine_chunks().dictionary_encode() for c in ("user", "item")), values))
-    if not raters[0] or not (alone or raters[1]):
-        return None, None, 0
-    chosen = raters[:1] if alone else raters
-    users = pa.chunked_array([r[0] for side in chosen for r in side]).unify_dictionaries()
-    count = len(users.chunk(0).dictionary)
-    user_numbers = iter([c.indices.to_numpy() for c in users.chunks])
-    sides = []
-    for side, told in zip(chosen, of_items, strict=False):
-        items = pa.concat_tables(told).sort_by("item")
-        names, mean, norm = items.column("item").combine_chunks(), items.column("value").to_numpy(), items.column("norm").to_numpy()
-        parts = []
-        while side:
-            _, item, values = side.pop(0)
-            code = pc.fill_null(pc.index_in(item.dictionary, value_set=names), -1).to_numpy()[item.indices.to_numpy()].astype(np.int32)
-            there = code >= 0
-            parts.append((next(user_numbers)[there], code[there], values[there] - mean[code[there]]))
-        sides.append(_Side(names, norm, *(np.concatenate(c) for c in zip(*parts, strict=True))))
-    return sides[0], sides[-1], count
+class _Met(NamedTuple):
+    """The items of a block, and its ratings by those users that the held block has: number and first place for each user."""
+
+    names: pa.Array
+    norms: np.ndarray
+    count: np.ndarray
+    start: np.ndarray
+    codes: np.ndarray
+    values: np.ndarray
+
+
+def _unpacked(data: list[bytes]) -> tuple[_Side, np.ndarray | pa.Array, np.ndarray, np.ndarray]:
+    """The items of a block, and users, items' numbers and centred values of its ratings; users as numbers if they are any. ``data`` is used up."""
+    told, users, items, values = [], [], [], []
+    while data:
+        columns = _read(data.pop())
+        if "norm" in columns:
+            told.append(pa.table(columns))
+        else:
+            users.append(columns["user"])
+            items.append(columns["item"])
+            values.append(columns["value"].dictionary.to_numpy()[columns["value"].indices.to_numpy()])
+    if not told or not values:
+        return _Side(pa.nulls(0), np.zeros(0)), np.zeros(0, int), np.zeros(0, np.int32), np.zeros(0)
+    of_items = pa.concat_tables(told).sort_by("item")
+    names, mean = of_items.column("item").combine_chunks(), of_items.column("value").to_numpy()
+    known = names
+    if isinstance(items[0], np.ndarray):
+        items, known = [pa.array(i) for i in items], pa.array(names.to_numpy().astype(np.uint64).view(np.int64))
+    codes = pc.fill_null(pc.index_in(pa.chunked_array(items), value_set=known), -1).to_numpy().astype(np.int32)
+    del items
+    there, centred = codes >= 0, np.concatenate(values)
+    del values
+    centred -= mean[codes]
+    users = np.concatenate(users) if isinstance(users[0], np.ndarray) else pa.chunked_array(users).combine_chunks()
+    if not there.all():
+        codes, centred = codes[there], centred[there]
+        users = users[there] if isinstance(users, np.ndarray) else users.filter(pa.array(there))
+    return _Side(names, of_items.column("norm").to_numpy()), users, codes, centred
+
+
+def _held(side: _Side, users: np.ndarray | pa.Array, codes: np.ndarray, values: np.ndarray) -> _Held | None:
+    if not len(codes):
+        return None
+    if isinstance(users, np.ndarray):
+        known, who = np.unique(users, return_inverse=True)
+    else:
+        encoded = users.dictionary_encode()
+        known, who = encoded.dictionary, encoded.indices.to_numpy()
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    ends = np.append(np.flatnonzero(np.diff(codes)) + 1, len(codes))
+    return _Held(*side, known, who.astype(np.int32)[order], codes, values[order], ends)
+
+
+def _numbers(users: np.ndarray | pa.Array, known: np.ndarray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The places in ``known`` of those users that stand there, and which of ``users`` these are."""
+    if isinstance(users, np.ndarray):
+        # Packed tables are ordered by user, and the sort makes use of that.
+        order = np.argsort(users, kind="stable")
+        users = users[order]
+        at = np.searchsorted(known, users)
+        good = known[np.minimum(at, len(known) - 1)] == users
+        return at[good].astype(np.int32), order[good]
+    at = pc.fill_null(pc.index_in(users, value_set=known), -1).to_numpy()
+    there = np.flatnonzero(at >= 0)
+    return at[there], there
+
+
+def _meet(data: list[bytes], held: _Held) -> _Met | None:
+    """The ratings of a block by users of the held one; nothing else of them stays in memory."""
+    side, users, codes, values = _unpacked(data)
+    numbers, there = _numbers(users, held.known)
+    del users
+    return _met(side, numbers, codes[there], values[there], held) if len(there) else None
+
+
+def _met(side: _Side | _Held, numbers: np.ndarray, codes: np.ndarray, values: np.ndarray, held: _Held) -> _Met:
+    count = np.bincount(numbers, minlength=len(held.known)).astype(np.int32)
+    start = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    order = np.argsort(numbers, kind="stable")
+    return _Met(side.names, side.norms, count, start, codes[order], values[order])
 
 
 def _k_best(target: np.ndarray, item: np.ndarray, similarity: np.ndarray, k: int) -> np.ndarray:

@@ -144,3 +144,40 @@ def test_ratings_without_user_or_item_meet_no_others(spark):
     ratings = spark.createDataFrame(rows, "user long, item long, rating double").cache()
     whole = ratings.where("user IS NOT NULL AND item IS NOT NULL")
     assert neighbour_lists(recommend.all_item_neighbours(ratings, 3)) == neighbour_lists(recommend.all_item_neighbours(whole, 3))
+
+
+def test_a_rating_is_packed_once_and_the_packed_ratings_are_shared(spark, monkeypatch):
+    """Half of the blocks go to a task as the ratings of a table grow, and no rating is packed for each of them."""
+    rng = np.random.default_rng(4)
+    rows = sorted({(int(u), int(i)) for u, i in zip(rng.integers(0, 900, 18_000), rng.integers(0, 600, 18_000))})
+    rows = [(u, i, float(v)) for (u, i), v in zip(rows, rng.integers(1, 51, len(rows)))]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double").coalesce(1).cache()
+    placed, products = [], recommend._block_products
+
+    def watched(some, limits):
+        placed.append(some.where("user IS NOT NULL").count())
+        return products(some, limits)
+
+    monkeypatch.setattr(recommend, "_block_products", watched)
+    got = neighbour_lists(recommend.all_item_neighbours(ratings, 5, item_block=25))
+    assert placed == [len(rows)]
+    assert got == neighbour_lists(recommend.all_item_neighbours(ratings, 5, item_block=600))
+    routes = recommend._routes({b: 10 for b in range(36)}, 20)
+    pairs = [(a, b) for b, ways in routes.items() for a, _, slices, turn in ways if slices == 1 and turn in (-1, b)]
+    assert {(a, b) for a in range(36) for b in range(a, 36)} == set(pairs) and len(pairs) < 36 * 36 * 0.62
+
+
+def test_slices_of_a_span_are_powers_of_two():
+    routes = recommend._routes({0: 100, 1: 10, 2: 15}, 20)
+    assert {(a, turn): slices for ways in routes.values() for a, _, slices, turn in ways if turn >= 0} == {(0, 1): 8, (0, 2): 8, (1, 2): 1}
+
+
+@pytest.mark.parametrize("kind,name", [("string", lambda x: f"{x:05}"), ("long", lambda x: (x - 3) * (1 << 60)), ("int", lambda x: x - 9)])
+def test_neighbours_of_items_and_users_of_other_types(spark, kind, name):
+    rng = np.random.default_rng(6)
+    rows = [(u, i, float(rng.integers(1, 9))) for u in range(7) for i in range(6) if rng.random() < 0.8]
+    plain = spark.createDataFrame(rows, "user long, item long, rating double").cache()
+    named = spark.createDataFrame([(name(u), name(i), r) for u, i, r in rows], f"user {kind}, item {kind}, rating double").cache()
+    wanted = neighbour_lists(recommend.item_neighbours(plain, plain.select("item").distinct(), 4))
+    got = neighbour_lists(recommend.all_item_neighbours(named, 4, item_block=2, unit_ratings=15))
+    assert got == {name(t): [(name(i), s) for i, s in near] for t, near in wanted.items()}
