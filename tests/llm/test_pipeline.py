@@ -3,7 +3,8 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from check import connect, differences
-from lumenfold.llm import oracle, queries, toxicity
+from lumenfold.llm import oracle, queries, simhash, toxicity
+from tests.llm.conftest import PASSAGE, make
 from tests.llm.test_decontaminate import brute as contaminated
 from tests.llm.test_packing import brute_pieces, check_places
 from tests.llm.test_secret_scan import expected
@@ -64,3 +65,19 @@ def test_stages_keep_the_columns(spark, odd):
         frame = step(spark, frame, FOLDER)
         assert frame.columns == odd.columns
     assert corpus_pipeline.STAGES[-1][1](spark, frame, FOLDER).count() > 0
+
+
+def test_near_duplicates_broadcast_no_table_that_grows_with_the_documents(spark, monkeypatch):
+    """Seventeen rows are made of one place of a fingerprint; Spark's size of them is that of the one."""
+    plans, write = {}, simhash.stage
+
+    def watched(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "stage", watched)
+    texts = [f"{PASSAGE} {'word ' * (n % 3)}{n % 5}" for n in range(40)]
+    kept = corpus_pipeline.near_duplicates(spark, make(spark, texts), "").count()
+    assert 0 < kept < 40
+    assert "SortMergeJoin" in plans["links"][0]
+    assert not [name for name, made in plans.items() for plan in made if "BroadcastExchange" in plan]
